@@ -2,7 +2,8 @@
 
 A polygon is ``rings ARRAY<ARRAY<STRUCT<x DOUBLE, y DOUBLE>>>``. Rings may be
 open or closed. Parity decides what is inside, so holes and the parts of a
-multipolygon are simply further rings.
+multipolygon are simply further rings. Arguments are SQL expressions, usually
+column names.
 """
 
 from __future__ import annotations
@@ -10,49 +11,39 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from swathe.functions.grid import col
-
 RINGS_TYPE = "array<array<struct<x:double,y:double>>>"
 
 
-def ring_edges(rings: Column | str) -> Column:
+def ring_edges(rings: str = "rings") -> Column:
     """All edges of all rings as ``ARRAY<STRUCT<x1,y1,x2,y2>>``."""
-
-    def of_ring(ring: Column) -> Column:
-        after = F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1))
-        return F.zip_with(
-            ring,
-            after,
-            lambda p, q: F.struct(
-                p.x.alias("x1"), p.y.alias("y1"), q.x.alias("x2"), q.y.alias("y2")
-            ),
-        )
-
-    drawn = F.filter(col(rings), lambda r: F.size(r) >= 3)
-    return F.flatten(F.transform(drawn, of_ring))
+    return F.expr(f"""
+        flatten(transform(filter({rings}, r -> size(r) >= 3),
+          r -> zip_with(r, concat(slice(r, 2, size(r)), slice(r, 1, 1)),
+            (p, q) -> named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y))))""")
 
 
-def sum_over(items: Column, term) -> Column:
-    return F.aggregate(items, F.lit(0.0), lambda acc, e: acc + term(e))
+def sum_over(items: str, term: str) -> Column:
+    """Sum of ``term``, an expression of the item ``e``."""
+    return F.expr(f"aggregate({items}, 0D, (acc, e) -> acc + {term})")
 
 
-def crosses(e: Column, px: Column, py: Column) -> Column:
-    """Does the ray from (px, py) towards east cross edge ``e``?"""
-    return F.when(
-        (e.y1 > py) != (e.y2 > py),
-        px < (e.x2 - e.x1) * (py - e.y1) / (e.y2 - e.y1) + e.x1,
-    ).otherwise(F.lit(False))
+def inside_sql(edges: str, px: str, py: str) -> str:
+    """Even-odd test as SQL: does a ray towards east cross an odd number of
+    edges? Points exactly on an edge may fall on either side."""
+    return f"""
+        aggregate({edges}, false, (odd, e) -> odd != CASE
+          WHEN (e.y1 > {py}) != (e.y2 > {py})
+          THEN {px} < (e.x2 - e.x1) * ({py} - e.y1) / (e.y2 - e.y1) + e.x1
+          ELSE false END)"""
 
 
-def inside(edges: Column, px: Column, py: Column) -> Column:
-    """Even-odd test. Points exactly on an edge may fall on either side."""
-    return F.aggregate(
-        edges, F.lit(False), lambda odd, e: odd != crosses(e, px, py)
-    )
+def inside(edges: str, px: str, py: str) -> Column:
+    """:func:`inside_sql` as a Column."""
+    return F.expr(inside_sql(edges, px, py))
 
 
-def box_ring(west: Column, south: Column, east: Column, north: Column) -> Column:
+def box_ring(west: str, south: str, east: str, north: str) -> Column:
     """A rectangle as a ``rings`` value."""
-    corner = [(west, south), (east, south), (east, north), (west, north)]
-    pts = [F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in corner]
-    return F.array(F.array(*pts))
+    corners = [(west, south), (east, south), (east, north), (west, north)]
+    points = ", ".join(f"named_struct('x', {x}, 'y', {y})" for x, y in corners)
+    return F.expr(f"array(array({points}))").cast(RINGS_TYPE)

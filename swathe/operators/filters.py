@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from swathe.functions.grid import col
+from swathe.plans.sides import broadcast_if, has_at_most
 
 
 def bbox_filter(
@@ -88,6 +89,7 @@ def reclassify_by_table(
     step = F.lit(float(width))
     slot = lambda c: F.floor(F.col(c) / step)
     ranges = lookup.withColumn("_slot", F.explode(F.sequence(slot(lower), slot(upper))))
+    ranges = broadcast_if(ranges, has_at_most(ranges, 50_000))
     keyed = df.withColumn("_slot", slot(value))
     hit = (
         (keyed["_slot"] == ranges["_slot"])

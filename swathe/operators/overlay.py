@@ -47,7 +47,8 @@ def footprint_cells(
     """Cells whose centre lies in a zone: ``zone_id, ix, iy``. Narrow."""
     cover = zone_cover(zones, res, zone_id, rings)
     x, y = cell_centre("cx", "cy", res)
-    return cover.where(F.col("edges").isNull() | inside(F.col("edges"), x, y)).select(
+    cover = cover.withColumns({"_x": x, "_y": y})
+    return cover.where((F.size("edges") == 0) | inside("edges", "_x", "_y")).select(
         zone_id, F.col("cx").alias("ix"), F.col("cy").alias("iy")
     )
 

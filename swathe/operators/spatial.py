@@ -1,10 +1,9 @@
 """Spatial joins by grid cover.
 
 Polygons are turned into a table of the grid cells they touch, so a spatial
-join is an equi-join on the cell plus a refinement. Joins carry no broadcast
-hint: Spark broadcasts a cover whose size it knows or measures to be small, and
-otherwise shuffles by cell, where adaptive execution splits a cell that holds
-many points.
+join is an equi-join on the cell plus a refinement. A cover is broadcast if its size,
+worked out from the outlines beforehand, is small. Otherwise both sides are
+shuffled by cell, where adaptive execution splits a cell that holds many points.
 """
 
 from __future__ import annotations
@@ -12,67 +11,80 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.functions.grid import cell_xy, chord, floor_int, haversine_km, unit_xyz
-from swathe.functions.polygon import inside, ring_edges
+from swathe.functions.grid import cell_xy, chord, haversine_km, unit_xyz
+from swathe.functions.polygon import inside, inside_sql, ring_edges
+from swathe.plans.sides import broadcast_if, has_at_most
 
 # Slack, in degrees or on the unit sphere, by which filters that only prune are
 # widened, so that rounding never drops a true match.
 SLACK = 1e-9
 
+# A cover up to this size is sent to every executor.
+BROADCAST_BYTES = 64 << 20
+# Bytes of one edge in a cover row, and of the rest of the row, rounded up.
+EDGE_BYTES, ROW_BYTES = 64, 128
+# Tables up to this many rows may be copied to their neighbour cubes (at most
+# 27 each) and then broadcast.
+FEW_ROWS = 20_000
+
+
+def cover_bytes(
+    zones: DataFrame, cell_deg: float, rings: str = "rings"
+) -> int:
+    """Upper bound of the size of a cover: the cells of each zone's box, each
+    with every edge. One pass over the outlines, one row back."""
+    cells = [
+        f"((array_max(_pts.{c}) - array_min(_pts.{c})) / {float(cell_deg)}D + 2)" for c in "xy"
+    ]
+    size = f"{cells[0]} * {cells[1]} * ({ROW_BYTES} + size(_pts) * {EDGE_BYTES})"
+    outlines = zones.selectExpr(f"flatten(filter({rings}, r -> size(r) >= 3)) AS _pts")
+    return int(outlines.selectExpr(f"sum({size})").first()[0] or 0)
+
 
 def zone_cover(
     zones: DataFrame, cell_deg: float, zone_id: str = "zone_id", rings: str = "rings"
 ) -> DataFrame:
     """Grid cells that can hold points of a zone: ``zone_id, cx, cy, edges``.
 
-    ``edges`` is null for cells wholly inside, which need no further test.
+    ``edges`` is empty for cells wholly inside, which need no further test.
     Other cells keep only the edges that can cross an eastward ray starting in
     the cell, so the cost of the test does not grow with the whole outline.
     Cells wholly outside are left out. Zones must not span the antimeridian.
     """
-    step = F.lit(float(cell_deg))
-    lo_y = lambda e: F.least(e.y1, e.y2)
-    hi_y = lambda e: F.greatest(e.y1, e.y2)
-    lo_x = lambda e: F.least(e.x1, e.x2)
-    hi_x = lambda e: F.greatest(e.x1, e.x2)
-
-    def span(edges: Column, low, high, origin: float) -> Column:
-        first = floor_int((F.array_min(F.transform(edges, low)) + F.lit(origin)) / step)
-        last = floor_int((F.array_max(F.transform(edges, high)) + F.lit(origin)) / step)
-        return F.explode(F.sequence(first, last))
-
-    outlines = zones.select(F.col(zone_id), ring_edges(rings).alias("_all"))
-    south = F.col("cy") * step - F.lit(90.0)
+    step = f"{float(cell_deg)}D"
+    south, west = f"(cy * {step} - 90D)", f"(cx * {step} - 180D)"
+
+    def span(edges: str, axis: str, origin: int) -> str:
+        low = f"array_min(flatten(array({edges}.{axis}1, {edges}.{axis}2)))"
+        high = low.replace("array_min", "array_max")
+        cell = lambda c: f"cast(floor(({c} + {origin}D) / {step}) AS int)"
+        return f"sequence({cell(low)}, {cell(high)})"
+
+    def meets(axis: str, low: str) -> str:
+        a, b = f"e.{axis}1", f"e.{axis}2"
+        return f"greatest({a}, {b}) >= {low} - {SLACK}D AND least({a}, {b}) <= {low} + {step} + {SLACK}D"
+
+    # Outlines are small to store but costly to cut up: spread them out.
+    parts = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    outlines = zones.select(F.col(zone_id), F.col(rings)).repartition(parts, zone_id)
+    # Generators, because a filter over a projection is pushed below it and
+    # evaluates its expressions a second time. Outer ones, because Spark adds
+    # such a filter below a plain explode of an array.
     rows = (
-        outlines.where(F.size("_all") > 0)
-        .withColumn("cy", span(F.col("_all"), lo_y, hi_y, 90.0))
-        .withColumn(
-            "_row",
-            F.filter(
-                "_all",
-                lambda e: (hi_y(e) >= south - SLACK) & (lo_y(e) <= south + step + SLACK),
-            ),
-        )
-        .drop("_all")
-        .where(F.size("_row") > 0)
-    )
-    west = F.col("cx") * step - F.lit(180.0)
-    cells = rows.withColumn("cx", span(F.col("_row"), lo_x, hi_x, 180.0)).withColumn(
-        "_touched",
-        F.exists(
-            "_row",
-            lambda e: (hi_x(e) >= west - SLACK) & (lo_x(e) <= west + step + SLACK),
-        ),
-    )
-    half = step / F.lit(2.0)
-    return cells.where(
-        F.col("_touched") | inside(F.col("_row"), west + half, south + half)
-    ).select(
-        zone_id, "cx", "cy",
-        F.when(
-            F.col("_touched"), F.filter("_row", lambda e: hi_x(e) >= west - SLACK)
-        ).alias("edges"),
+        outlines.select(zone_id, F.array(ring_edges(rings)).alias("_one"))
+        .select(zone_id, F.explode_outer("_one").alias("_all"))
+        .select(zone_id, "_all", F.expr(f"explode({span('_all', 'y', 90)})").alias("cy"))
+        .select(zone_id, "cy", F.expr(f"array(filter(_all, e -> {meets('y', south)}))").alias("_one"))
+        .select(zone_id, "cy", F.explode_outer("_one").alias("_row"))
     )
+    middle = inside_sql("_row", f"({west} + {step} / 2)", f"({south} + {step} / 2)")
+    to_east = f"filter(_row, e -> greatest(e.x1, e.x2) >= {west} - {SLACK}D)"
+    edges = f"""CASE WHEN exists(_row, e -> {meets('x', west)}) THEN {to_east}
+        WHEN {middle} THEN slice(_row, 1, 0) END"""
+    cells = f"transform({span('_row', 'x', 180)}, cx -> named_struct('cx', cx, 'edges', {edges}))"
+    return rows.select(
+        zone_id, "cy", F.expr(f"inline(filter({cells}, c -> c.edges IS NOT NULL))")
+    ).select(zone_id, "cx", "cy", "edges")
 
 
 def _covered(
@@ -83,12 +95,13 @@ def _covered(
         F.col(zone_id).alias("_zone"),
         F.col("cx").alias("_zx"), F.col("cy").alias("_zy"), F.col("edges").alias("_edges"),
     )
+    cover = broadcast_if(cover, cover_bytes(zones, cell_deg, rings) <= BROADCAST_BYTES)
     cx, cy = cell_xy(lon, lat, cell_deg)
     keyed = points.withColumn("_cx", cx).withColumn("_cy", cy)
     hit = (
         (F.col("_cx") == F.col("_zx"))
         & (F.col("_cy") == F.col("_zy"))
-        & (F.col("_edges").isNull() | inside(F.col("_edges"), F.col(lon), F.col(lat)))
+        & ((F.size("_edges") == 0) | inside("_edges", lon, lat))
     )
     joined = keyed.join(cover, hit, how).drop("_cx", "_cy", "_zx", "_zy", "_edges")
     return joined.withColumnRenamed("_zone", zone_id) if how in ("inner", "left") else joined
@@ -137,56 +150,55 @@ def within_distance_join(
     cubes its radius reaches, each ``a`` row to its own: put the smaller table
     second.
     """
-    reach = chord(km)
     if not 0 < km <= 5000:
         raise ValueError("km must lie in (0, 5000]: beyond, most pairs match")
-    side = F.lit(reach)
-
-    def placed(df: DataFrame, p: str) -> DataFrame:
-        x, y, z = unit_xyz(lon, lat)
-        return df.withColumns({f"{p}x": x, f"{p}y": y, f"{p}z": z}).where(
-            F.col(f"{p}x").isNotNull() & F.col(f"{p}z").isNotNull()
-        )
-
-    cube = lambda c: F.floor(F.col(c) / side).cast("long")
-    left = placed(a, "_a").withColumns({f"_g{d}": cube(f"_a{d}") for d in "xyz"})
-    right = placed(b, "_b")
-    for d in "xyz":
-        low = F.floor((F.col(f"_b{d}") - reach - SLACK) / side).cast("long")
-        high = F.floor((F.col(f"_b{d}") + reach + SLACK) / side).cast("long")
-        right = right.withColumn(f"_h{d}", F.explode(F.sequence(low, high)))
-    right = right.where(
-        _box_distance2(
-            {d: F.col(f"_b{d}") for d in "xyz"}, {d: F.col(f"_h{d}") for d in "xyz"}, side, 0.0
-        )[0] <= F.lit((reach + SLACK) ** 2)
+    reach = chord(km)
+    few = has_at_most(b, FEW_ROWS)
+    cube = lambda c: f"cast(floor(({c}) / {reach!r}D) AS bigint)"
+    left = _on_sphere(a, lon, lat, "_a").withColumns(
+        {f"_g{d}": F.expr(cube(f"_a{d}")) for d in AXES}
     )
+    right = _on_sphere(b, lon, lat, "_b")
+    for d in AXES:
+        low, high = (cube(f"_b{d} {sign} {reach + SLACK!r}D") for sign in "-+")
+        right = right.withColumn(f"_h{d}", F.expr(f"explode(sequence({low}, {high}))"))
+    gap, _ = _cube_distance2("_b", "_h", reach, 0.0)
+    right = right.where(f"{gap} <= {(reach + SLACK) ** 2!r}D")
     right = right.withColumnsRenamed({c: f"{b_prefix}{c}" for c in b.columns})
-    near = (
-        (F.col("_gx") == F.col("_hx")) & (F.col("_gy") == F.col("_hy")) & (F.col("_gz") == F.col("_hz"))
-    )
     dist = haversine_km(
         F.col(lon), F.col(lat), F.col(f"{b_prefix}{lon}"), F.col(f"{b_prefix}{lat}")
     )
     return (
-        left.join(right, near)
+        left.join(broadcast_if(right, few), _same_cube("_g", "_h"))
         .withColumn("dist_km", dist)
         .where(F.col("dist_km") <= F.lit(float(km)))
         .select(*a.columns, *[f"{b_prefix}{c}" for c in b.columns], "dist_km")
     )
 
 
-def _box_distance2(
-    p: dict[str, Column], g: dict[str, Column], side: Column, origin: float
-) -> tuple[Column, Column]:
-    """Squared least and greatest distance from a position to a cube."""
-    least, most = F.lit(0.0), F.lit(0.0)
-    for d in p:
-        low = g[d] * side + F.lit(origin)
-        high = low + side
-        gap = F.greatest(low - p[d], p[d] - high, F.lit(0.0))
-        far = F.greatest(F.abs(low - p[d]), F.abs(high - p[d]))
-        least, most = least + gap * gap, most + far * far
-    return least, most
+AXES = "xyz"
+
+
+def _on_sphere(df: DataFrame, lon: str, lat: str, p: str) -> DataFrame:
+    """Rows with a position, with its unit-sphere coordinates."""
+    known = df.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    return known.withColumns({f"{p}{d}": c for d, c in zip(AXES, unit_xyz(lon, lat))})
+
+
+def _same_cube(a: str, b: str) -> Column:
+    return F.expr(" AND ".join(f"{a}{d} = {b}{d}" for d in AXES))
+
+
+def _cube_distance2(p: str, g: str, side: float, origin: float) -> tuple[str, str]:
+    """Squared least and greatest distance from a position to a cube, as SQL."""
+    near, far = [], []
+    for d in AXES:
+        low = f"({g}{d} * {side!r}D + {origin!r}D)"
+        gap = f"greatest({low} - {p}{d}, {p}{d} - {low} - {side!r}D, 0D)"
+        corner = f"greatest(abs({low} - {p}{d}), abs({low} + {side!r}D - {p}{d}))"
+        near.append(f"{gap} * {gap}")
+        far.append(f"{corner} * {corner}")
+    return f"({' + '.join(near)})", f"({' + '.join(far)})"
 
 
 def nearest_join(
@@ -203,82 +215,63 @@ def nearest_join(
     before any of its rows is paired. The number of rounds is found by one
     counting job over ``b``: halving stops when no cube holds more than
     ``leaf`` positions, or at ``max_level`` (about 20 cm). Equal positions are
-    searched once per side.
+    searched once per side. ``a`` rows without a position give no row.
     """
-    xs = ("x", "y", "z")
-    spot = lambda df: df.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-    seekers = spot(a).select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct()
+    seekers = _on_sphere(a.select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct(), "_lon", "_lat", "_a")
 
     # At one position only the k lowest ids can ever be wanted.
     same_spot = Window.partitionBy(lon, lat).orderBy(b_id)
-    wanted = spot(b).withColumn("_n", F.row_number().over(same_spot)).where(F.col("_n") <= k).drop("_n")
-    spots = (
-        wanted.groupBy(F.col(lon).alias("_blon"), F.col(lat).alias("_blat"))
-        .agg(F.count(F.lit(1)).alias("_w"))
+    wanted = b.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    wanted = wanted.withColumn("_n", F.row_number().over(same_spot)).where(F.col("_n") <= k).drop("_n")
+    spots = _on_sphere(
+        wanted.groupBy(F.col(lon).alias("_blon"), F.col(lat).alias("_blat")).agg(F.count("*").alias("_w")),
+        "_blon", "_blat", "_b",
     )
-    bx, by, bz = unit_xyz("_blon", "_blat")
-    spots = spots.withColumns({"_bx": bx, "_by": by, "_bz": bz})
-
     levels = list(range(2, max_level + 1, 2))
-
-    def cube(c: str, level: Column | int) -> Column:
-        return F.floor((F.col(c) + F.lit(1.0)) * F.pow(F.lit(2.0), F.lit(level) - 1)).cast("long")
-
+    cube = lambda c, level: f"cast(floor(({c} + 1D) * pow(2D, {level} - 1)) AS bigint)"
     crowd = (
-        spots.select("_bx", "_by", "_bz", F.explode(F.array(*map(F.lit, levels))).alias("_l"))
-        .select("_l", *[cube(f"_b{d}", F.col("_l")).alias(d) for d in xs])
-        .groupBy("_l", *xs).count()
+        spots.withColumn("_l", F.explode(F.array(*map(F.lit, levels))))
+        .selectExpr("_l", *[f"{cube(f'_b{d}', '_l')} AS _c{d}" for d in AXES])
+        .groupBy("_l", *[f"_c{d}" for d in AXES]).count()
         .groupBy("_l").agg(F.max("count").alias("most"))
         .collect()  # one row per level
     )
     depth = min([r["_l"] for r in crowd if r["most"] <= leaf], default=max_level)
 
-    ax, ay, az = unit_xyz("_lon", "_lat")
-    frontier = seekers.withColumns({"_ax": ax, "_ay": ay, "_az": az}).withColumns(
-        {f"_p{d}": F.lit(0).cast("long") for d in xs}
-    )
     who = ["_lon", "_lat", "_ax", "_ay", "_az"]
-    for level in [n for n in levels if n <= depth]:
+    frontier = seekers.selectExpr(*who, *[f"0L AS _p{d}" for d in AXES])
+    nearest_first = "PARTITION BY _lon, _lat ORDER BY _far ROWS UNBOUNDED PRECEDING"
+    for level in range(2, depth + 1, 2):
         cubes = (
-            spots.groupBy(*[cube(f"_b{d}", level).alias(f"_c{d}") for d in xs])
-            .agg(F.least(F.sum("_w"), F.lit(k)).alias("_n"))
-            .withColumns({f"_q{d}": F.shiftright(f"_c{d}", 2) for d in xs})
+            spots.selectExpr("_w", *[f"{cube(f'_b{d}', level)} AS _c{d}" for d in AXES])
+            .groupBy(*[f"_c{d}" for d in AXES])
+            .agg(F.expr(f"least(sum(_w), {k}) AS _n"))
+            .selectExpr("*", *[f"shiftright(_c{d}, 2) AS _q{d}" for d in AXES])
         )
-        child = F.col("_px") == F.col("_qx")
-        for d in "yz":
-            child = child & (F.col(f"_p{d}") == F.col(f"_q{d}"))
         # The first level has at most 64 cubes; below it every parent has at
         # most 64 children, whatever the size of b.
-        table = F.broadcast(cubes) if level == 2 else cubes
-        near, far = _box_distance2(
-            {d: F.col(f"_a{d}") for d in xs}, {d: F.col(f"_c{d}") for d in xs},
-            F.lit(2.0 / 2**level), -1.0,
-        )
-        by_seeker = Window.partitionBy("_lon", "_lat")
-        filled = F.sum("_n").over(by_seeker.orderBy("_far").rowsBetween(Window.unboundedPreceding, 0))
+        near, far = _cube_distance2("_a", "_c", 2.0 / 2**level, -1.0)
         frontier = (
-            frontier.join(table, child)
-            .select(*who, *[f"_c{d}" for d in xs], "_n", F.sqrt(near).alias("_near"), F.sqrt(far).alias("_far"))
-            .withColumn("_filled", filled)
-            .withColumn("_bound", F.min(F.when(F.col("_filled") >= k, F.col("_far"))).over(by_seeker))
-            .where(F.col("_bound").isNull() | (F.col("_near") <= F.col("_bound") + SLACK))
-            .select(*who, *[F.col(f"_c{d}").alias(f"_p{d}") for d in xs])
+            frontier.join(F.broadcast(cubes) if level == 2 else cubes, _same_cube("_p", "_q"))
+            .selectExpr(*who, *[f"_c{d} AS _p{d}" for d in AXES], "_n", f"sqrt({near}) AS _near", f"sqrt({far}) AS _far")
+            .selectExpr("*", f"sum(_n) OVER ({nearest_first}) AS _filled")
+            .selectExpr("*", f"min(CASE WHEN _filled >= {k} THEN _far END) OVER (PARTITION BY _lon, _lat) AS _bound")
+            .where(f"_bound IS NULL OR _near <= _bound + {SLACK}D")
+            .select(*who, *[f"_p{d}" for d in AXES])
         )
 
-    leaves = wanted.withColumnsRenamed({c: f"{b_prefix}{c}" for c in b.columns})
-    ux, uy, uz = unit_xyz(f"{b_prefix}{lon}", f"{b_prefix}{lat}")
-    leaves = leaves.withColumns({"_bx": ux, "_by": uy, "_bz": uz}).withColumns(
-        {f"_q{d}": cube(f"_b{d}", depth) for d in xs}
-    ).drop("_bx", "_by", "_bz")
-    at_leaf = F.col("_px") == F.col("_qx")
-    for d in "yz":
-        at_leaf = at_leaf & (F.col(f"_p{d}") == F.col(f"_q{d}"))
+    leaves = (
+        _on_sphere(wanted, lon, lat, "_b")
+        .withColumns({f"_q{d}": F.expr(cube(f"_b{d}", depth)) for d in AXES})
+        .drop(*[f"_b{d}" for d in AXES])
+        .withColumnsRenamed({c: f"{b_prefix}{c}" for c in b.columns})
+    )
     dist = haversine_km(
         F.col("_lon"), F.col("_lat"), F.col(f"{b_prefix}{lon}"), F.col(f"{b_prefix}{lat}")
     )
     order = Window.partitionBy("_lon", "_lat").orderBy("dist_km", f"{b_prefix}{b_id}")
     found = (
-        frontier.join(leaves, at_leaf)
+        frontier.join(leaves, _same_cube("_p", "_q"))
         .withColumn("dist_km", dist)
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from swathe.functions.grid import cell_area_km2
@@ -99,25 +99,18 @@ def zone_measures(
     GeoJSON winding (outer anticlockwise, holes clockwise) so that holes
     subtract. Centroid is null for a flat outline.
     """
-    e = F.col("_edges")
-    turn = lambda s: s.x1 * s.y2 - s.x2 * s.y1
-    length = lambda s: F.sqrt(
-        (s.x2 - s.x1) * (s.x2 - s.x1) + (s.y2 - s.y1) * (s.y2 - s.y1)
-    )
-
-    def bound(pick, axis: str) -> Column:
-        return pick(F.transform(e, lambda s: s[axis]))
-
+    turn = "(e.x1 * e.y2 - e.x2 * e.y1)"
+    length = "sqrt((e.x2 - e.x1) * (e.x2 - e.x1) + (e.y2 - e.y1) * (e.y2 - e.y1))"
     twice = F.col("_twice")
     measured = zones.select(F.col(zone_id), ring_edges(rings).alias("_edges")).withColumn(
-        "_twice", sum_over(e, turn)
+        "_twice", sum_over("_edges", turn)
     )
     return measured.select(
         zone_id,
         F.abs(twice / 2).alias("area"),
-        sum_over(e, length).alias("perimeter"),
-        F.try_divide(sum_over(e, lambda s: (s.x1 + s.x2) * turn(s)), twice * 3).alias("centroid_x"),
-        F.try_divide(sum_over(e, lambda s: (s.y1 + s.y2) * turn(s)), twice * 3).alias("centroid_y"),
-        bound(F.array_min, "x1").alias("west"), bound(F.array_min, "y1").alias("south"),
-        bound(F.array_max, "x1").alias("east"), bound(F.array_max, "y1").alias("north"),
+        sum_over("_edges", length).alias("perimeter"),
+        F.try_divide(sum_over("_edges", f"(e.x1 + e.x2) * {turn}"), twice * 3).alias("centroid_x"),
+        F.try_divide(sum_over("_edges", f"(e.y1 + e.y2) * {turn}"), twice * 3).alias("centroid_y"),
+        F.array_min("_edges.x1").alias("west"), F.array_min("_edges.y1").alias("south"),
+        F.array_max("_edges.x1").alias("east"), F.array_max("_edges.y1").alias("north"),
     )

@@ -9,11 +9,13 @@ from pyspark.sql import SparkSession
 
 # Fixed values. Adaptive execution picks partition counts and joins from
 # measured sizes and splits skewed partitions. A join may be split even where
-# that costs one more shuffle above it.
+# that costs one more shuffle above it. Small shuffles keep more tasks than by
+# default, because polygon and distance tests are costly per row.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128KB",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }

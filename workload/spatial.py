@@ -25,7 +25,7 @@ def spatial_join(how):
 
 
 def spatial_join_parcels(spark, sf):
-    got = spatial.spatial_join(observations(spark, sf), parcels(spark, sf), cell_deg=0.5)
+    got = spatial.spatial_join(observations(spark, sf), parcels(spark, sf), cell_deg=1.0)
     return got.select("obs_id", "zone_id")
 
 
