@@ -43,6 +43,9 @@ def asof_join(
         best.withColumn("_ask", F.lit(0))
         .unionByName(asked.select(*by, "_t", F.lit(None).cast(row_type).alias("_row"), F.lit(1).alias("_ask")))
         .withColumn("_slice", time_slice(F.col("_t"), slice_width))
+        # Said here once, so that the two uses below stay the same plan and
+        # share their shuffles.
+        .where(" AND ".join(f"{c} IS NOT NULL" for c in [*by, "_slice"]))
     )
     # At equal instants the right row sorts first, so it is seen.
     within = (

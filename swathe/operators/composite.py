@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swathe.plans.quantiles import exact_quantiles
-from swathe.plans.skew import micros, seconds
+from swathe.plans.skew import seconds, time_slice
 
 # Calendar units; anything else is read as a fixed-length interval.
 UNITS = ("year", "quarter", "month", "week", "day", "hour")
@@ -28,9 +28,8 @@ def period_start(df: DataFrame, ts: str, period: str) -> Column:
     kind = df.schema[ts].dataType
     if period in UNITS:
         return F.date_trunc(period, F.col(ts)).cast(kind)
-    width = F.lit(seconds(period) * 1_000_000)
-    slot = F.floor(micros(F.col(ts)) / width).cast("long")
-    return F.timestamp_micros(slot * width).cast(kind)
+    start = time_slice(F.col(ts), period) * F.lit(seconds(period) * 1_000_000)
+    return F.timestamp_micros(start).cast(kind)
 
 
 def temporal_composite(

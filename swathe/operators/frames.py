@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from swathe.operators.composite import period_start, temporal_composite
 from swathe.plans.quantiles import exact_quantiles
-from swathe.plans.skew import time_slice
+from swathe.plans.sides import broadcast_if, has_at_most
+from swathe.plans.skew import group_sizes, micros, time_slice
 
 
 def frames_by_step(
@@ -22,12 +23,13 @@ def frames_by_step(
     comp = temporal_composite(df, keys, step, stat, value, ts)
     comp = comp.withColumnRenamed("period_start", "frame_ts")
     # The distinct steps come from the rows, not from the composite, so the
-    # aggregate is not computed twice. Their number is bounded by the calendar
-    # and does not grow with the rows.
+    # composite is not computed twice. They grow with the calendar, not with
+    # the rows.
     steps = df.select(period_start(df, ts, step).alias("frame_ts")).distinct()
     index = steps.select(
         "frame_ts", F.dense_rank().over(Window.orderBy("frame_ts")).alias("frame_idx")
     )
+    index = broadcast_if(index, has_at_most(steps, 100_000))
     return comp.join(index, "frame_ts").select(*keys, "frame_idx", "frame_ts", value)
 
 
@@ -39,11 +41,16 @@ def frames_by_count(
 
     ``ntile`` itself would sort everything in one task. Here instants are
     ranked inside time slices and offset by the counts of earlier slices, a
-    table bounded by the calendar.
+    table bounded by the calendar. Only the first instant of each frame comes
+    back, at most ``n`` numbers, and rows find their frame by comparing
+    against them: the rows themselves are not shuffled.
     """
+    if not 1 <= n <= 5000:
+        raise ValueError("n must lie in 1..5000")
+    us = micros(F.col(ts))
     instants = (
-        df.where(F.col(ts).isNotNull()).select(ts).distinct()
-        .withColumn("_slice", time_slice(F.col(ts), slice_width))
+        df.where(F.col(ts).isNotNull()).select(us.alias("_us"), time_slice(F.col(ts), slice_width).alias("_slice"))
+        .distinct()
     )
     per_slice = instants.groupBy("_slice").agg(F.count(F.lit(1)).alias("_in"))
     in_order = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -55,8 +62,8 @@ def frames_by_count(
         F.coalesce(F.sum("_in").over(in_order), F.lit(0)).alias("_before"),
         F.sum("_in").over(everything).alias("_all"),
     )
-    rank = F.row_number().over(Window.partitionBy("_slice").orderBy(ts)) - 1
-    ranked = instants.withColumn("_at", rank).join(per_slice, "_slice")
+    at = F.row_number().over(Window.partitionBy("_slice").orderBy("_us")) - 1
+    ranked = instants.withColumn("_at", at).join(per_slice, "_slice")
     r = F.col("_before") + F.col("_at")
     size = F.floor(F.col("_all") / F.lit(n))
     longer = F.col("_all") % F.lit(n)
@@ -64,7 +71,21 @@ def frames_by_count(
     frame = F.when(r < cut, F.floor(r / (size + 1)) + 1).otherwise(
         longer + F.floor(F.try_divide(r - cut, size)) + 1
     )
-    return df.join(ranked.select(ts, frame.cast("int").alias("frame_idx")), ts, "left")
+    starts = ranked.groupBy(frame.alias("_frame")).agg(F.min("_us").alias("_start"))
+    bounds = sorted(row["_start"] for row in starts.collect())  # one row per frame
+    if not bounds:
+        return df.withColumn("frame_idx", F.lit(None).cast("int"))
+    numbered = df.withColumn("_us", us).withColumn("frame_idx", F.expr(_search("_us", bounds, 1)))
+    return numbered.drop("_us")
+
+
+def _search(column: str, starts: list[int], first: int) -> str:
+    """SQL binary search: number of the last start at or before ``column``."""
+    if len(starts) == 1:
+        return f"CASE WHEN {column} IS NOT NULL THEN {first} END"
+    half = len(starts) // 2
+    below, above = _search(column, starts[:half], first), _search(column, starts[half:], first + half)
+    return f"CASE WHEN {column} < {starts[half]}L THEN {below} ELSE {above} END"
 
 
 def frame_delta(
@@ -89,16 +110,20 @@ def stretch(
 
     Values beyond the percentiles clamp; a flat group maps to 0. The exact
     percentiles need a shuffle of distinct values; ``approx`` uses a
-    fixed-size sketch instead.
+    fixed-size sketch instead. The rows themselves are shuffled only when the
+    groups are too many to broadcast their limits.
     """
+    by = list(by)
+    sizes = group_sizes(df.where(F.col(value).isNotNull()), by)
     if approx:
         limits = df.groupBy(*by).agg(
             F.approx_percentile(value, lo, 10_000).alias("_lo"),
             F.approx_percentile(value, hi, 10_000).alias("_hi"),
         )
     else:
-        limits = exact_quantiles(df, by, value, {"_lo": lo, "_hi": hi})
+        limits = exact_quantiles(df, by, value, {"_lo": lo, "_hi": hi}, sizes=sizes)
+    limits = broadcast_if(limits, sizes.groups <= 500_000)
     share = F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     shade = F.round(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * F.lit(255.0)).cast("int")
     shade = F.when(F.col(value).isNotNull(), F.coalesce(shade, F.lit(0)))
-    return df.join(limits, list(by), "left").withColumn(out, shade).drop("_lo", "_hi")
+    return df.join(limits, by, "left").withColumn(out, shade).drop("_lo", "_hi")

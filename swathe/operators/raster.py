@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from swathe.functions.grid import cell_xy
 from swathe.operators.composite import STATS
-from swathe.plans.quantiles import exact_quantiles
+from swathe.plans.quantiles import builtin_quantiles, exact_quantiles
+from swathe.plans.skew import group_sizes
 
 
 def regrid(
@@ -58,7 +59,10 @@ def band_stats(
     if approx or not probs:
         sketched = [F.approx_percentile(value, p, 10_000).alias(c) for c, p in probs.items()]
         return df.groupBy(*by).agg(*aggs, *sketched)
-    exact = exact_quantiles(df, by, value, probs, group_limit=group_limit)
+    sizes = group_sizes(df, by)
+    if sizes.largest <= group_limit:
+        return df.groupBy(*by).agg(*aggs, *builtin_quantiles(value, probs))
+    exact = exact_quantiles(df, by, value, probs, group_limit=group_limit, sizes=sizes)
     return df.groupBy(*by).agg(*aggs).join(exact, by, "left")
 
 

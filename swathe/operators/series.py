@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.plans.skew import micros, seconds
+from swathe.plans.skew import floor_div, micros, seconds, time_slice
 
 SECONDS_PER_DAY = 86400.0
 
@@ -119,57 +119,56 @@ def rolling(
     parts = [("_n", F.sum), ("_s", F.sum), ("_lo", F.min), ("_hi", F.max)]
     names = [c for c, _ in parts]
 
-    at = F.col("_us")
-    instants = (
-        df.where(F.col(ts).isNotNull())
-        .groupBy(*keys, ts)
-        .agg(
-            F.count(value).alias("_n"), F.sum(value).alias("_s"),
-            F.min(value).alias("_lo"), F.max(value).alias("_hi"),
-        )
-        .withColumn("_us", micros(F.col(ts)))
-        .withColumn("_slice", F.floor(at / F.lit(width)).cast("long"))
-        .withColumn("_off", F.pmod(at, F.lit(width)))
+    us = micros(F.col(ts))
+    sliced = df.where(F.col(ts).isNotNull()).withColumn(
+        "_slice", floor_div(us, width)
+    )
+    partial = [
+        F.count(value).alias("_n"), F.sum(value).alias("_s"),
+        F.min(value).alias("_lo"), F.max(value).alias("_hi"),
+    ]
+    instants = sliced.groupBy(*keys, "_slice", ts).agg(*partial)
+
+    # Every instant is written twice: as data, and as a question to the slice
+    # one span earlier, about what lies at or after its own offset there.
+    data = F.col("_ask") == 0
+    rows = (
+        instants.withColumn("_off", F.pmod(us, F.lit(width)))
+        .withColumn("_ask", F.explode(F.array(F.lit(0), F.lit(1))))
+        .withColumn("_slice", F.col("_slice") - F.col("_ask") * slices)
+        .withColumns({c: F.when(data, F.col(c)) for c in names})
     )
-
-    # Head: instants of the same slice up to and including this one.
     in_slice = Window.partitionBy(*keys, "_slice")
     to_here = in_slice.orderBy("_off").rowsBetween(Window.unboundedPreceding, 0)
-    head = instants.select(*keys, ts, *[f(c).over(to_here).alias(c) for c, f in parts])
-
-    # Tail: each instant asks the slice one span earlier for what lies at or
-    # after its own offset there. At equal offsets data sorts before questions.
-    asked = instants.select(
-        *keys, ts, (F.col("_slice") - slices).alias("_slice"), "_off",
-        *[F.lit(None).cast(instants.schema[c].dataType).alias(c) for c in names],
-        F.lit(1).alias("_ask"),
-    )
-    data = instants.select(*keys, ts, "_slice", "_off", *names, F.lit(0).alias("_ask"))
+    # At equal offsets data sorts before questions.
     from_here = in_slice.orderBy(F.desc("_off"), "_ask").rowsBetween(Window.unboundedPreceding, 0)
-    tail = (
-        data.unionByName(asked)
-        .select(*keys, ts, "_ask", *[f(c).over(from_here).alias(c) for c, f in parts])
-        .where("_ask = 1")
-        .drop("_ask")
+    ends = rows.select(
+        *keys, ts, "_slice", "_ask",
+        *[F.when(data, f(c).over(to_here)).otherwise(f(c).over(from_here)).alias(c) for c, f in parts],
     )
 
-    # Middle: whole slices, one row per key and slice.
-    whole = instants.groupBy(*keys, "_slice").agg(*[f(c).alias(c) for c, f in parts])
+    # Whole slices between, one row per key and slice.
+    whole = sliced.groupBy(*keys, "_slice").agg(*partial)
     between = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(-(slices - 1), -1)
-    whole = whole.select(*keys, "_slice", *[f(c).over(between).alias(c) for c, f in parts])
-    middle = (
-        _null_safe(instants.select(*keys, ts, "_slice"), whole, [*keys, "_slice"])
-        .where(F.col("_n") > 0)
-        .select(*keys, ts, *names)
+    whole = whole.select(*keys, "_slice", *[f(c).over(between).alias(f"_mid{c}") for c, f in parts])
+
+    both = _null_safe(ends, whole, [*keys, "_slice"], "left")
+    pick = {
+        c: f(F.when(data, F.col(f"_mid{c}"))) for c, f in parts
+    }
+    merged = both.groupBy(*keys, ts).agg(
+        *[f(c).alias(f"_end{c}") for c, f in parts], *[m.alias(f"_mid{c}") for c, m in pick.items()]
     )
-
-    merged = head.unionByName(tail).unionByName(middle).groupBy(*keys, ts)
-    return merged.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("roll_count"),
-        F.sum("_s").alias("roll_sum"),
-        F.try_divide(F.sum("_s"), F.sum("_n")).alias("roll_mean"),
-        F.min("_lo").alias("roll_min"),
-        F.max("_hi").alias("roll_max"),
+    nothing = F.lit(0)
+    count = F.coalesce(F.col("_end_n"), nothing) + F.coalesce(F.col("_mid_n"), nothing)
+    total = F.when(
+        count > 0, F.coalesce(F.col("_end_s"), nothing) + F.coalesce(F.col("_mid_s"), nothing)
+    )
+    return merged.select(
+        *keys, ts, count.alias("roll_count"), total.alias("roll_sum"),
+        F.try_divide(total, count).alias("roll_mean"),
+        F.least("_end_lo", "_mid_lo").alias("roll_min"),
+        F.greatest("_end_hi", "_mid_hi").alias("roll_max"),
     )
 
 
@@ -190,7 +189,7 @@ def gap_fill(
         raise ValueError(f"unknown method {method!r}")
     keys = list(keys)
     width = F.lit(seconds(step) * 1_000_000)
-    slot = F.floor(micros(F.col(ts)) / width).cast("long")
+    slot = time_slice(F.col(ts), step)
     slots = (
         df.where(F.col(value).isNotNull() & F.col(ts).isNotNull())
         .groupBy(*keys, slot.alias("_slot"))
@@ -220,10 +219,13 @@ def gap_fill(
     )
 
 
-def _null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def _null_safe(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join where null keys match, as they do in ``groupBy``."""
     names = {c: f"_r_{c}" for c in on}
     cond = None
     for c, r in names.items():
         eq = F.col(c).eqNullSafe(F.col(r))
         cond = eq if cond is None else cond & eq
-    return left.join(right.withColumnsRenamed(names), cond).drop(*names.values())
+    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())

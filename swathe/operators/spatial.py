@@ -239,14 +239,17 @@ def nearest_join(
     depth = min([r["_l"] for r in crowd if r["most"] <= leaf], default=max_level)
 
     who = ["_lon", "_lat", "_ax", "_ay", "_az"]
-    frontier = seekers.selectExpr(*who, *[f"0L AS _p{d}" for d in AXES])
+    # Round one starts from every cube of the first level: four each way.
+    frontier = seekers.selectExpr(*who)
+    for d in AXES:
+        frontier = frontier.withColumn(f"_p{d}", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))))
     nearest_first = "PARTITION BY _lon, _lat ORDER BY _far ROWS UNBOUNDED PRECEDING"
     for level in range(2, depth + 1, 2):
         cubes = (
             spots.selectExpr("_w", *[f"{cube(f'_b{d}', level)} AS _c{d}" for d in AXES])
             .groupBy(*[f"_c{d}" for d in AXES])
             .agg(F.expr(f"least(sum(_w), {k}) AS _n"))
-            .selectExpr("*", *[f"shiftright(_c{d}, 2) AS _q{d}" for d in AXES])
+            .selectExpr("*", *[f"{f'shiftright(_c{d}, 2)' if level > 2 else f'_c{d}'} AS _q{d}" for d in AXES])
         )
         # The first level has at most 64 cubes; below it every parent has at
         # most 64 children, whatever the size of b.

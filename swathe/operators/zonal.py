@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from swathe.functions.grid import cell_area_km2
 from swathe.functions.polygon import ring_edges, sum_over
 from swathe.operators.spatial import spatial_join
-from swathe.plans.quantiles import exact_quantiles
+from swathe.plans.quantiles import builtin_quantiles, exact_quantiles
+from swathe.plans.skew import group_sizes
 
 ZONAL_STATS = ("count", "sum", "mean", "min", "max", "stddev", "median")
 
@@ -58,17 +59,22 @@ def zonal_stats(
         "stddev": F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))),
     }
     keys = [zone_id, *by]
-    plain = [c for c in stats if c != "median"]
-    out = held.groupBy(*keys).agg(*[merged[c].alias(c) for c in plain or ["count"]])
-    if "median" in stats:
-        med = exact_quantiles(held, keys, "_v", {"median": 0.5}, "_n", group_limit)
-        names = {c: f"_m_{c}" for c in keys}
-        cond = None
-        for c, r in names.items():
-            eq = F.col(c).eqNullSafe(F.col(r))
-            cond = eq if cond is None else cond & eq
-        out = out.join(med.withColumnsRenamed(names), cond)
-    return out.select(*keys, *stats)
+    plain = [merged[c].alias(c) for c in stats if c != "median"]
+    if "median" not in stats:
+        return held.groupBy(*keys).agg(*plain)
+    sizes = group_sizes(held, keys)
+    if sizes.largest <= group_limit:
+        median = builtin_quantiles("_v", {"median": 0.5}, "_n")
+        return held.groupBy(*keys).agg(*plain, *median).select(*keys, *stats)
+    median = exact_quantiles(held, keys, "_v", {"median": 0.5}, "_n", group_limit, sizes=sizes)
+    if not plain:
+        return median
+    names = {c: f"_m_{c}" for c in keys}
+    same = " AND ".join(f"{c} <=> {r}" for c, r in names.items())
+    return (
+        held.groupBy(*keys).agg(*plain)
+        .join(median.withColumnsRenamed(names), F.expr(same)).select(*keys, *stats)
+    )
 
 
 def class_area(
@@ -83,10 +89,12 @@ def class_area(
     per_spot = cells.groupBy(lon, lat, class_col).agg(F.count(F.lit(1)).alias("_n"))
     held = spatial_join(per_spot, zones, "inner", cell_deg, zone_id=zone_id, lon=lon, lat=lat)
     area = F.col("_n") * cell_area_km2(lat, res)
-    return held.rollup(zone_id, class_col).agg(
+    # The rollup copies its input once per level: give it only the totals.
+    totals = held.groupBy(zone_id, class_col).agg(F.sum("_n").alias("_n"), F.sum(area).alias("_area"))
+    return totals.rollup(zone_id, class_col).agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum("_n").alias("n"),
-        F.sum(area).alias("area_km2"),
+        F.sum("_area").alias("area_km2"),
     )
 
 

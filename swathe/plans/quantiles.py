@@ -19,7 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.plans.skew import largest_group
+from swathe.plans.sides import broadcast_if
+from swathe.plans.skew import GroupSizes, group_sizes
 
 # Types with at most 65,536 values: the built-in aggregate's state is bounded.
 SMALL_TYPES = ("tinyint", "smallint", "boolean")
@@ -28,28 +29,36 @@ SMALL_TYPES = ("tinyint", "smallint", "boolean")
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
     weight: str | None = None, group_limit: int = 50_000, ranges: int = 64,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Interpolated quantiles per group; ``probs`` maps output column to p.
 
     Same definition as SQL ``percentile_cont``. Null values are ignored.
     ``weight`` is an integer count of how often a row's value occurs.
     ``group_limit`` is the most rows a group may have for the built-in
-    aggregate to be used.
+    aggregate to be used. ``sizes`` spares measuring the groups again.
     """
     by = list(by)
     known = df.where(F.col(value).isNotNull())
     small = df.schema[value].dataType.simpleString() in SMALL_TYPES
-    if small or largest_group(known, by) <= group_limit:
-        freq = F.lit(1) if weight is None else F.col(weight)
-        return known.groupBy(*by).agg(
-            *[F.percentile(F.col(value), p, freq).alias(c) for c, p in probs.items()]
-        )
-    return _by_ranges(known, by, value, probs, weight, ranges)
+    if not small and sizes is None:
+        sizes = group_sizes(known, by)
+    if small or sizes.largest <= group_limit:
+        return known.groupBy(*by).agg(*builtin_quantiles(value, probs, weight))
+    return _by_ranges(known, by, value, probs, weight, ranges, sizes.groups)
+
+
+def builtin_quantiles(
+    value: str, probs: dict[str, float], weight: str | None = None
+) -> list[Column]:
+    """Quantiles as plain aggregates, for groups known to be small."""
+    often = F.lit(1) if weight is None else F.col(weight)
+    return [F.percentile(F.col(value), p, often).alias(c) for c, p in probs.items()]
 
 
 def _by_ranges(
     known: DataFrame, by: list[str], value: str, probs: dict[str, float],
-    weight: str | None, ranges: int,
+    weight: str | None, ranges: int, groups: int,
 ) -> DataFrame:
     n = F.count(F.lit(1)) if weight is None else F.sum(weight)
     counts = known.groupBy(*by, F.col(value).cast("double").alias("_v")).agg(n.alias("_n"))
@@ -58,9 +67,10 @@ def _by_ranges(
         F.sum("_n").alias("_total"),
         F.approx_percentile("_v", cuts, 10_000).alias("_cuts"),
     )
-    # One row per group: left to adaptive execution, which broadcasts it when
-    # its measured size is small and splits hot groups when it is not.
-    ranged = _join_null_safe(counts, group, by).withColumn(
+    # Tables of one or a few rows per group are broadcast while the groups are
+    # few; with many groups adaptive execution splits the hot ones.
+    few = groups * max(ranges, 2 * len(probs)) <= 2_000_000
+    ranged = _join_null_safe(counts, broadcast_if(group, few), by).withColumn(
         "_range", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
     ).drop("_cuts")
 
@@ -85,7 +95,7 @@ def _by_ranges(
     inside = Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    picked = _join_null_safe(ranged, targets, [*by, "_range"]).withColumn(
+    picked = _join_null_safe(ranged, broadcast_if(targets, few), [*by, "_range"]).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(inside)
     )
     aggs, outs = [], []
@@ -105,8 +115,6 @@ def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> Dat
     """Inner join where null keys match, as they do in ``groupBy``."""
     names = {c: f"_r_{c}" for c in on}
     right = right.withColumnsRenamed(names)
-    shared = [c for c in right.columns if c in left.columns]
-    right = right.drop(*shared)
     cond = None
     for c in on:
         eq = F.col(c).eqNullSafe(F.col(names[c]))

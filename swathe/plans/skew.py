@@ -8,16 +8,22 @@ group, so those operators cut the group themselves.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def largest_group(df: DataFrame, by: Sequence[str]) -> int:
-    """Rows in the biggest group. Runs a job that reads only the keys and
-    combines counts before its shuffle."""
-    row = df.groupBy(*by).count().agg(F.max("count")).first()
-    return row[0] or 0
+class GroupSizes(NamedTuple):
+    groups: int
+    largest: int
+
+
+def group_sizes(df: DataFrame, by: Sequence[str]) -> GroupSizes:
+    """Number of groups and rows of the biggest one. Runs a job that reads
+    only the keys and combines counts before its shuffle."""
+    row = df.groupBy(*by).count().agg(F.count("*"), F.max("count")).first()
+    return GroupSizes(row[0], row[1] or 0)
 
 
 def seconds(interval: str) -> int:
@@ -36,6 +42,12 @@ def micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
+def floor_div(number: Column, width: int) -> Column:
+    """Whole-number division rounding down, exact for 64-bit numbers."""
+    w = F.lit(width).cast("long")
+    return F.call_function("div", number - F.pmod(number, w), w)
+
+
 def time_slice(ts: Column, width: str) -> Column:
     """Number of the fixed-width slice a timestamp lies in."""
-    return F.floor(micros(ts) / F.lit(seconds(width) * 1_000_000)).cast("long")
+    return floor_div(micros(ts), seconds(width) * 1_000_000)
