@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: mean Earth radius in kilometres (IUGG).
 EARTH_RADIUS_KM = 6371.0088
+# Fixed value: latitude at which the square Web-Mercator map ends.
+MERCATOR_LIMIT = 85.0511287798066
 
 
 def col(c: Column | str) -> Column:
@@ -55,19 +57,18 @@ def cell_area_km2(lat: Column | str, res: float) -> Column:
 def tile_xy(lon: Column | str, lat: Column | str, z: int) -> tuple[Column, Column]:
     """Web-Mercator tile column and row at zoom ``z``.
 
-    Positions beyond the projection's latitude limit are clamped to the first
-    or last row, and longitude 180 to the last column.
+    Positions beyond the projection's latitude limit fall into the first or
+    last row, and longitude 180 into the last column.
     """
     n = float(2**z)
     last = F.lit(2**z - 1)
-    lat_r = F.radians(col(lat))
+    mapped = F.least(F.greatest(col(lat), F.lit(-MERCATOR_LIMIT)), F.lit(MERCATOR_LIMIT))
+    lat_r = F.radians(F.when(col(lat).isNotNull(), mapped))
     x = floor_int((col(lon) + F.lit(180.0)) / F.lit(360.0) * F.lit(n))
     merc = F.ln(F.tan(lat_r) + F.lit(1.0) / F.cos(lat_r)) / F.lit(math.pi)
     y = floor_int((F.lit(1.0) - merc) / F.lit(2.0) * F.lit(n))
-    return (
-        F.least(F.greatest(x, F.lit(0)), last),
-        F.least(F.greatest(y, F.lit(0)), last),
-    )
+    onto = lambda c: F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(0)), last))
+    return onto(x), onto(y)
 
 
 def haversine_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> Column:

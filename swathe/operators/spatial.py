@@ -228,7 +228,11 @@ def nearest_join(
         "_blon", "_blat", "_b",
     )
     levels = list(range(2, max_level + 1, 2))
-    cube = lambda c, level: f"cast(floor(({c} + 1D) * pow(2D, {level} - 1)) AS bigint)"
+
+    def cube(c: str, level: int | str) -> str:
+        # A coordinate of exactly 1 belongs to the last cube.
+        return f"cast(least(floor(({c} + 1D) * pow(2D, {level} - 1)), pow(2D, {level}) - 1) AS bigint)"
+
     crowd = (
         spots.withColumn("_l", F.explode(F.array(*map(F.lit, levels))))
         .selectExpr("_l", *[f"{cube(f'_b{d}', '_l')} AS _c{d}" for d in AXES])
