@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.plans.skew import micros, seconds, time_slice
+from swathe.plans.skew import floor_div, micros, narrowest_needed, seconds
 
 
 def asof_join(
     left: DataFrame, right: DataFrame, by: Sequence[str], ts: str = "obs_ts",
     right_ts: str | None = None, right_id: str | None = None,
-    tolerance: str | None = None, slice_width: str = "1 day", prefix: str = "asof_",
+    tolerance: str | None = None, slice_width: str | None = None,
+    slice_limit: int = 5_000_000, prefix: str = "asof_",
 ) -> DataFrame:
     """Left rows with the columns of the latest right row at or before their
     time and with equal ``by`` columns; nulls where there is none.
@@ -26,7 +27,8 @@ def asof_join(
     instants, both sides are cut into time slices, each slice is resolved on
     its own, and the last right row of earlier slices is carried in from a
     table of one row per key and slice. The answers are joined back on key and
-    instant, where adaptive execution splits a hot one.
+    instant, where adaptive execution splits a hot one. A slice is a day, or
+    less if a day of one key would hold more than ``slice_limit`` rows.
     """
     by = list(by)
     right_ts = right_ts or ts
@@ -39,10 +41,20 @@ def asof_join(
     )
     asked = left.where(F.col(ts).isNotNull()).select(*by, F.col(ts).alias("_t")).distinct()
     row_type = best.schema["_row"].dataType
+    if slice_width is None:
+        moments = left.select(*by, F.col(ts).alias("_t")).unionByName(
+            right.select(*by, F.col(right_ts).alias("_t"))
+        )
+        widths = [seconds(w) * 1_000_000 for w in ("1 day", "1 hour", "1 minute")]
+        width = narrowest_needed(
+            moments.where("_t IS NOT NULL"), by, micros(F.col("_t")), widths, slice_limit
+        )
+    else:
+        width = seconds(slice_width) * 1_000_000
     both = (
         best.withColumn("_ask", F.lit(0))
         .unionByName(asked.select(*by, "_t", F.lit(None).cast(row_type).alias("_row"), F.lit(1).alias("_ask")))
-        .withColumn("_slice", time_slice(F.col("_t"), slice_width))
+        .withColumn("_slice", floor_div(micros(F.col("_t")), width))
         # Said here once, so that the two uses below stay the same plan and
         # share their shuffles.
         .where(" AND ".join(f"{c} IS NOT NULL" for c in [*by, "_slice"]))

@@ -34,7 +34,7 @@ def frames_by_step(
 
 
 def frames_by_count(
-    df: DataFrame, n: int, ts: str = "obs_ts", slice_width: str = "1 day"
+    df: DataFrame, n: int, ts: str = "obs_ts", slice_width: str = "1 minute"
 ) -> DataFrame:
     """Rows with ``frame_idx`` 1..n, the distinct instants shared out evenly
     in time order as ``ntile(n)`` would. Rows of one instant share a frame.

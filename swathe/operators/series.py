@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.plans.skew import floor_div, micros, seconds, time_slice
+from swathe.plans.skew import floor_div, micros, narrowest_needed, seconds, time_slice
 
 SECONDS_PER_DAY = 86400.0
 
@@ -99,7 +99,7 @@ def trend(
 
 def rolling(
     df: DataFrame, keys: Sequence[str], span: str, value: str = "value", ts: str = "obs_ts",
-    slices: int = 32,
+    slices: int | None = None, slice_limit: int = 5_000_000,
 ) -> DataFrame:
     """Trailing count, sum, mean, min and max over ``[t - span, t]``.
 
@@ -110,16 +110,23 @@ def rolling(
     Time is cut into slices of ``span / slices``. The window of an instant in
     slice s is then the tail of slice s - ``slices``, the whole slices between,
     and the head of slice s. Each part is a mergeable partial aggregate, and a
-    task sees one slice of one key.
+    task sees one slice of one key. Unless ``slices`` is given, it is 32, or
+    more if a slice would hold more than ``slice_limit`` rows.
     """
     keys = list(keys)
-    width = seconds(span) * 1_000_000 // slices
-    if width * slices != seconds(span) * 1_000_000:
+    length = seconds(span) * 1_000_000
+    us = micros(F.col(ts))
+    if slices is None:
+        # Numbers of slices that divide a second's microseconds.
+        widths = [length // 32, length // 500, length // 4000]
+        width = narrowest_needed(df.where(F.col(ts).isNotNull()), keys, us, widths, slice_limit)
+        slices = length // width
+    width = length // slices
+    if width * slices != length:
         raise ValueError("slices must divide the span")
     parts = [("_n", F.sum), ("_s", F.sum), ("_lo", F.min), ("_hi", F.max)]
     names = [c for c, _ in parts]
 
-    us = micros(F.col(ts))
     sliced = df.where(F.col(ts).isNotNull()).withColumn(
         "_slice", floor_div(us, width)
     )

@@ -18,6 +18,8 @@ from swathe.plans.sides import broadcast_if, has_at_most
 # Slack, in degrees or on the unit sphere, by which filters that only prune are
 # widened, so that rounding never drops a true match.
 SLACK = 1e-9
+# The same where distances far below a metre matter; a few roundings wide.
+NEAR_SLACK = 1e-13
 
 # A cover up to this size is sent to every executor.
 BROADCAST_BYTES = 64 << 20
@@ -203,7 +205,7 @@ def _cube_distance2(p: str, g: str, side: float, origin: float) -> tuple[str, st
 
 def nearest_join(
     a: DataFrame, b: DataFrame, k: int, b_id: str, lon: str = "lon", lat: str = "lat",
-    b_prefix: str = "b_", leaf: int = 32, max_level: int = 26,
+    b_prefix: str = "b_", leaf: int = 32, max_level: int = 40,
 ) -> DataFrame:
     """The ``k`` nearest ``b`` rows of each ``a`` row, ties to the lower
     ``b_id``; columns of ``b`` get ``b_prefix``, plus ``dist_km``, ``rank``.
@@ -214,7 +216,7 @@ def nearest_join(
     least and greatest distance, so a dense cluster of ``b`` is narrowed down
     before any of its rows is paired. The number of rounds is found by one
     counting job over ``b``: halving stops when no cube holds more than
-    ``leaf`` positions, or at ``max_level`` (about 20 cm). Equal positions are
+    ``leaf`` positions, or at ``max_level`` (about 0.01 mm). Equal positions are
     searched once per side. ``a`` rows without a position give no row.
     """
     seekers = _on_sphere(a.select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct(), "_lon", "_lat", "_a")
@@ -263,7 +265,7 @@ def nearest_join(
             .selectExpr(*who, *[f"_c{d} AS _p{d}" for d in AXES], "_n", f"sqrt({near}) AS _near", f"sqrt({far}) AS _far")
             .selectExpr("*", f"sum(_n) OVER ({nearest_first}) AS _filled")
             .selectExpr("*", f"min(CASE WHEN _filled >= {k} THEN _far END) OVER (PARTITION BY _lon, _lat) AS _bound")
-            .where(f"_bound IS NULL OR _near <= _bound + {SLACK}D")
+            .where(f"_bound IS NULL OR _near <= _bound + {NEAR_SLACK}D")
             .select(*who, *[f"_p{d}" for d in AXES])
         )
 

@@ -25,10 +25,13 @@ from swathe.plans.skew import GroupSizes, group_sizes
 # Types with at most 65,536 values: the built-in aggregate's state is bounded.
 SMALL_TYPES = ("tinyint", "smallint", "boolean")
 
+# A range is found among this many splitters at a time.
+FAN = 64
+
 
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-    weight: str | None = None, group_limit: int = 50_000, ranges: int = 64,
+    weight: str | None = None, group_limit: int = 50_000, ranges: int | None = None,
     sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Interpolated quantiles per group; ``probs`` maps output column to p.
@@ -37,6 +40,8 @@ def exact_quantiles(
     ``weight`` is an integer count of how often a row's value occurs.
     ``group_limit`` is the most rows a group may have for the built-in
     aggregate to be used. ``sizes`` spares measuring the groups again.
+    ``ranges`` is how many ranges a larger group is cut into, 64 or 4096;
+    chosen by its size if left out.
     """
     by = list(by)
     known = df.where(F.col(value).isNotNull())
@@ -45,6 +50,8 @@ def exact_quantiles(
         sizes = group_sizes(known, by)
     if small or sizes.largest <= group_limit:
         return known.groupBy(*by).agg(*builtin_quantiles(value, probs, weight))
+    if ranges is None:
+        ranges = FAN if sizes.largest <= FAN * 1_000_000 else FAN * FAN
     return _by_ranges(known, by, value, probs, weight, ranges, sizes.groups)
 
 
@@ -70,9 +77,8 @@ def _by_ranges(
     # Tables of one or a few rows per group are broadcast while the groups are
     # few; with many groups adaptive execution splits the hot ones.
     few = groups * max(ranges, 2 * len(probs)) <= 2_000_000
-    ranged = _join_null_safe(counts, broadcast_if(group, few), by).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    ).drop("_cuts")
+    ranged = _join_null_safe(counts, broadcast_if(group, few), by)
+    ranged = ranged.withColumn("_range", F.expr(_range_of(ranges))).drop("_cuts")
 
     rank = {
         c: (F.lit(float(p)) * (F.col("_total") - 1)) for c, p in probs.items()
@@ -111,6 +117,18 @@ def _by_ranges(
     return picked.groupBy(*by).agg(*aggs).select(*by, *outs)
 
 
+def _range_of(ranges: int) -> str:
+    """SQL for how many splitters lie below the value: straight, or by first
+    finding the right block of splitters."""
+    below = lambda cuts: f"size(filter({cuts}, c -> c < _v))"
+    if ranges == FAN:
+        return below("_cuts")
+    if ranges != FAN * FAN:
+        raise ValueError(f"ranges must be {FAN} or {FAN * FAN}")
+    block = below(f"transform(sequence(1, {FAN - 1}), i -> _cuts[i * {FAN} - 1])")
+    return f"{block} * {FAN} + {below(f'slice(_cuts, {block} * {FAN} + 1, {FAN - 1})')}"
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner join where null keys match, as they do in ``groupBy``."""
     names = {c: f"_r_{c}" for c in on}

@@ -51,3 +51,19 @@ def floor_div(number: Column, width: int) -> Column:
 def time_slice(ts: Column, width: str) -> Column:
     """Number of the fixed-width slice a timestamp lies in."""
     return floor_div(micros(ts), seconds(width) * 1_000_000)
+
+
+def narrowest_needed(
+    instants: DataFrame, keys: Sequence[str], at: Column, widths: Sequence[int], limit: int
+) -> int:
+    """First of ``widths`` (microseconds, falling) at which no slice of a key
+    holds more than ``limit`` rows; the last one if none is narrow enough.
+
+    Counts combine before their shuffle. Usually the first width will do, and
+    one job is all.
+    """
+    for width in widths[:-1]:
+        sliced = instants.withColumn("_slice", floor_div(at, width))
+        if group_sizes(sliced, [*keys, "_slice"]).largest <= limit:
+            return width
+    return widths[-1]

@@ -21,10 +21,21 @@ SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply :data:`SETTINGS` to a running session."""
+# Shuffle data per task to aim for.
+BYTES_PER_TASK = 128 << 20
+
+
+def configure(spark: SparkSession, data_bytes: int | None = None) -> SparkSession:
+    """Apply :data:`SETTINGS` to a running session.
+
+    Adaptive execution can merge shuffle partitions but not add any. Pass the
+    size of the data about to be shuffled to start with enough of them.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if data_bytes is not None:
+        now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", max(now, -(-data_bytes // BYTES_PER_TASK)))
     return spark
 
 

@@ -33,21 +33,22 @@ def scan_cells(
 
 
 def write_cells(
-    df: DataFrame, path: str, files: int | None = None, rows_per_file: int = 20_000_000,
+    df: DataFrame, path: str, files: int | None = None, rows_per_file: int = 10_000_000,
     mode: str = "errorifexists", ts: str = "obs_ts",
 ) -> None:
     """Write cells partitioned by band and date, clustered by place inside.
 
     Range partitioning on (band, date, iy, ix, time) lets a large band-day
-    spread over many tasks and files, and a small one stay in one.
+    spread over many tasks and files, and a small one stay in one. Unless
+    ``files`` is given, rows are counted to give each task one file's worth.
     """
+    if files is None:
+        files = -(-df.count() // rows_per_file) or 1
     dated = df.withColumn("obs_date", F.to_date(ts))
     order = ["band", "obs_date", "iy", "ix", ts]
-    laid = (
-        dated.repartitionByRange(files, *order) if files else dated.repartitionByRange(*order)
-    )
     (
-        laid.sortWithinPartitions(*order)
+        dated.repartitionByRange(files, *order)
+        .sortWithinPartitions(*order)
         .write.mode(mode)
         .option("maxRecordsPerFile", rows_per_file)
         .partitionBy("band", "obs_date")

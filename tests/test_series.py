@@ -57,6 +57,16 @@ def test_rolling_equals_plain_window(spark, hot, span, slices):
         assert x[:4] == y[:4] and x[5:] == y[5:] and x[4] == pytest.approx(y[4])
 
 
+@pytest.mark.parametrize("limit,width", [(10**6, 32), (100, 500), (0, 4000)])
+def test_rolling_narrows_crowded_slices(spark, hot, limit, width, monkeypatch):
+    chosen = []
+    real = series.narrowest_needed
+    monkeypatch.setattr(series, "narrowest_needed", lambda *a: chosen.append(real(*a)) or chosen[0])
+    got = series.rolling(hot, ["key"], "8 days", slice_limit=limit)
+    assert seconds("8 days") * 1_000_000 // chosen[0] == width
+    assert sorted(rows(got)) == sorted(rows(series.rolling(hot, ["key"], "8 days", slices=8)))
+
+
 def test_rolling_with_nulls(spark):
     df = spark.createDataFrame(
         [(None, T0, None), (None, T0 + timedelta(hours=1), 2.0), (None, T0 + timedelta(hours=9), None)],
@@ -70,11 +80,11 @@ def test_rolling_with_nulls(spark):
         series.rolling(df, ["key"], "1 second", slices=7)
 
 
-@pytest.mark.parametrize("width", ["1 minute", "1 hour", "7 days"])
+@pytest.mark.parametrize("width", ["1 minute", "7 days", None])
 @pytest.mark.parametrize("tolerance", [None, "10 minutes"])
 def test_asof_of_a_hot_key(spark, hot, width, tolerance):
     left, right = hot.where("obs_id % 2 = 0"), hot.where("obs_id % 2 = 1 AND value > 30")
-    got = asof.asof_join(left, right, ["key"], right_id="obs_id", tolerance=tolerance, slice_width=width)
+    got = asof.asof_join(left, right, ["key"], right_id="obs_id", tolerance=tolerance, slice_width=width, slice_limit=300)
     r = right.select(F.col("key").alias("k"), F.col("obs_ts").alias("t"), F.col("obs_id").alias("rid"))
     best = F.max(F.when(F.col("t") <= F.col("obs_ts"), F.struct("t", "rid")))
     want = left.join(r, left.key == r.k, "left").groupBy("obs_id", "obs_ts").agg(best.alias("b"))
@@ -94,12 +104,12 @@ def test_asof_keeps_left_rows_without_key_or_time(spark):
     assert rows(got, "id", "asof_v") == [(1, None), (2, None), (3, 5.0)]
 
 
-@pytest.mark.parametrize("limit", [10, 10**9])
-def test_quantiles_of_a_hot_group(spark, hot, limit):
+@pytest.mark.parametrize("limit,ranges", [(10, 64), (10, 4096), (10**9, None)])
+def test_quantiles_of_a_hot_group(spark, hot, limit, ranges):
     probs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
     df = hot.withColumn("value", F.when(F.col("obs_id") % 5 > 0, F.col("value") * 1.37))
     df = df.withColumn("key", F.nullif(F.col("key"), F.lit("k3")))
-    got = exact_quantiles(df, ["key"], "value", probs, group_limit=limit)
+    got = exact_quantiles(df, ["key"], "value", probs, group_limit=limit, ranges=ranges)
     want = df.groupBy("key").agg(*[F.percentile("value", p).alias(c) for c, p in probs.items()])
     a, b = sorted(rows(got), key=repr), sorted(rows(want, *got.columns), key=repr)
     assert len(a) == len(b)

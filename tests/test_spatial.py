@@ -167,6 +167,37 @@ def test_nearest_equals_brute_force(spark, k, leaf):
     assert pairs(got, "id", "rank", "b_id") == pairs(brute, "id", "r", "bid")
 
 
+def test_nearest_inside_a_millimetre_cluster(spark):
+    b = points(spark, [(30.0 + i * 1e-9, 40.0) for i in range(300)])
+    a = points(spark, [(30.0 + 150.4e-9, 40.0), (-150.0, -40.0)])
+    got = spatial.nearest_join(a, b, 2, "id", leaf=4).where("id = 0").orderBy("rank").collect()
+    assert [r["b_id"] for r in got] == [150, 151]
+
+
+def test_a_hot_cell_is_split(spark, zones, merged):
+    low = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    df = spark.range(0, 40_000, 1, 8).selectExpr(
+        "id", "CASE WHEN id % 3 > 0 THEN 5.5D ELSE (id % 80) * 1D + 0.5D END AS lon",
+        "CASE WHEN id % 3 > 0 THEN 5.5D ELSE (id % 70) * 1D + 0.5D END AS lat",
+    )
+    before = {k: spark.conf.get(k) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        got = spatial.spatial_join(df, zones, "left")
+        held = got.where("zone_id = 1").collect()
+        got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(held) == df.where("lon < 10 AND lat < 10").count()
+
+
 def test_sample_at_points(spark):
     cells = spark.createDataFrame([(190, 95, 1.5)], "ix int, iy int, v double")
     df = points(spark, [(10.5, 5.5), (11.5, 5.5)])

@@ -294,7 +294,7 @@ HISTOGRAM = f"""WITH {OBS} SELECT band, CAST(floor(value / 12.5::DOUBLE) AS BIGI
 def focal(stat):
     def query(spark, sf):
         coarse = observations(spark, sf).withColumns(dict(zip(KEYS, cell_xy("lon", "lat", 2.0))))
-        return rounded(raster.focal(coarse, 2, stat), "focal")
+        return rounded(raster.focal(coarse, 2, stat), "focal", places=9)
 
     return query
 
@@ -303,7 +303,7 @@ def _focal_sql(agg):
     return f"""WITH {OBS}, c AS (SELECT band, CAST(floor((lon + 180.0::DOUBLE) / 2.0::DOUBLE) AS INT) AS ix,
     CAST(floor((lat + 90.0::DOUBLE) / 2.0::DOUBLE) AS INT) AS iy,
     sum(value) AS s, count(*) AS n, max(value) AS hi FROM obs GROUP BY 1, 2, 3)
-SELECT a.ix, a.iy, a.band, round({agg}, 6) AS focal FROM c a JOIN c b
+SELECT a.ix, a.iy, a.band, round({agg}, 9) AS focal FROM c a JOIN c b
   ON a.band = b.band AND b.ix BETWEEN a.ix - 2 AND a.ix + 2 AND b.iy BETWEEN a.iy - 2 AND a.iy + 2
 GROUP BY 1, 2, 3"""
 
