@@ -34,7 +34,7 @@ def period_start(df: DataFrame, ts: str, period: str) -> Column:
 
 def temporal_composite(
     df: DataFrame, keys: Sequence[str], period: str, stat: str = "median",
-    value: str = "value", ts: str = "obs_ts", group_limit: int = 50_000,
+    value: str = "value", ts: str = "obs_ts", group_limit: int = 1_000_000,
 ) -> DataFrame:
     """One value per key and period: ``mean sum min max count stddev median``.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from swathe.operators.composite import period_start, temporal_composite
 from swathe.plans.quantiles import exact_quantiles
 from swathe.plans.sides import broadcast_if, has_at_most
-from swathe.plans.skew import group_sizes, micros, time_slice
+from swathe.plans.skew import GroupSizes, group_sizes, micros, time_slice
 
 
 def frames_by_step(
@@ -105,16 +105,18 @@ def frame_delta(
 def stretch(
     df: DataFrame, by: Sequence[str], lo: float = 0.02, hi: float = 0.98,
     value: str = "value", out: str = "shade", approx: bool = False,
+    sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Map values to 0..255 between two percentiles of their group.
 
     Values beyond the percentiles clamp; a flat group maps to 0. The exact
     percentiles need a shuffle of distinct values; ``approx`` uses a
     fixed-size sketch instead. The rows themselves are shuffled only when the
-    groups are too many to broadcast their limits.
+    groups are too many to broadcast their limits. ``sizes`` spares measuring
+    the groups, when the caller knows bounds.
     """
     by = list(by)
-    sizes = group_sizes(df.where(F.col(value).isNotNull()), by)
+    sizes = sizes or group_sizes(df.where(F.col(value).isNotNull()), by)
     if approx:
         limits = df.groupBy(*by).agg(
             F.approx_percentile(value, lo, 10_000).alias("_lo"),

@@ -15,7 +15,7 @@ from swathe.plans.skew import group_sizes
 
 def regrid(
     df: DataFrame, res_deg: float, stat: str = "mean", by: Sequence[str] = ("band",),
-    value: str = "value", lon: str = "lon", lat: str = "lat", group_limit: int = 50_000,
+    value: str = "value", lon: str = "lon", lat: str = "lat", group_limit: int = 1_000_000,
 ) -> DataFrame:
     """Aggregate cells to a coarser grid: one row per target cell and ``by``."""
     cx, cy = cell_xy(lon, lat, res_deg)
@@ -42,7 +42,7 @@ def refine_grid(
 
 def band_stats(
     df: DataFrame, by: Sequence[str] = ("band",), value: str = "value",
-    probs: dict[str, float] | None = None, approx: bool = False, group_limit: int = 50_000,
+    probs: dict[str, float] | None = None, approx: bool = False, group_limit: int = 1_000_000,
 ) -> DataFrame:
     """Count, min, max, mean, stddev and percentiles per band or scene.
 

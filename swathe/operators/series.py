@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.plans.skew import floor_div, micros, narrowest_needed, seconds, time_slice
+from swathe.plans.skew import floor_div, group_sizes, micros, narrowest_needed, seconds, time_slice
 
 SECONDS_PER_DAY = 86400.0
 
@@ -99,41 +99,51 @@ def trend(
 
 def rolling(
     df: DataFrame, keys: Sequence[str], span: str, value: str = "value", ts: str = "obs_ts",
-    slices: int | None = None, slice_limit: int = 5_000_000,
+    slices: int | None = None, plain_limit: int = 5_000, slice_limit: int = 5_000_000,
 ) -> DataFrame:
     """Trailing count, sum, mean, min and max over ``[t - span, t]``.
 
     One row per key and instant: rows of the same key and instant share one
     window and are combined first.
 
-    A key may hold a large share of the rows, so no task gets a whole key.
-    Time is cut into slices of ``span / slices``. The window of an instant in
-    slice s is then the tail of slice s - ``slices``, the whole slices between,
-    and the head of slice s. Each part is a mergeable partial aggregate, and a
-    task sees one slice of one key. Unless ``slices`` is given, it is 32, or
-    more if a slice would hold more than ``slice_limit`` rows.
+    While no key has more than ``plain_limit`` rows this is a window over the
+    key. Such a window visits a whole span of rows for each row, and puts a hot
+    key into one task, so larger keys are cut into time slices one span long:
+    the window of an instant is then the tail of the slice before its own and
+    the head of its own, two running aggregates. If a slice of some key would
+    hold more than ``slice_limit`` rows the span is cut into more ``slices``,
+    and the whole slices between tail and head are added from a table of one
+    row per key and slice.
     """
     keys = list(keys)
     length = seconds(span) * 1_000_000
     us = micros(F.col(ts))
+    timed = df.where(F.col(ts).isNotNull())
+    partial = [
+        F.count(value).alias("_n"), F.sum(value).alias("_s"),
+        F.min(value).alias("_lo"), F.max(value).alias("_hi"),
+    ]
     if slices is None:
+        if group_sizes(timed, keys).largest <= plain_limit:
+            span_back = Window.partitionBy(*keys).orderBy("_us").rangeBetween(-length, 0)
+            instants = timed.groupBy(*keys, ts).agg(*partial).withColumn("_us", us)
+            n, s = F.sum("_n").over(span_back), F.sum("_s").over(span_back)
+            return instants.select(
+                *keys, ts, n.alias("roll_count"), s.alias("roll_sum"),
+                F.try_divide(s, n).alias("roll_mean"),
+                F.min("_lo").over(span_back).alias("roll_min"),
+                F.max("_hi").over(span_back).alias("roll_max"),
+            )
         # Numbers of slices that divide a second's microseconds.
-        widths = [length // 32, length // 500, length // 4000]
-        width = narrowest_needed(df.where(F.col(ts).isNotNull()), keys, us, widths, slice_limit)
-        slices = length // width
+        widths = [length // n for n in (1, 32, 500, 4000)]
+        slices = length // narrowest_needed(timed, keys, us, widths, slice_limit)
     width = length // slices
     if width * slices != length:
         raise ValueError("slices must divide the span")
     parts = [("_n", F.sum), ("_s", F.sum), ("_lo", F.min), ("_hi", F.max)]
     names = [c for c, _ in parts]
 
-    sliced = df.where(F.col(ts).isNotNull()).withColumn(
-        "_slice", floor_div(us, width)
-    )
-    partial = [
-        F.count(value).alias("_n"), F.sum(value).alias("_s"),
-        F.min(value).alias("_lo"), F.max(value).alias("_hi"),
-    ]
+    sliced = timed.withColumn("_slice", floor_div(us, width))
     instants = sliced.groupBy(*keys, "_slice", ts).agg(*partial)
 
     # Every instant is written twice: as data, and as a question to the slice
@@ -154,17 +164,19 @@ def rolling(
         *[F.when(data, f(c).over(to_here)).otherwise(f(c).over(from_here)).alias(c) for c, f in parts],
     )
 
-    # Whole slices between, one row per key and slice.
-    whole = sliced.groupBy(*keys, "_slice").agg(*partial)
-    between = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(-(slices - 1), -1)
-    whole = whole.select(*keys, "_slice", *[f(c).over(between).alias(f"_mid{c}") for c, f in parts])
-
-    both = _null_safe(ends, whole, [*keys, "_slice"], "left")
-    pick = {
-        c: f(F.when(data, F.col(f"_mid{c}"))) for c, f in parts
-    }
-    merged = both.groupBy(*keys, ts).agg(
-        *[f(c).alias(f"_end{c}") for c, f in parts], *[m.alias(f"_mid{c}") for c, m in pick.items()]
+    if slices > 1:
+        # Whole slices between, one row per key and slice.
+        whole = sliced.groupBy(*keys, "_slice").agg(*partial)
+        between = Window.partitionBy(*keys).orderBy("_slice").rangeBetween(-(slices - 1), -1)
+        whole = whole.select(
+            *keys, "_slice", *[f(c).over(between).alias(f"_mid{c}") for c, f in parts]
+        )
+        ends = _null_safe(ends, whole, [*keys, "_slice"], "left")
+    else:
+        ends = ends.withColumns({f"_mid{c}": F.lit(None).cast(ends.schema[c].dataType) for c in names})
+    merged = ends.groupBy(*keys, ts).agg(
+        *[f(c).alias(f"_end{c}") for c, f in parts],
+        *[f(F.when(data, F.col(f"_mid{c}"))).alias(f"_mid{c}") for c, f in parts],
     )
     nothing = F.lit(0)
     count = F.coalesce(F.col("_end_n"), nothing) + F.coalesce(F.col("_mid_n"), nothing)

@@ -219,7 +219,8 @@ def nearest_join(
     ``leaf`` positions, or at ``max_level`` (about 0.01 mm). Equal positions are
     searched once per side. ``a`` rows without a position give no row.
     """
-    seekers = _on_sphere(a.select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct(), "_lon", "_lat", "_a")
+    places = a.select(F.col(lon).alias("_lon"), F.col(lat).alias("_lat")).distinct()
+    seekers = _on_sphere(places, "_lon", "_lat", "_a")
 
     # At one position only the k lowest ids can ever be wanted.
     same_spot = Window.partitionBy(lon, lat).orderBy(b_id)
@@ -287,7 +288,8 @@ def nearest_join(
         .select("_lon", "_lat", *[f"{b_prefix}{c}" for c in b.columns], "dist_km", "rank")
     )
     same = (F.col(lon) == F.col("_lon")) & (F.col(lat) == F.col("_lat"))
-    return a.join(found, same).drop("_lon", "_lat")
+    few = has_at_most(places, max(FEW_ROWS // k, 1))
+    return a.join(broadcast_if(found, few), same).drop("_lon", "_lat")
 
 
 def sample_at_points(

@@ -19,7 +19,7 @@ ZONAL_STATS = ("count", "sum", "mean", "min", "max", "stddev", "median")
 def zonal_stats(
     cells: DataFrame, zones: DataFrame, stats: Sequence[str] = ("count", "mean"),
     by: Sequence[str] = (), value: str = "value", cell_deg: float = 2.0,
-    zone_id: str = "zone_id", lon: str = "lon", lat: str = "lat", group_limit: int = 50_000,
+    zone_id: str = "zone_id", lon: str = "lon", lat: str = "lat", group_limit: int = 1_000_000,
 ) -> DataFrame:
     """One row per zone (and ``by``) with a column per statistic.
 

@@ -31,7 +31,7 @@ FAN = 64
 
 def exact_quantiles(
     df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-    weight: str | None = None, group_limit: int = 50_000, ranges: int | None = None,
+    weight: str | None = None, group_limit: int = 1_000_000, ranges: int | None = None,
     sizes: GroupSizes | None = None,
 ) -> DataFrame:
     """Interpolated quantiles per group; ``probs`` maps output column to p.

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from swathe.functions.grid import frame_label
+from swathe.operators.composite import period_start
 from swathe.operators.filters import qa_mask
 from swathe.operators.frames import frames_by_step, stretch
+from swathe.plans.skew import group_sizes
 
 
 def timelapse(
@@ -25,7 +27,10 @@ def timelapse(
     if qa_field is not None:
         cells = qa_mask(cells, *qa_field, allowed=qa_allowed)
     shots = frames_by_step(cells, keys, step, stat, value, ts)
-    shaded = stretch(shots, ["frame_idx"], lo, hi, value)
+    # A frame has a row per key seen in it. Counting those is cheaper than
+    # counting the rows of the composite, which would compute it.
+    seen = cells.select(*keys, period_start(cells, ts, step).alias("_frame")).distinct()
+    shaded = stretch(shots, ["frame_idx"], lo, hi, value, sizes=group_sizes(seen, ["_frame"]))
     return shaded.withColumn("label", frame_label("frame_ts", label)).select(
         *keys, "frame_idx", "frame_ts", value, "shade", "label"
     )

@@ -43,7 +43,11 @@ def write_cells(
     ``files`` is given, rows are counted to give each task one file's worth.
     """
     if files is None:
-        files = -(-df.count() // rows_per_file) or 1
+        rows = df.count()
+        # Few rows still use the cores there are: cuts fall between band-days
+        # first, so more tasks hardly make more files.
+        tasks = min(df.sparkSession.sparkContext.defaultParallelism, rows // 10_000 + 1)
+        files = max(-(-rows // rows_per_file), tasks)
     dated = df.withColumn("obs_date", F.to_date(ts))
     order = ["band", "obs_date", "iy", "ix", ts]
     (

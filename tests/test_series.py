@@ -43,7 +43,7 @@ def test_gap_fill_of_a_null_run(spark):
         series.gap_fill(df, ["key"], "1 hour", "spline")
 
 
-@pytest.mark.parametrize("span,slices", [("1 hour", 1), ("1 hour", 4), ("2 days", 32), ("9 days", 8)])
+@pytest.mark.parametrize("span,slices", [("1 hour", 1), ("1 hour", 4), ("2 days", 32), ("9 days", 8), ("2 days", None)])
 def test_rolling_equals_plain_window(spark, hot, span, slices):
     got = series.rolling(hot, ["key"], span, slices=slices)
     w = f"PARTITION BY key ORDER BY obs_ts RANGE BETWEEN INTERVAL {span} PRECEDING AND CURRENT ROW"
@@ -57,22 +57,23 @@ def test_rolling_equals_plain_window(spark, hot, span, slices):
         assert x[:4] == y[:4] and x[5:] == y[5:] and x[4] == pytest.approx(y[4])
 
 
-@pytest.mark.parametrize("limit,width", [(10**6, 32), (100, 500), (0, 4000)])
+@pytest.mark.parametrize("limit,width", [(10**6, 1), (300, 32), (20, 500), (0, 4000)])
 def test_rolling_narrows_crowded_slices(spark, hot, limit, width, monkeypatch):
     chosen = []
     real = series.narrowest_needed
     monkeypatch.setattr(series, "narrowest_needed", lambda *a: chosen.append(real(*a)) or chosen[0])
-    got = series.rolling(hot, ["key"], "8 days", slice_limit=limit)
+    got = series.rolling(hot, ["key"], "8 days", plain_limit=0, slice_limit=limit)
     assert seconds("8 days") * 1_000_000 // chosen[0] == width
     assert sorted(rows(got)) == sorted(rows(series.rolling(hot, ["key"], "8 days", slices=8)))
 
 
-def test_rolling_with_nulls(spark):
+@pytest.mark.parametrize("plain", [0, 5000])
+def test_rolling_with_nulls(spark, plain):
     df = spark.createDataFrame(
         [(None, T0, None), (None, T0 + timedelta(hours=1), 2.0), (None, T0 + timedelta(hours=9), None)],
         "key string, obs_ts timestamp_ntz, value double",
     )
-    got = series.rolling(df, ["key"], "4 hours").orderBy("obs_ts")
+    got = series.rolling(df, ["key"], "4 hours", plain_limit=plain).orderBy("obs_ts")
     assert rows(got, "roll_count", "roll_sum", "roll_mean", "roll_max") == [
         (0, None, None, None), (1, 2.0, 2.0, 2.0), (0, None, None, None),
     ]
@@ -80,27 +81,28 @@ def test_rolling_with_nulls(spark):
         series.rolling(df, ["key"], "1 second", slices=7)
 
 
-@pytest.mark.parametrize("width", ["1 minute", "7 days", None])
+@pytest.mark.parametrize("limit", [10**6, 1000, 10])
 @pytest.mark.parametrize("tolerance", [None, "10 minutes"])
-def test_asof_of_a_hot_key(spark, hot, width, tolerance):
+def test_asof_of_a_hot_key(spark, hot, limit, tolerance):
     left, right = hot.where("obs_id % 2 = 0"), hot.where("obs_id % 2 = 1 AND value > 30")
-    got = asof.asof_join(left, right, ["key"], right_id="obs_id", tolerance=tolerance, slice_width=width, slice_limit=300)
+    got = asof.asof_join(left, right, ["key"], right_id="obs_id", tolerance=tolerance, key_limit=limit)
     r = right.select(F.col("key").alias("k"), F.col("obs_ts").alias("t"), F.col("obs_id").alias("rid"))
     best = F.max(F.when(F.col("t") <= F.col("obs_ts"), F.struct("t", "rid")))
     want = left.join(r, left.key == r.k, "left").groupBy("obs_id", "obs_ts").agg(best.alias("b"))
-    limit = seconds(tolerance) if tolerance else 10**9
+    oldest = seconds(tolerance) if tolerance else 10**9
     age = "timestampdiff(SECOND, b.t, obs_ts)"
-    want = want.selectExpr("obs_id", f"CASE WHEN {age} <= {limit} THEN b.rid END AS rid")
+    want = want.selectExpr("obs_id", f"CASE WHEN {age} <= {oldest} THEN b.rid END AS rid")
     assert sorted(rows(got, "obs_id", "asof_obs_id"), key=repr) == sorted(rows(want), key=repr)
     assert got.count() == left.count()
 
 
-def test_asof_keeps_left_rows_without_key_or_time(spark):
+@pytest.mark.parametrize("limit", [100, 0])
+def test_asof_keeps_left_rows_without_key_or_time(spark, limit):
     left = spark.createDataFrame(
         [(1, None, T0), (2, "a", None), (3, "a", T0)], "id int, key string, obs_ts timestamp_ntz"
     )
     right = spark.createDataFrame([("a", T0, 5.0), (None, T0, 6.0)], "key string, obs_ts timestamp_ntz, v double")
-    got = asof.asof_join(left, right, ["key"]).orderBy("id")
+    got = asof.asof_join(left, right, ["key"], key_limit=limit).orderBy("id")
     assert rows(got, "id", "asof_v") == [(1, None), (2, None), (3, 5.0)]
 
 
