@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from swathe.operators.composite import period_start, temporal_composite
 from swathe.plans.quantiles import exact_quantiles
-from swathe.plans.sides import broadcast_if, has_at_most
+from swathe.plans.sides import broadcast_if, has_at_most, join_null_safe
 from swathe.plans.skew import GroupSizes, group_sizes, micros, time_slice
 
 
@@ -128,4 +128,4 @@ def stretch(
     share = F.try_divide(F.col(value) - F.col("_lo"), F.col("_hi") - F.col("_lo"))
     shade = F.round(F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)) * F.lit(255.0)).cast("int")
     shade = F.when(F.col(value).isNotNull(), F.coalesce(shade, F.lit(0)))
-    return df.join(limits, by, "left").withColumn(out, shade).drop("_lo", "_hi")
+    return join_null_safe(df, limits, by, "left").withColumn(out, shade).drop("_lo", "_hi")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from swathe.functions.grid import cell_xy
 from swathe.operators.composite import STATS
 from swathe.plans.quantiles import builtin_quantiles, exact_quantiles
+from swathe.plans.sides import join_null_safe
 from swathe.plans.skew import group_sizes
 
 
@@ -63,7 +64,7 @@ def band_stats(
     if sizes.largest <= group_limit:
         return df.groupBy(*by).agg(*aggs, *builtin_quantiles(value, probs))
     exact = exact_quantiles(df, by, value, probs, group_limit=group_limit, sizes=sizes)
-    return df.groupBy(*by).agg(*aggs).join(exact, by, "left")
+    return join_null_safe(df.groupBy(*by).agg(*aggs), exact, by, "left")
 
 
 def histogram(

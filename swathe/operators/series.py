@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from swathe.plans.sides import join_null_safe
 from swathe.plans.skew import floor_div, group_sizes, micros, narrowest_needed, seconds, time_slice
 
 SECONDS_PER_DAY = 86400.0
@@ -58,17 +59,10 @@ def anomaly(
     where a window would hold the whole key in one task.
     """
     clim = climatology(df, keys, part, value, ts).drop("clim_n")
-    names = {c: f"_c_{c}" for c in [*keys, part]}
-    clim = clim.withColumnsRenamed(names)
     rows = df.withColumn(part, calendar_part(ts, part))
-    cond = None
-    for k, ck in names.items():
-        eq = F.col(k).eqNullSafe(F.col(ck))
-        cond = eq if cond is None else cond & eq
     diff = F.col(value) - F.col("clim_mean")
     return (
-        rows.join(clim, cond, "left")
-        .drop(*names.values())
+        join_null_safe(rows, clim, [*keys, part], "left")
         .withColumn("anomaly", diff)
         .withColumn("zscore", F.try_divide(diff, F.col("clim_std")))
     )
@@ -171,7 +165,7 @@ def rolling(
         whole = whole.select(
             *keys, "_slice", *[f(c).over(between).alias(f"_mid{c}") for c, f in parts]
         )
-        ends = _null_safe(ends, whole, [*keys, "_slice"], "left")
+        ends = join_null_safe(ends, whole, [*keys, "_slice"], "left")
     else:
         ends = ends.withColumns({f"_mid{c}": F.lit(None).cast(ends.schema[c].dataType) for c in names})
     merged = ends.groupBy(*keys, ts).agg(
@@ -236,15 +230,3 @@ def gap_fill(
         F.when(gap == 0, F.col("_v")).otherwise(fill).alias(value),
         (gap > 0).alias("filled"),
     )
-
-
-def _null_safe(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Join where null keys match, as they do in ``groupBy``."""
-    names = {c: f"_r_{c}" for c in on}
-    cond = None
-    for c, r in names.items():
-        eq = F.col(c).eqNullSafe(F.col(r))
-        cond = eq if cond is None else cond & eq
-    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())

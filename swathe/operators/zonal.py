@@ -11,6 +11,7 @@ from swathe.functions.grid import cell_area_km2
 from swathe.functions.polygon import ring_edges, sum_over
 from swathe.operators.spatial import spatial_join
 from swathe.plans.quantiles import builtin_quantiles, exact_quantiles
+from swathe.plans.sides import join_null_safe
 from swathe.plans.skew import group_sizes
 
 ZONAL_STATS = ("count", "sum", "mean", "min", "max", "stddev", "median")
@@ -69,12 +70,7 @@ def zonal_stats(
     median = exact_quantiles(held, keys, "_v", {"median": 0.5}, "_n", group_limit, sizes=sizes)
     if not plain:
         return median
-    names = {c: f"_m_{c}" for c in keys}
-    same = " AND ".join(f"{c} <=> {r}" for c, r in names.items())
-    return (
-        held.groupBy(*keys).agg(*plain)
-        .join(median.withColumnsRenamed(names), F.expr(same)).select(*keys, *stats)
-    )
+    return join_null_safe(held.groupBy(*keys).agg(*plain), median, keys).select(*keys, *stats)
 
 
 def class_area(

@@ -2,7 +2,7 @@
 
 The built-in ``percentile`` keeps every distinct value of a group in one task's
 memory. That is the right plan while the largest group is small, so its size is
-measured first. Beyond the limit a group is cut into value ranges:
+measured first. Groups beyond the limit are cut into value ranges:
 
 1. collapse rows to (group, value, weight), combined before the shuffle;
 2. sketch splitters over the distinct values of each group;
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.plans.sides import broadcast_if
+from swathe.plans.sides import broadcast_if, join_null_safe
 from swathe.plans.skew import GroupSizes, group_sizes
 
 # Types with at most 65,536 values: the built-in aggregate's state is bounded.
@@ -27,6 +27,8 @@ SMALL_TYPES = ("tinyint", "smallint", "boolean")
 
 # A range is found among this many splitters at a time.
 FAN = 64
+# Up to this many large groups are kept apart from the others.
+MOST_LARGE = 50_000
 
 
 def exact_quantiles(
@@ -52,7 +54,14 @@ def exact_quantiles(
         return known.groupBy(*by).agg(*builtin_quantiles(value, probs, weight))
     if ranges is None:
         ranges = FAN if sizes.largest <= FAN * 1_000_000 else FAN * FAN
-    return _by_ranges(known, by, value, probs, weight, ranges, sizes.groups)
+    large = known.groupBy(*by).count().where(F.col("count") > group_limit).select(*by)
+    count = large.limit(MOST_LARGE + 1).count()
+    if count > MOST_LARGE:
+        return _by_ranges(known, by, value, probs, weight, ranges, sizes.groups)
+    # Few groups are large: broadcast which, and leave the rest to the built-in.
+    split = _by_ranges(_with_keys(known, large, by, "left_semi"), by, value, probs, weight, ranges, count)
+    rest = _with_keys(known, large, by, "left_anti")
+    return split.unionByName(rest.groupBy(*by).agg(*builtin_quantiles(value, probs, weight)))
 
 
 def builtin_quantiles(
@@ -77,7 +86,7 @@ def _by_ranges(
     # Tables of one or a few rows per group are broadcast while the groups are
     # few; with many groups adaptive execution splits the hot ones.
     few = groups * max(ranges, 2 * len(probs)) <= 2_000_000
-    ranged = _join_null_safe(counts, broadcast_if(group, few), by)
+    ranged = join_null_safe(counts, broadcast_if(group, few), by)
     ranged = ranged.withColumn("_range", F.expr(_range_of(ranges))).drop("_cuts")
 
     rank = {
@@ -101,7 +110,7 @@ def _by_ranges(
     inside = Window.partitionBy(*by, "_range").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    picked = _join_null_safe(ranged, broadcast_if(targets, few), [*by, "_range"]).withColumn(
+    picked = join_null_safe(ranged, broadcast_if(targets, few), [*by, "_range"]).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(inside)
     )
     aggs, outs = [], []
@@ -129,14 +138,5 @@ def _range_of(ranges: int) -> str:
     return f"{block} * {FAN} + {below(f'slice(_cuts, {block} * {FAN} + 1, {FAN - 1})')}"
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Inner join where null keys match, as they do in ``groupBy``."""
-    names = {c: f"_r_{c}" for c in on}
-    right = right.withColumnsRenamed(names)
-    cond = None
-    for c in on:
-        eq = F.col(c).eqNullSafe(F.col(names[c]))
-        cond = eq if cond is None else cond & eq
-    if cond is None:
-        raise ValueError("at least one grouping column is needed")
-    return left.join(right, cond).drop(*names.values())
+def _with_keys(rows: DataFrame, keys: DataFrame, by: list[str], how: str) -> DataFrame:
+    return join_null_safe(rows, F.broadcast(keys), by, how)

@@ -8,6 +8,8 @@ where adaptive execution can still split a skewed key.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,3 +21,14 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df.hint("merge")
+
+
+def join_null_safe(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join where null keys match, as they do in ``groupBy``."""
+    if not on:
+        raise ValueError("at least one grouping column is needed")
+    names = {c: f"_r_{c}" for c in on}
+    same = F.expr(" AND ".join(f"`{c}` <=> `{r}`" for c, r in names.items()))
+    return left.join(right.withColumnsRenamed(names), same, how).drop(*names.values())

@@ -5,6 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from swathe.operators import asof, composite, frames, series
+from swathe.plans import quantiles
 from swathe.plans.quantiles import exact_quantiles
 from swathe.plans.skew import group_sizes, seconds
 
@@ -106,7 +107,7 @@ def test_asof_keeps_left_rows_without_key_or_time(spark, limit):
     assert rows(got, "id", "asof_v") == [(1, None), (2, None), (3, 5.0)]
 
 
-@pytest.mark.parametrize("limit,ranges", [(10, 64), (10, 4096), (10**9, None)])
+@pytest.mark.parametrize("limit,ranges", [(10, 64), (10, 4096), (500, None), (10**9, None)])
 def test_quantiles_of_a_hot_group(spark, hot, limit, ranges):
     probs = {"p0": 0.0, "p10": 0.1, "p50": 0.5, "p99": 0.99, "p100": 1.0}
     df = hot.withColumn("value", F.when(F.col("obs_id") % 5 > 0, F.col("value") * 1.37))
@@ -119,6 +120,13 @@ def test_quantiles_of_a_hot_group(spark, hot, limit, ranges):
         assert x[0] == y[0] and x[1:] == pytest.approx(y[1:])
 
 
+def test_quantiles_when_most_groups_are_large(spark, hot, monkeypatch):
+    monkeypatch.setattr(quantiles, "MOST_LARGE", 3)
+    got = exact_quantiles(hot, ["key"], "value", {"m": 0.5}, group_limit=10)
+    want = hot.groupBy("key").agg(F.median("value").alias("m"))
+    assert sorted(rows(got)) == sorted(rows(want))
+
+
 def test_weighted_quantiles(spark):
     df = spark.createDataFrame([("a", 1.0, 3), ("a", 2.0, 1), ("a", 9.0, 4)], "k string, v double, n int")
     for limit in (0, 100):
@@ -185,6 +193,9 @@ def test_stretch_clamps_and_survives_flat_groups(spark, approx):
     shades = {r["value"]: r["shade"] for r in got.where("band = 'a'").collect()}
     assert (shades[0.0], shades[10.0], shades[90.0], shades[100.0]) == (0, 0, 255, 255)
     assert shades[50.0] in (127, 128)
+    unnamed = df.withColumn("band", F.nullif(F.col("band"), F.lit("a")))
+    again = frames.stretch(unnamed, ["band"], 0.1, 0.9, approx=approx).where("band IS NULL")
+    assert {r["value"]: r["shade"] for r in again.collect()} == shades
     assert sorted(rows(got.where("band = 'flat'"), "value", "shade"), key=repr) == [(3.0, 0), (None, None)]
 
 
