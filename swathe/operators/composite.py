@@ -54,12 +54,9 @@ def best_pixel(
     """The whole observation with the highest score per key.
 
     Null scores never win unless all are null; equal scores go to the higher
-    ``tie``. ``max_by`` combines before the shuffle, so a hot key sends one
-    row per task.
+    ``tie``, which must be unique.
     """
-    keep = [c for c in df.columns if c not in keys]
-    top = F.max_by(F.struct(*keep), F.struct(F.col(score), F.col(tie)))
-    return df.groupBy(*keys).agg(top.alias("_row")).select(*keys, "_row.*")
+    return _first_per_key(df, keys, [F.desc_nulls_last(score), F.desc(tie)])
 
 
 def mosaic(
@@ -69,13 +66,13 @@ def mosaic(
     """Latest observation per key with a value.
 
     ``order`` is compared from its highest value down and must end in a unique
-    column. The rank filter lets each task drop all but its own best row per
-    key before the shuffle.
+    column.
     """
-    latest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
-    return (
-        df.where(F.col(value).isNotNull())
-        .withColumn("_rank", F.row_number().over(latest))
-        .where("_rank = 1")
-        .drop("_rank")
-    )
+    return _first_per_key(df.where(F.col(value).isNotNull()), keys, [F.desc(c) for c in order])
+
+
+def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The rank filter lets each task drop all but its own first row per key
+    before the shuffle, so a hot key sends one row per task."""
+    ranked = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")

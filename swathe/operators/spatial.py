@@ -66,18 +66,17 @@ def zone_cover(
         a, b = f"e.{axis}1", f"e.{axis}2"
         return f"greatest({a}, {b}) >= {low} - {SLACK}D AND least({a}, {b}) <= {low} + {step} + {SLACK}D"
 
-    # Outlines are small to store but costly to cut up: spread them out.
+    # One row per zone and row of cells, spread over tasks before the costly
+    # step, so that neither many zones in a small file nor one vast outline
+    # keep a single task busy. The outline is exploded as a one-element array,
+    # because a plain projection would be evaluated once per use.
     parts = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    outlines = zones.select(F.col(zone_id), F.col(rings)).repartition(parts, zone_id)
-    # Generators, because a filter over a projection is pushed below it and
-    # evaluates its expressions a second time. Outer ones, because Spark adds
-    # such a filter below a plain explode of an array.
     rows = (
-        outlines.select(zone_id, F.array(ring_edges(rings)).alias("_one"))
+        zones.select(zone_id, F.array(ring_edges(rings)).alias("_one"))
         .select(zone_id, F.explode_outer("_one").alias("_all"))
         .select(zone_id, "_all", F.expr(f"explode({span('_all', 'y', 90)})").alias("cy"))
-        .select(zone_id, "cy", F.expr(f"array(filter(_all, e -> {meets('y', south)}))").alias("_one"))
-        .select(zone_id, "cy", F.explode_outer("_one").alias("_row"))
+        .select(zone_id, "cy", F.expr(f"filter(_all, e -> {meets('y', south)})").alias("_row"))
+        .repartition(parts, zone_id, "cy")
     )
     middle = inside_sql("_row", f"({west} + {step} / 2)", f"({south} + {step} / 2)")
     to_east = f"filter(_row, e -> greatest(e.x1, e.x2) >= {west} - {SLACK}D)"
@@ -287,7 +286,9 @@ def nearest_join(
         .where(F.col("rank") <= k)
         .select("_lon", "_lat", *[f"{b_prefix}{c}" for c in b.columns], "dist_km", "rank")
     )
-    same = (F.col(lon) == F.col("_lon")) & (F.col(lat) == F.col("_lat"))
+    # Null-safe on purpose: a plain equality would keep the partitioning that
+    # the ranking left, and adaptive execution only splits what a join shuffles.
+    same = F.col(lon).eqNullSafe(F.col("_lon")) & F.col(lat).eqNullSafe(F.col("_lat"))
     few = has_at_most(places, max(FEW_ROWS // k, 1))
     return a.join(broadcast_if(found, few), same).drop("_lon", "_lat")
 

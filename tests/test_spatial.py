@@ -167,6 +167,15 @@ def test_nearest_equals_brute_force(spark, k, leaf):
     assert pairs(got, "id", "rank", "b_id") == pairs(brute, "id", "r", "bid")
 
 
+def test_nearest_without_broadcast(spark, merged):
+    a = points(spark, SPREAD + SPREAD[:9] + [(None, 1.0)])
+    b = points(spark, [(x + 0.01, y * 0.9999) for x, y in SPREAD])
+    got = spatial.nearest_join(a, b, 2, "id", leaf=4)
+    assert got.count() == 2 * (len(SPREAD) + 9)
+    shuffled = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in shuffled
+
+
 def test_nearest_inside_a_millimetre_cluster(spark):
     b = points(spark, [(30.0 + i * 1e-9, 40.0) for i in range(300)])
     a = points(spark, [(30.0 + 150.4e-9, 40.0), (-150.0, -40.0)])
