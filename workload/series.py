@@ -61,6 +61,12 @@ def rolling(spark, sf):
     return rounded(got, "roll_sum", "roll_mean")
 
 
+def rolling_sliced(spark, sf):
+    """The same through time slices, as keys too large for one task are."""
+    got = series.rolling(observations(spark, sf), KEYS, "7 days", slices=32)
+    return rounded(got, "roll_sum", "roll_mean")
+
+
 def rolling_hot(spark, sf):
     """One key for all rows: a day's window over the whole table."""
     one = observations(spark, sf).withColumn("all_bands", F.lit("all"))
@@ -100,12 +106,12 @@ SELECT station_id, make_timestamp(slot * {SLOT}) AS obs_ts,
   round(CASE WHEN v IS NOT NULL THEN v ELSE {fill} END, 9) AS value, v IS NULL AS filled FROM j"""
 
 
-def asof_join(tolerance):
+def asof_join(tolerance, key_limit=5_000_000):
     def query(spark, sf):
         obs = observations(spark, sf)
         left = obs.where("band = 'click'").select("obs_id", "obs_ts", "station_id", "value")
         right = obs.where("band = 'view'").select("obs_id", "obs_ts", "station_id", "value")
-        got = asof.asof_join(left, right, ["station_id"], right_id="obs_id", tolerance=tolerance)
+        got = asof.asof_join(left, right, ["station_id"], right_id="obs_id", tolerance=tolerance, key_limit=key_limit)
         return got.select("obs_id", "obs_ts", "station_id", "asof_obs_id", "asof_obs_ts", "asof_value")
 
     return query
@@ -184,6 +190,7 @@ QUERIES = {
     "anomaly": (anomaly, ANOMALY),
     "trend": (trend, TREND),
     "rolling": (rolling, f"WITH {OBS} " + _rolling_sql("station_id, band", "7 DAY")),
+    "rolling_sliced": (rolling_sliced, f"WITH {OBS} " + _rolling_sql("station_id, band", "7 DAY")),
     "rolling_hot": (
         rolling_hot,
         f"WITH {OBS.replace('obs AS', 'raw AS')}, obs AS (SELECT 'all' AS all_bands, * FROM raw) "
@@ -197,6 +204,8 @@ QUERIES = {
     "asof_join_tolerance": (
         asof_join("36 hours"), _asof_sql("l.obs_ts - r.obs_ts <= INTERVAL 36 HOUR")
     ),
+    # As keys too large for one task are joined.
+    "asof_join_sliced": (asof_join(None, key_limit=10), _asof_sql("true")),
     "frames_by_step": (frames_by_step, FRAMES_BY_STEP),
     "frames_by_count": (frames_by_count, FRAMES_BY_COUNT),
     "frame_delta": (frame_delta, FRAME_DELTA),
