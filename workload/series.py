@@ -71,13 +71,14 @@ def rolling_hot(spark, sf):
     """One key for all rows: a day's window over the whole table."""
     one = observations(spark, sf).withColumn("all_bands", F.lit("all"))
     # Nine places: a mean of 128 two-decimal values can end in 5 at the seventh.
-    return rounded(series.rolling(one, ["all_bands"], "1 day"), "roll_sum", "roll_mean", places=9)
+    means = rounded(series.rolling(one, ["all_bands"], "1 day"), "roll_mean", places=9)
+    return rounded(means, "roll_sum")
 
 
 def _rolling_sql(keys, span, places=6):
     over = f"(PARTITION BY {keys} ORDER BY obs_ts RANGE BETWEEN INTERVAL {span} PRECEDING AND CURRENT ROW)"
     return f"""SELECT DISTINCT {keys}, obs_ts, count(value) OVER w AS roll_count,
-  round(sum(value) OVER w, {places}) AS roll_sum, round(avg(value) OVER w, {places}) AS roll_mean,
+  round(sum(value) OVER w, 6) AS roll_sum, round(avg(value) OVER w, {places}) AS roll_mean,
   min(value) OVER w AS roll_min, max(value) OVER w AS roll_max FROM obs WINDOW w AS {over}"""
 
 
