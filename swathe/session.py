@@ -40,9 +40,15 @@ def configure(spark: SparkSession, data_bytes: int | None = None) -> SparkSessio
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder the cluster names in
-    ``spark.checkpoint.dir``; a local one only where that is unset."""
+    """A fresh path in the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves a local master. On a cluster
+    it would be another folder on every machine, so that is an error.
+    """
     context = spark.sparkContext
-    shared = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    root = shared or tempfile.mkdtemp(prefix="swathe-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not shared:
+        if not (context.master or "").startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="swathe-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
