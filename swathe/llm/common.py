@@ -50,7 +50,7 @@ def with_columns(
     kinds = _arrow_types(added)
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             new = [pa.array(x, t) for x, t in zip(make(batch), kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(columns + new, names + [f.name for f in added])
@@ -66,7 +66,7 @@ def rows_from(
     kinds = _arrow_types(schema)
 
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(make(batch), kinds, strict=True)], [f.name for f in schema]
             )
@@ -74,6 +74,13 @@ def rows_from(
     return df.mapInArrow(run, schema)
 
 
+def _slices(batches):
+    """So few rows at a time that their Python copies stay small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, 512):
+            yield batch.slice(i, 512)
+
+
 def _arrow_types(schema: T.StructType) -> list[pa.DataType]:
     from pyspark.sql.pandas.types import to_arrow_type
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, simhash
+from swathe.llm import bpe, packing, simhash
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,11 @@ def shipped(query: Query) -> Query:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,6 +40,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL: dict[str, tuple[Query, str | None]] = {
+    "op7_packing": (op7_packing, None),
     "op8_bpe": (op8_bpe, None),
     "op9_simhash": (op9_simhash, None),
 }
