@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, packing, simhash
+from swathe.llm import bpe, chat, packing, simhash, toxicity
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,58 @@ def shipped(query: Query) -> Query:
     return lambda spark, sf_dir: query(ship(spark), sf_dir)
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    return chat.digests(chat.format_chat(turns.unionByName(extra)))
+
+
+OP1_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), marked AS (
+  SELECT *, role IN ('system', 'user', 'assistant', 'tool') AS known,
+    lag(role) OVER w AS before, lead(turn) OVER w IS NULL AND lead(role) OVER w IS NULL AS is_last,
+    length(text) - length(replace(text, '\', ''))
+      + (length(text) - length(replace(text, '### System: ', ''))) // 12
+      + (length(text) - length(replace(text, '### User: ', ''))) // 10
+      + (length(text) - length(replace(text, '### Assistant: ', ''))) // 15
+      + (length(text) - length(replace(text, '### Tool: ', ''))) // 10
+      + (length(text) - length(replace(text, '### Role ', ''))) // 9
+      + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS escapes
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(escapes + length(text) + 9 + CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 WHEN 'assistant' THEN 15
+    WHEN 'tool' THEN 10 ELSE 11 + length(role) * 3 - length(replace(role, '\', '')) - length(replace(role, ':', '')) END)::BIGINT AS formatted_chars,
+  bool_and(CASE WHEN before IS NULL OR before NOT IN ('system', 'user', 'assistant', 'tool') THEN role IN ('system', 'user')
+    WHEN before IN ('system') THEN role = 'user' WHEN before IN ('user', 'tool') THEN role = 'assistant'
+    ELSE role IN ('user', 'tool') END) AND bool_or(is_last AND role = 'assistant') AS valid
+FROM marked GROUP BY conv_id
+"""
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learnt from the labels outside the held-out quarter."""
+    labels = table(spark, sf_dir, "labels").where("crc32(cast(doc_id as string)) % 4 <> 2")
+    return toxicity.learn(docs, labels)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_model(spark, docs, sf_dir)
+    held_out = F.expr("coalesce(crc32(cast(doc_id as string)) % 4 = 2, false)")
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "matches")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -40,6 +92,8 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL: dict[str, tuple[Query, str | None]] = {
+    "op1_chat": (op1_chat, OP1_SQL),
+    "op2_toxicity": (op2_toxicity, None),
     "op7_packing": (op7_packing, None),
     "op8_bpe": (op8_bpe, None),
     "op9_simhash": (op9_simhash, None),
