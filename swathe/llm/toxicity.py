@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -48,10 +49,17 @@ EXCEPTIONS = (
 
 #: At most so many labelled rows, the first by hash of the id, are learnt from.
 SAMPLE = 20_000
-#: Lengths of beginnings, most candidates held, and the share of clean documents that may have one.
-LENGTHS, CANDIDATES, CLEAN_SHARE = range(3, 9), 50_000, 0.1
-#: Least documents a new term must add: so many, and this share of the toxic ones.
-LEAST, LEAST_SHARE = 3, 0.004
+#: Lengths of beginnings, most candidates held, and the most that a beginning's
+#: share of clean documents may be of its share of toxic ones.
+LENGTHS, CANDIDATES, CLEAN_SHARE = range(3, 9), 50_000, 0.02
+#: Least different documents a new term must add: so many, and this share of the toxic ones.
+LEAST, LEAST_SHARE = 4, 0.01
+#: A clean document counts as having a term if the term starts this share of its words.
+DENSE = 0.004
+#: Terms that no clean document has so are taken besides if this share of toxic documents has them.
+FREQUENT = 0.05
+#: A clean document that has a term costs as much as so many toxic ones are worth, at equal numbers of both.
+COST = 5
 
 
 def fold(text: str) -> str:
@@ -73,6 +81,12 @@ def beginnings(text: str) -> set[str]:
     return {w[:n] for w in set(WORD.findall(fold(text))) for n in LENGTHS if len(w) >= n}
 
 
+def dense_beginnings(text: str, among: frozenset) -> set[str]:
+    words = WORD.findall(fold(text))
+    counts = Counter(b for w in words for n in LENGTHS if len(w) >= n and (b := w[:n]) in among)
+    return {b for b, n in counts.items() if n >= DENSE * len(words)}
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of folded word beginnings, exception phrases, and the logistic function's three coefficients."""
@@ -142,12 +156,13 @@ def learn(df: DataFrame, labels: DataFrame) -> Model:
         inside = {r["term"]: r["n"] for r in common.collect()}
         outside = {r["term"]: r["n"] for r in _counted(clean, frozenset(inside)).collect()}
         telling = frozenset(t for t, n in inside.items() if outside.get(t, 0) / n_clean <= CLEAN_SHARE * n / n_toxic)
-        rows = rows_from(toxic.select("text"), lambda b: [[sorted(beginnings(t) & telling) for t in strings(b, "text")]], "terms array<string>")
+        rows = rows_from(toxic.select("text"), _signed(telling), "sign bigint, terms array<string>")
         covers: dict[str, set[int]] = {}
-        for i, row in enumerate(rows.collect()):
+        for row in rows.collect():
             for term in row["terms"]:
-                covers.setdefault(term, set()).add(i)
-        for term in _cover(covers, least):
+                covers.setdefault(term, set()).add(row["sign"])
+        cost = {t: COST * outside.get(t, 0) * n_toxic / n_clean for t in covers}
+        for term in _cover(covers, cost, least, FREQUENT * n_toxic):
             odds = math.log((inside[term] + 0.5) / (n_toxic + 1)) - math.log((outside.get(term, 0) + 0.5) / (n_clean + 1))
             weights[term] = max(odds, 0.1)
         model = Model(weights)
@@ -176,30 +191,53 @@ def score(df: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
 
 def _counted(df: DataFrame, among: frozenset | None) -> DataFrame:
-    """``term``, ``n``: in how many rows a beginning stands, of those in ``among``."""
+    """``term``, ``n``: in how many rows a beginning stands, or stands densely if it must be one of ``among``."""
 
     def make(batch):
         counts: Counter = Counter()
         for text in strings(batch, "text"):
-            terms = beginnings(text)
-            counts.update(terms if among is None else terms & among)
+            counts.update(beginnings(text) if among is None else dense_beginnings(text, among))
         return [list(counts), list(counts.values())]
 
     return rows_from(df.select("text"), make, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _cover(covers: dict[str, set[int]], least: int) -> list[str]:
-    """Terms that each add at least ``least`` rows to those covered, the largest gain first; shorter terms on ties."""
-    chosen, done = [], set()
-    while covers:
-        term = min(covers, key=lambda t: (-len(covers[t] - done), len(t), t))
-        if len(covers[term] - done) < least:
+def _signed(telling: frozenset):
+    """A number that copies of a text mostly share, and the telling beginnings of the text."""
+
+    def make(batch):
+        rows = []
+        for text in strings(batch, "text"):
+            terms = beginnings(text)
+            rows.append((min((zlib.crc32(t.encode()) for t in terms), default=0), sorted(terms & telling)))
+        return [[s for s, _ in rows], [t for _, t in rows]]
+
+    return make
+
+
+def _cover(covers: dict[str, set[int]], cost: dict[str, float], least: float, frequent: float) -> list[str]:
+    """Terms in the order of what they add to the documents covered, less their
+    cost, down to ``least``; of equals the longer term. Then those without cost
+    that ``frequent`` documents have, unless one is the beginning of another."""
+    chosen, done, rest = [], set(), dict(covers)
+    while rest:
+        term = min(rest, key=lambda t: (cost[t] - len(rest[t] - done), -len(t), t))
+        if len(rest[term] - done) - cost[term] < least:
             break
-        done |= covers.pop(term)
-        chosen.append(term)
+        done |= rest.pop(term)
+        chosen.append(_longest(term, covers))
+    for term in sorted(rest, key=lambda t: (-len(rest[t]), -len(t), t)):
+        if len(rest[term]) < frequent:
+            break
+        if not cost[term] and not any(term.startswith(c) or c.startswith(term) for c in chosen):
+            chosen.append(_longest(term, covers))
     return chosen
 
 
+def _longest(term: str, covers: dict[str, set[int]]) -> str:
+    return max((t for t in covers if t.startswith(term) and len(covers[t]) >= 0.95 * len(covers[term])), key=lambda t: (len(t), t))
+
+
 def _measures(model: Model):
     def make(batch):
         automaton = model.matcher()
