@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, chat, packing, simhash, toxicity
+from swathe.llm import bpe, chat, fingerprints, packing, simhash, toxicity
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "matches")
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -94,6 +98,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_chat": (op1_chat, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
+    "op6_fingerprints": (op6_fingerprints, None),
     "op7_packing": (op7_packing, None),
     "op8_bpe": (op8_bpe, None),
     "op9_simhash": (op9_simhash, None),
