@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, chat, fingerprints, packing, simhash, toxicity
+from swathe.llm import bpe, chat, fingerprints, licenses, packing, simhash, toxicity
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +95,10 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex().alias("fingerprint"), "component_id")
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_chat": (op1_chat, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
@@ -102,6 +106,7 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op7_packing": (op7_packing, None),
     "op8_bpe": (op8_bpe, None),
     "op9_simhash": (op9_simhash, None),
+    "op10_licenses": (op10_licenses, None),
 }
 
 QUERIES = {name: (shipped(query), sql) for name, (query, sql) in _ALL.items()}
