@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, chat, fingerprints, licenses, packing, simhash, toxicity
+from swathe.llm import bpe, chat, fingerprints, licenses, packing, secrets, simhash, toxicity
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,23 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted", "matches")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.learn(docs)).drop("text")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    def digest(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "format")
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"), F.sha2(digest(base), 256).alias("base_sha256"),
+        digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -102,6 +119,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_chat": (op1_chat, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
+    "op3_secrets": (op3_secrets, None),
     "op6_fingerprints": (op6_fingerprints, None),
     "op7_packing": (op7_packing, None),
     "op8_bpe": (op8_bpe, None),
