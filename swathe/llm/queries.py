@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, chat, fingerprints, licenses, packing, secrets, simhash, toxicity
+from swathe.llm import bpe, chat, fingerprints, licenses, packing, secrets, simhash, toxicity, wrappers
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +88,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -120,6 +125,7 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_chat": (op1_chat, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
     "op3_secrets": (op3_secrets, None),
+    "op4_wrappers": (op4_wrappers, None),
     "op6_fingerprints": (op6_fingerprints, None),
     "op7_packing": (op7_packing, None),
     "op8_bpe": (op8_bpe, None),
