@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, chat, fingerprints, licenses, packing, secrets, simhash, toxicity, wrappers
+from swathe.llm import bpe, chat, fingerprints, licenses, neighbours, packing, secrets, simhash, toxicity, wrappers
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,10 @@ def op4_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0")
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents"))
 
@@ -126,6 +130,7 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op2_toxicity": (op2_toxicity, None),
     "op3_secrets": (op3_secrets, None),
     "op4_wrappers": (op4_wrappers, None),
+    "op5_neighbours": (op5_neighbours, None),
     "op6_fingerprints": (op6_fingerprints, None),
     "op7_packing": (op7_packing, None),
     "op8_bpe": (op8_bpe, None),
