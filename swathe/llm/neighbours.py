@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 
 from swathe.llm.common import stored, with_columns
 
-#: Most pivots (the first vectors by hash; fewer, in proportion to the root of
-#: the number of vectors, below 65,536), files a vector is in, files a query probes.
-PIVOTS, POSTED, PROBED = 256, 4, 40
+#: Pivots (the first vectors by hash), files a vector is in, files a query probes.
+PIVOTS, POSTED, PROBED = 256, 4, 56
 #: Share of a file's candidates that are reranked, and the least number.
 RERANKED, LEAST = 0.25, 16
 #: Vectors of a file, and queries, in one block on average.
@@ -59,8 +58,7 @@ def nearest(df: DataFrame, is_query: str, k: int = 5) -> DataFrame:
     )
     probes = queries.select("query", "embedding").distinct()
     n, n_queries = classes.count(), probes.count()
-    wanted = min(PIVOTS, int(np.ceil(np.sqrt(n))))
-    pivots = _unit(_matrix(classes.orderBy(F.xxhash64("embedding"), F.col("ids")[0]).limit(wanted).select("embedding").toArrow().column(0)))
+    pivots = _unit(_matrix(classes.orderBy(F.xxhash64("embedding"), F.col("ids")[0]).limit(PIVOTS).select("embedding").toArrow().column(0)))
     found = stored(_search(probes, classes, pivots, n, n_queries, k), "found")
     short = probes.join(found.groupBy("query").count().where(F.col("count") > k).select("query"), "query", "left_anti")
     if n_queries and not short.isEmpty():
