@@ -32,7 +32,7 @@ ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
 #: Documents learnt from (the first by hash of the id), credentials of a kind and their longest length.
 SAMPLE, EXAMPLES, LONGEST = 20_000, 600, 128
 #: Least score per character, in nats.
-MARGIN = 0.6
+MARGIN = 0.3
 
 # Public formats of which examples are drawn: name, prefix, characters and length of the rest.
 FORMATS = (
