@@ -53,10 +53,11 @@ def best_pixel(
 ) -> DataFrame:
     """The whole observation with the highest score per key.
 
-    Null scores never win unless all are null; equal scores go to the higher
+    Null and NaN scores never win unless all are; equal scores go to the higher
     ``tie``, which must be unique.
     """
-    return _first_per_key(df, keys, [F.desc_nulls_last(score), F.desc(tie)])
+    known = F.when(~F.isnan(score), F.col(score))
+    return _first_per_key(df, keys, [known.desc_nulls_last(), F.desc(tie)])
 
 
 def mosaic(

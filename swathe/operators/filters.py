@@ -11,6 +11,10 @@ from swathe.functions.grid import col
 from swathe.plans.sides import broadcast_if, has_at_most
 
 
+# Most steps that one range of a lookup is cut into.
+MOST_STEPS = 65_536
+
+
 def bbox_filter(
     df: DataFrame, west: float, south: float, east: float, north: float,
     lon: str = "lon", lat: str = "lat",
@@ -83,14 +87,22 @@ def reclassify_by_table(
 
     For lookups too long for a ``CASE``: each range is cut into steps of
     ``width`` and joined on the step number, then refined, so the join is an
-    equi-join rather than a nested loop. Rows without a class are kept with
-    nulls.
+    equi-join rather than a nested loop. Steps outside the least and greatest
+    finite value are left out, and steps are widened so that no range has more
+    than ``MOST_STEPS``; ranges may therefore be open, with infinite ends. Rows
+    without a class, null and NaN among them, are kept with nulls.
     """
-    step = F.lit(float(width))
-    slot = lambda c: F.floor(F.col(c) / step)
-    ranges = lookup.withColumn("_slot", F.explode(F.sequence(slot(lower), slot(upper))))
+    v = F.col(value).cast("double")
+    finite = df.where(v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
+    least, most = finite.agg(F.min(v), F.max(v)).first()
+    least, most = (0.0, 0.0) if least is None else (least, most)
+    step = F.lit(max(float(width), (most - least) / MOST_STEPS))
+    slot = lambda c: F.floor(c / step)
+    first, last = F.greatest(F.col(lower).cast("double"), F.lit(least)), F.least(F.col(upper).cast("double"), F.lit(most))
+    ranges = lookup.withColumn("_slot", F.explode(F.when(first <= last, F.sequence(slot(first), slot(last)))))
     ranges = broadcast_if(ranges, has_at_most(ranges, 50_000))
-    keyed = df.withColumn("_slot", slot(value))
+    held = F.least(F.greatest(v, F.lit(least)), F.lit(most))  # infinite values stand with the outermost
+    keyed = df.withColumn("_slot", F.when(~F.isnan(v), slot(held)))
     hit = (
         (keyed["_slot"] == ranges["_slot"])
         & (keyed[value] >= ranges[lower])

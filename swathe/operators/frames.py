@@ -13,6 +13,10 @@ from swathe.plans.sides import broadcast_if, has_at_most, join_null_safe
 from swathe.plans.skew import GroupSizes, group_sizes, micros, time_slice
 
 
+# Time slices whose counts are added up in one task before the blocks' sums are.
+SLICES_PER_BLOCK = 1024
+
+
 def frames_by_step(
     df: DataFrame, keys: Sequence[str], step: str, stat: str = "median",
     value: str = "value", ts: str = "obs_ts",
@@ -40,27 +44,31 @@ def frames_by_count(
     in time order as ``ntile(n)`` would. Rows of one instant share a frame.
 
     ``ntile`` itself would sort everything in one task. Here instants are
-    ranked inside time slices and offset by the counts of earlier slices, a
-    table bounded by the calendar. Only the first instant of each frame comes
-    back, at most ``n`` numbers, and rows find their frame by comparing
-    against them: the rows themselves are not shuffled.
+    ranked inside time slices and offset by the counts of earlier slices, in
+    two levels. Rows find their frame by their slice: the frame of its first
+    instant, or the last frame that starts in it at or before the row. Rows
+    without a time are kept, without a frame.
     """
-    if not 1 <= n <= 5000:
-        raise ValueError("n must lie in 1..5000")
+    if n < 1:
+        raise ValueError("n must be at least 1")
     us = micros(F.col(ts))
     instants = (
         df.where(F.col(ts).isNotNull()).select(us.alias("_us"), time_slice(F.col(ts), slice_width).alias("_slice"))
         .distinct()
     )
     per_slice = instants.groupBy("_slice").agg(F.count(F.lit(1)).alias("_in"))
-    in_order = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    blocked = per_slice.withColumn("_block", F.floor(F.col("_slice") / SLICES_PER_BLOCK))
+    in_order = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    blocks = blocked.groupBy("_block").agg(F.sum("_in").alias("_sum")).select(
+        "_block", F.coalesce(F.sum("_sum").over(in_order), F.lit(0)).alias("_earlier"),
+        F.sum("_sum").over(everything).alias("_all"),
     )
-    per_slice = per_slice.select(
-        "_slice",
-        F.coalesce(F.sum("_in").over(in_order), F.lit(0)).alias("_before"),
-        F.sum("_in").over(everything).alias("_all"),
+    in_block = Window.partitionBy("_block").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("_earlier") + F.coalesce(F.col("_here"), F.lit(0))
+    per_slice = (
+        blocked.withColumn("_here", F.sum("_in").over(in_block)).join(blocks, "_block")
+        .select("_slice", before.alias("_before"), "_all")
     )
     at = F.row_number().over(Window.partitionBy("_slice").orderBy("_us")) - 1
     ranked = instants.withColumn("_at", at).join(per_slice, "_slice")
@@ -71,21 +79,13 @@ def frames_by_count(
     frame = F.when(r < cut, F.floor(r / (size + 1)) + 1).otherwise(
         longer + F.floor(F.try_divide(r - cut, size)) + 1
     )
-    starts = ranked.groupBy(frame.alias("_frame")).agg(F.min("_us").alias("_start"))
-    bounds = sorted(row["_start"] for row in starts.collect())  # one row per frame
-    if not bounds:
-        return df.withColumn("frame_idx", F.lit(None).cast("int"))
-    numbered = df.withColumn("_us", us).withColumn("frame_idx", F.expr(_search("_us", bounds, 1)))
-    return numbered.drop("_us")
-
-
-def _search(column: str, starts: list[int], first: int) -> str:
-    """SQL binary search: number of the last start at or before ``column``."""
-    if len(starts) == 1:
-        return f"CASE WHEN {column} IS NOT NULL THEN {first} END"
-    half = len(starts) // 2
-    below, above = _search(column, starts[:half], first), _search(column, starts[half:], first + half)
-    return f"CASE WHEN {column} < {starts[half]}L THEN {below} ELSE {above} END"
+    # One row per slice: the frame of its first instant and the frames that change in it.
+    framed = ranked.select("_slice", "_us", frame.cast("int").alias("_frame"))
+    starts = framed.groupBy("_slice", "_frame").agg(F.min("_us").alias("_us"))
+    by_slice = starts.groupBy("_slice").agg(F.collect_list(F.struct("_us", "_frame")).alias("_starts"))
+    here = F.filter("_starts", lambda s: s["_us"] <= F.col("_us"))
+    placed = df.withColumn("_us", us).withColumn("_slice", time_slice(F.col(ts), slice_width)).join(by_slice, "_slice", "left")
+    return placed.withColumn("frame_idx", F.array_max(here)["_frame"]).select(*df.columns, "frame_idx")
 
 
 def frame_delta(

@@ -71,10 +71,10 @@ def histogram(
     df: DataFrame, width: float, by: Sequence[str] = ("band",), value: str = "value"
 ) -> DataFrame:
     """Counts per ``width``-wide bin; ``bin`` is the bin number, ``bin_start``
-    its lower edge. Empty bins give no row."""
+    its lower edge. Empty bins give no row. Null and NaN are missing."""
     step = F.lit(float(width))
     return (
-        df.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull() & ~F.isnan(value))
         .groupBy(*by, F.floor(F.col(value) / step).cast("long").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("bin_start", F.col("bin") * step)

@@ -11,6 +11,8 @@ from swathe.plans.sides import join_null_safe
 from swathe.plans.skew import floor_div, group_sizes, micros, narrowest_needed, seconds, time_slice
 
 SECONDS_PER_DAY = 86400.0
+# Slots of a gap that are written out from one row.
+STRETCH = 65_536
 
 
 def accumulate(
@@ -210,13 +212,14 @@ def gap_fill(
     )
     series = Window.partitionBy(*keys).orderBy("_slot")
     nxt, gap = F.col("_next"), F.col("_gap")
+    # A gap may be longer than one row's array should be: first its stretches, then the slots of each.
+    longest = F.coalesce(nxt - F.col("_slot") - 1, F.lit(0))
+    stretch = F.col("_stretch") * STRETCH
     ahead = (
         slots.withColumn("_next", F.lead("_slot").over(series))
         .withColumn("_next_v", F.lead("_v").over(series))
-        .withColumn(
-            "_gap",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(nxt - F.col("_slot") - 1, F.lit(0)))),
-        )
+        .withColumn("_stretch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(longest / STRETCH))))
+        .withColumn("_gap", F.explode(F.sequence(stretch, F.least(stretch + (STRETCH - 1), longest))))
     )
     share = gap / (nxt - F.col("_slot"))
     fill = {

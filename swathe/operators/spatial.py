@@ -149,10 +149,11 @@ def within_distance_join(
     are placed in cubes around the unit sphere, one radius wide, so the poles
     and the antimeridian need no special care. Each ``b`` row goes to the
     cubes its radius reaches, each ``a`` row to its own: put the smaller table
-    second.
+    second. The result holds all pairs, so within a dense cluster, or for a
+    radius near half the globe, it grows with the product of the sides.
     """
-    if not 0 < km <= 5000:
-        raise ValueError("km must lie in (0, 5000]: beyond, most pairs match")
+    if not km > 0:
+        raise ValueError("km must be above 0")
     reach = chord(km)
     few = has_at_most(b, FEW_ROWS)
     cube = lambda c: f"cast(floor(({c}) / {reach!r}D) AS bigint)"

@@ -47,24 +47,29 @@ def zonal_stats(
             (F.var_pop(v) * F.count(F.lit(1))).alias("_m2"),
             F.min(v).alias("_lo"), F.max(v).alias("_hi"),
         )
+    keys = [zone_id, *by]
     held = spatial_join(per_spot, zones, "inner", cell_deg, zone_id=zone_id, lon=lon, lat=lat)
     n, s = F.sum("_n"), F.sum("_s")
-    # Spread inside positions plus spread between their means.
-    m2 = F.sum("_m2") + F.sum(F.col("_s") * F.col("_s") / F.col("_n")) - s * s / n
+    if "stddev" in stats:
+        # Spread is summed around the zone's own mean, found first: sums of squares would cancel at large offsets.
+        centre = held.groupBy(*keys).agg((s / n).alias("_centre"))
+        held = join_null_safe(held, centre, keys)
+    apart = F.col("_s") / F.col("_n") - F.col("_centre") if "stddev" in stats else F.lit(0.0)
+    m2 = F.sum(F.col("_m2") + F.col("_n") * apart * apart)
     merged = {
         "count": n,
         "sum": s,
         "mean": s / n,
         "min": F.min("_lo"),
         "max": F.max("_hi"),
-        "stddev": F.when(n > 1, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - 1))),
+        "stddev": F.when(n > 1, F.sqrt(m2 / (n - 1))),
     }
-    keys = [zone_id, *by]
     plain = [merged[c].alias(c) for c in stats if c != "median"]
     if "median" not in stats:
         return held.groupBy(*keys).agg(*plain)
-    sizes = group_sizes(held, keys)
-    if sizes.largest <= group_limit:
+    # No zone holds more rows than there are before the join, which cost less to count.
+    sizes = None if per_spot.count() <= group_limit else group_sizes(held, keys)
+    if sizes is None or sizes.largest <= group_limit:
         median = builtin_quantiles("_v", {"median": 0.5}, "_n")
         return held.groupBy(*keys).agg(*plain, *median).select(*keys, *stats)
     median = exact_quantiles(held, keys, "_v", {"median": 0.5}, "_n", group_limit, sizes=sizes)
@@ -79,17 +84,21 @@ def class_area(
 ) -> DataFrame:
     """Cells and area per zone and class, with subtotals.
 
-    ``level`` is 0 for (zone, class), 1 for a zone, 3 for everything. Area is
-    that of ``res``-degree cells on the sphere.
+    ``level`` is 0 for (zone, class), 1 for a zone, 3 for everything. ``n`` and
+    ``area_km2`` count each cell once per class and zone however often it was
+    visited, ``visits`` every row. Area is that of ``res``-degree cells on the
+    sphere.
     """
     per_spot = cells.groupBy(lon, lat, class_col).agg(F.count(F.lit(1)).alias("_n"))
     held = spatial_join(per_spot, zones, "inner", cell_deg, zone_id=zone_id, lon=lon, lat=lat)
-    area = F.col("_n") * cell_area_km2(lat, res)
     # The rollup copies its input once per level: give it only the totals.
-    totals = held.groupBy(zone_id, class_col).agg(F.sum("_n").alias("_n"), F.sum(area).alias("_area"))
+    totals = held.groupBy(zone_id, class_col).agg(
+        F.count(F.lit(1)).alias("_cells"), F.sum("_n").alias("_n"), F.sum(cell_area_km2(lat, res)).alias("_area")
+    )
     return totals.rollup(zone_id, class_col).agg(
         F.grouping_id().cast("int").alias("level"),
-        F.sum("_n").alias("n"),
+        F.sum("_cells").alias("n"),
+        F.sum("_n").alias("visits"),
         F.sum("_area").alias("area_km2"),
     )
 

@@ -120,9 +120,11 @@ def _by_ranges(
             at(F.floor(pos)).alias(f"_lo{i}"),
             at(F.ceil(pos)).alias(f"_hi{i}"),
             F.first(pos - F.floor(pos)).alias(f"_f{i}"),
+            F.first(F.ceil(pos) - pos).alias(f"_g{i}"),
         ]
-        lo, hi, f = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_f{i}")
-        outs.append((lo + (hi - lo) * f).alias(c))
+        lo, hi, f, g = (F.col(f"_{name}{i}") for name in ("lo", "hi", "f", "g"))
+        # As the built-in does it, so that both give the same to the last bit, infinities included.
+        outs.append(F.when((f == 0) | (lo == hi), lo).otherwise(g * lo + f * hi).alias(c))
     return picked.groupBy(*by).agg(*aggs).select(*by, *outs)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from swathe.operators.filters import bbox_filter, time_filter
 
@@ -21,13 +22,18 @@ def scan_cells(
     into the Parquet scan, and row groups are clustered so that the box skips
     most of them. The period is half open.
     """
-    df = spark.read.parquet(path)
+    # Directory names would be read as numbers where they look like it: band 04 as 4.
+    found = spark.read.parquet(path).schema
+    kinds = {"band": T.StringType(), "obs_date": T.DateType()}
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    df = spark.read.schema(schema).parquet(path)
     if bands is not None:
         df = df.where(F.col("band").isin(list(bands)))
     if start is not None:
         df = df.where(F.col("obs_date") >= F.lit(start).cast("date"))
     if end is not None:
-        df = df.where(F.col("obs_date") <= F.lit(end).cast("date"))
+        last = F.lit(end).cast("timestamp_ntz") - F.expr("INTERVAL '0.000001' SECOND")
+        df = df.where(F.col("obs_date") <= last.cast("date"))
     df = time_filter(df, start, end, ts)
     return df if bbox is None else bbox_filter(df, *bbox)
 
@@ -38,7 +44,7 @@ def write_cells(
 ) -> None:
     """Write cells partitioned by band and date, clustered by place inside.
 
-    Range partitioning on (band, date, iy, ix, time) lets a large band-day
+    A null band comes back as null; the empty band is an error. Range partitioning on (band, date, iy, ix, time) lets a large band-day
     spread over many tasks and files, and a small one stay in one. Unless
     ``files`` is given, rows are counted to give each task one file's worth.
     """
@@ -48,7 +54,8 @@ def write_cells(
         # first, so more tasks hardly make more files.
         tasks = min(df.sparkSession.sparkContext.defaultParallelism, rows // 10_000 + 1)
         files = max(-(-rows // rows_per_file), tasks)
-    dated = df.withColumn("obs_date", F.to_date(ts))
+    named = F.when(F.col("band") == "", F.raise_error(F.lit("an empty band has no directory"))).otherwise(F.col("band"))
+    dated = df.withColumn("obs_date", F.to_date(ts)).withColumn("band", named)
     order = ["band", "obs_date", "iy", "ix", ts]
     (
         dated.repartitionByRange(files, *order)

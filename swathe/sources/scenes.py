@@ -17,8 +17,9 @@ def search_scenes(
 ) -> DataFrame:
     """Scenes whose box meets the area and whose time lies in ``[start, end)``.
 
-    Touching boxes meet. ``west > east`` in ``bbox`` spans the antimeridian.
-    Plain conjunctions of stored columns, so all of it reaches the scan.
+    Touching boxes meet. ``west > east``, in ``bbox`` or in a scene, spans the
+    antimeridian. Plain comparisons of stored columns; all but those between a
+    scene's own two edges reach the scan.
     """
     if bbox is not None:
         west, south, east, north = (float(v) for v in bbox)
@@ -26,7 +27,11 @@ def search_scenes(
             (F.col("south") <= F.lit(north)) & (F.col("north") >= F.lit(south))
         )
         starts, ends = F.col("west") <= F.lit(east), F.col("east") >= F.lit(west)
-        scenes = scenes.where(starts & ends if west <= east else starts | ends)
+        wraps = F.col("west") > F.col("east")
+        if west <= east:
+            scenes = scenes.where((starts & ends) | (wraps & (starts | ends)))
+        else:
+            scenes = scenes.where(starts | ends | wraps)
     scenes = time_filter(scenes, start, end, ts)
     if max_cloud is not None:
         scenes = scenes.where(F.col("cloud") <= F.lit(float(max_cloud)))

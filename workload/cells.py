@@ -52,6 +52,18 @@ SEARCH_SCENES_ANTIMERIDIAN = f"""WITH {SCENES} SELECT scene_id, west FROM scenes
 WHERE (west <= -160 OR east >= 170) AND south <= 20 AND north >= -20"""
 
 
+def search_scenes_wrapped(spark, sf):
+    """Scenes six degrees wide, some of them over the antimeridian."""
+    east = F.when(F.col("west") + 6 > 180, F.col("west") - 354).otherwise(F.col("west") + 6)
+    wide = scene_table(spark, sf).withColumn("east", east)
+    return scenes.search_scenes(wide, (177.5, -60, 179.5, 60)).select("scene_id", "west", "east")
+
+
+SEARCH_SCENES_WRAPPED = f"""WITH {SCENES} SELECT scene_id, west,
+  CASE WHEN west + 6 > 180 THEN west - 354 ELSE west + 6 END AS east FROM scenes
+WHERE west <= 179.5 AND west + 6 >= 177.5 AND south <= 60 AND north >= -60"""
+
+
 def scan_features(spark, sf):
     path = scratch_path(spark, "features")
     features.write_features(parcels(spark, sf), path, props=("c_mktsegment",))
@@ -182,6 +194,17 @@ CLASS = """CASE WHEN value >= 200 THEN 4 WHEN value >= 100 THEN 3 WHEN value >=
 RECLASSIFY = f"WITH {OBS} SELECT obs_id, CAST({CLASS} AS INT) AS class FROM obs"
 
 
+def reclassify_open_ended(spark, sf):
+    """The outer classes have no end."""
+    ends = [float("-inf"), 10.0, 50.0, 200.0, float("inf")]
+    lookup = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(zip(ends, ends[1:]))], "class int, lower double, upper double")
+    return filters.reclassify_by_table(observations(spark, sf), lookup, 0.001).select("obs_id", "value", "class")
+
+
+RECLASSIFY_OPEN_ENDED = f"""WITH {OBS} SELECT obs_id, value,
+  CASE WHEN value < 10 THEN 0 WHEN value < 50 THEN 1 WHEN value < 200 THEN 2 ELSE 3 END AS class FROM obs"""
+
+
 def reclassify_by_table(spark, sf):
     # Price bands of the parts are the ranges: [0.1 k, 0.1 k + 0.05) in value.
     lookup = table(spark, sf, "part").selectExpr(
@@ -277,10 +300,21 @@ def band_stats_approx(spark, sf):
     obs = observations(spark, sf)
     got = raster.band_stats(obs, probs={"p50": 0.5}, approx=True)
     near = exact_quantiles(obs, ["band"], "value", {"lo": 0.49, "hi": 0.51})
-    return got.join(near, "band").select("band", F.col("p50").between(F.col("lo"), F.col("hi")).alias("near"))
+    return got.join(near, "band").select("band", F.round("lo", 6).alias("lo"), F.round("hi", 6).alias("hi"), F.col("p50").between(F.col("lo"), F.col("hi")).alias("near"))
+
+
+BAND_STATS_APPROX = f"""WITH {OBS} SELECT band, round(quantile_cont(value, 0.49), 6) AS lo,
+  round(quantile_cont(value, 0.51), 6) AS hi, true AS near FROM obs GROUP BY band"""
+
+
+def nan_is_missing(spark, sf):
+    """Values of low quality are NaN, which no bin counts."""
+    value = F.when(F.col("qa") % 4 == 0, float("nan")).otherwise(F.col("value"))
+    return raster.histogram(observations(spark, sf).withColumn("value", value), 12.5)
 
 
-BAND_STATS_APPROX = f"WITH {OBS} SELECT DISTINCT band, true AS near FROM obs"
+NAN_IS_MISSING = f"""WITH {OBS} SELECT band, CAST(floor(value / 12.5::DOUBLE) AS BIGINT) AS bin, count(*) AS n,
+  CAST(floor(value / 12.5::DOUBLE) AS BIGINT) * 12.5::DOUBLE AS bin_start FROM obs WHERE qa % 4 <> 0 GROUP BY 1, 2, 4"""
 
 
 def histogram(spark, sf):
@@ -311,10 +345,11 @@ GROUP BY 1, 2, 3"""
 def cell_overlay(op):
     def query(spark, sf):
         obs = observations(spark, sf)
-        side = lambda b: obs.where(F.col("band") == b).select(
+        click = F.col("band") == "click"
+        side = lambda rows: obs.where(rows).select(
             *[c.alias(k) for k, c in zip(KEYS, cell_xy("lon", "lat", 4.0))]
         )
-        return overlay.cell_overlay(side("click"), side("view"), op)
+        return overlay.cell_overlay(side(click), side(~click), op)
 
     return query
 
@@ -323,19 +358,19 @@ def _overlay_sql(query):
     return f"""WITH {OBS}, c AS (SELECT DISTINCT band,
     CAST(floor((lon + 180.0::DOUBLE) / 4.0::DOUBLE) AS INT) AS ix,
     CAST(floor((lat + 90.0::DOUBLE) / 4.0::DOUBLE) AS INT) AS iy FROM obs),
-  a AS (SELECT ix, iy FROM c WHERE band = 'click'), b AS (SELECT ix, iy FROM c WHERE band = 'view')
+  a AS (SELECT ix, iy FROM c WHERE band = 'click'), b AS (SELECT DISTINCT ix, iy FROM c WHERE band <> 'click')
 {query}"""
 
 
 def stack(spark, sf):
     obs = observations(spark, sf)
     a = obs.where("band = 'click'").select("obs_id", "value")
-    b = obs.where("band = 'view'").select("obs_id", "qa")
+    b = obs.where("band <> 'click'").select("obs_id", "qa")
     return overlay.stack([a, b])
 
 
 STACK = f"""WITH {OBS} SELECT obs_id, value, CAST(NULL AS INT) AS qa FROM obs WHERE band = 'click'
-UNION ALL SELECT obs_id, CAST(NULL AS DOUBLE), qa FROM obs WHERE band = 'view'"""
+UNION ALL SELECT obs_id, CAST(NULL AS DOUBLE), qa FROM obs WHERE band <> 'click'"""
 
 
 def column_helpers(spark, sf):
@@ -356,6 +391,7 @@ QUERIES = {
     "scan_cells": (scan_cells, SCAN_CELLS),
     "search_scenes": (search_scenes, SEARCH_SCENES),
     "search_scenes_antimeridian": (search_scenes_antimeridian, SEARCH_SCENES_ANTIMERIDIAN),
+    "search_scenes_wrapped": (search_scenes_wrapped, SEARCH_SCENES_WRAPPED),
     "scan_features": (scan_features, SCAN_FEATURES),
     "scan_table_csv": (_round_trip("csv"), ROUND_TRIP),
     "scan_table_json": (_round_trip("json"), ROUND_TRIP),
@@ -370,6 +406,7 @@ QUERIES = {
     "normalized_difference": (normalized_difference, NORMALIZED_DIFFERENCE),
     "band_math": (band_math, BAND_MATH),
     "reclassify": (reclassify, RECLASSIFY),
+    "reclassify_open_ended": (reclassify_open_ended, RECLASSIFY_OPEN_ENDED),
     "reclassify_by_table": (reclassify_by_table, RECLASSIFY_BY_TABLE),
     "regrid": (regrid, REGRID),
     "regrid_median": (regrid_median, REGRID_MEDIAN),
@@ -388,6 +425,7 @@ QUERIES = {
     "band_stats": (band_stats, BAND_STATS),
     "band_stats_split": (band_stats_split, BAND_STATS),
     "band_stats_approx": (band_stats_approx, BAND_STATS_APPROX),
+    "nan_is_missing": (nan_is_missing, NAN_IS_MISSING),
     "histogram": (histogram, HISTOGRAM),
     "focal_mean": (focal("mean"), _focal_sql("sum(b.s) / sum(b.n)")),
     "focal_max": (focal("max"), _focal_sql("max(b.hi)")),

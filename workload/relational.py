@@ -26,18 +26,16 @@ WHERE l_shipdate < TIMESTAMP '1997-01-01' AND l_quantity > 45"""
 
 def equi_join(how):
     def query(spark, sf):
-        # Filtered on both sides so that every kind of join has unmatched rows.
-        left = table(spark, sf, "customer").where("c_acctbal > 0").select("c_custkey", "c_mktsegment")
-        right = table(spark, sf, "orders").where("o_totalprice > 200000").select(
-            "o_orderkey", F.col("o_custkey").alias("c_custkey")
-        )
+        # Keys are shifted so that every kind of join has unmatched rows on both sides.
+        left = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+        right = table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") + 50).alias("c_custkey"))
         return left.join(right, "c_custkey", how)
 
     return query
 
 
-JOIN_SIDES = """WITH l AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_acctbal > 0),
-  r AS (SELECT o_orderkey, o_custkey AS c_custkey FROM orders WHERE o_totalprice > 200000)"""
+JOIN_SIDES = """WITH l AS (SELECT c_custkey, c_mktsegment FROM customer),
+  r AS (SELECT o_orderkey, o_custkey + 50 AS c_custkey FROM orders)"""
 
 
 def group_distinct(spark, sf):
@@ -53,18 +51,18 @@ FROM lineitem GROUP BY 1, 2"""
 
 
 def group_approx_distinct(spark, sf):
-    """The sketch stays within 10% of the exact count."""
+    """The sketch stays within 10% of the exact count, which is given too."""
     return (
         table(spark, sf, "lineitem").groupBy("l_returnflag")
         .agg(
             F.approx_count_distinct("l_orderkey", 0.02).alias("about"),
             F.count_distinct("l_orderkey").alias("exact"),
         )
-        .select("l_returnflag", (F.abs(F.col("about") / F.col("exact") - 1) < 0.1).alias("near"))
+        .select("l_returnflag", "exact", (F.abs(F.col("about") / F.col("exact") - 1) < 0.1).alias("near"))
     )
 
 
-GROUP_APPROX = "SELECT DISTINCT l_returnflag, true AS near FROM lineitem"
+GROUP_APPROX = "SELECT l_returnflag, count(DISTINCT l_orderkey) AS exact, true AS near FROM lineitem GROUP BY 1"
 
 
 def top_orders(spark, sf):
@@ -92,14 +90,13 @@ TOP_PER_GROUP = """SELECT o_custkey, CAST(rank AS INT) AS rank, o_orderkey, o_to
 
 
 def concat_dedupe(spark, sf):
-    orders = table(spark, sf, "orders")
-    a = orders.where("o_totalprice > 100000").select("o_custkey", "o_orderstatus")
-    b = orders.where("o_orderpriority = '1-URGENT'").select("o_custkey", "o_orderstatus")
+    a = table(spark, sf, "orders").select("o_custkey", "o_orderstatus")
+    b = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("F").alias("o_orderstatus"))
     return a.unionByName(b).dropDuplicates()
 
 
-CONCAT_DEDUPE = """SELECT o_custkey, o_orderstatus FROM orders WHERE o_totalprice > 100000
-UNION SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderpriority = '1-URGENT'"""
+CONCAT_DEDUPE = """SELECT o_custkey, o_orderstatus FROM orders
+UNION SELECT c_custkey, 'F' FROM customer"""
 
 
 def pivot(spark, sf):

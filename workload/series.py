@@ -84,8 +84,7 @@ def _rolling_sql(keys, span, places=6):
 
 def gap_fill(method):
     def query(spark, sf):
-        obs = observations(spark, sf).where("band = 'click'")
-        return rounded(series.gap_fill(obs, ["station_id"], "6 hours", method), "value", places=9)
+        return rounded(series.gap_fill(observations(spark, sf), KEYS, "6 hours", method), "value", places=9)
 
     return query
 
@@ -94,16 +93,16 @@ SLOT = 6 * 3600 * 1_000_000
 
 
 def _gap_sql(fill):
-    return f"""WITH {OBS}, s AS (SELECT station_id, epoch_us(obs_ts) // {SLOT} AS slot, avg(value) AS v
-    FROM obs WHERE band = 'click' GROUP BY 1, 2),
-  cal AS (SELECT station_id, unnest(generate_series(min(slot), max(slot))) AS slot FROM s GROUP BY 1),
-  j AS (SELECT station_id, slot, v,
+    return f"""WITH {OBS}, s AS (SELECT station_id, band, epoch_us(obs_ts) // {SLOT} AS slot, avg(value) AS v
+    FROM obs GROUP BY 1, 2, 3),
+  cal AS (SELECT station_id, band, unnest(generate_series(min(slot), max(slot))) AS slot FROM s GROUP BY 1, 2),
+  j AS (SELECT station_id, band, slot, v,
       last_value(v IGNORE NULLS) OVER a AS v0, last_value(CASE WHEN v IS NOT NULL THEN slot END IGNORE NULLS) OVER a AS s0,
       first_value(v IGNORE NULLS) OVER b AS v1, first_value(CASE WHEN v IS NOT NULL THEN slot END IGNORE NULLS) OVER b AS s1
-    FROM cal LEFT JOIN s USING (station_id, slot)
-    WINDOW a AS (PARTITION BY station_id ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-      b AS (PARTITION BY station_id ORDER BY slot ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
-SELECT station_id, make_timestamp(slot * {SLOT}) AS obs_ts,
+    FROM cal LEFT JOIN s USING (station_id, band, slot)
+    WINDOW a AS (PARTITION BY station_id, band ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+      b AS (PARTITION BY station_id, band ORDER BY slot ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+SELECT station_id, band, make_timestamp(slot * {SLOT}) AS obs_ts,
   round(CASE WHEN v IS NOT NULL THEN v ELSE {fill} END, 9) AS value, v IS NULL AS filled FROM j"""
 
 
@@ -111,7 +110,7 @@ def asof_join(tolerance, key_limit=5_000_000):
     def query(spark, sf):
         obs = observations(spark, sf)
         left = obs.where("band = 'click'").select("obs_id", "obs_ts", "station_id", "value")
-        right = obs.where("band = 'view'").select("obs_id", "obs_ts", "station_id", "value")
+        right = obs.where("band <> 'click'").select("obs_id", "obs_ts", "station_id", "value")
         got = asof.asof_join(left, right, ["station_id"], right_id="obs_id", tolerance=tolerance, key_limit=key_limit)
         return got.select("obs_id", "obs_ts", "station_id", "asof_obs_id", "asof_obs_ts", "asof_value")
 
@@ -121,7 +120,7 @@ def asof_join(tolerance, key_limit=5_000_000):
 def _asof_sql(keep):
     fresh = lambda c: f"CASE WHEN {keep} THEN r.{c} END AS asof_{c}"
     return f"""WITH {OBS}, l AS (SELECT * FROM obs WHERE band = 'click'),
-  r AS (SELECT * FROM obs WHERE band = 'view')
+  r AS (SELECT * FROM obs WHERE band <> 'click')
 SELECT l.obs_id, l.obs_ts, l.station_id, {fresh('obs_id')}, {fresh('obs_ts')}, {fresh('value')}
 FROM l ASOF LEFT JOIN r ON l.station_id = r.station_id AND l.obs_ts >= r.obs_ts"""
 
@@ -149,6 +148,12 @@ FRAMES_BY_COUNT = f"""WITH {OBS}, t AS (SELECT obs_ts, CAST(ntile(12) OVER (ORDE
 SELECT obs_id, obs_ts, frame_idx FROM obs JOIN t USING (obs_ts)"""
 
 
+def frames_by_count_many(spark, sf):
+    """More frames than most tables have instants."""
+    got = frames.frames_by_count(observations(spark, sf), 20_000)
+    return got.select("obs_id", "obs_ts", "frame_idx")
+
+
 def frame_delta(spark, sf):
     fr = frames.frames_by_step(observations(spark, sf), ["band", "iy"], "7 days", "mean")
     return rounded(frames.frame_delta(fr, ["band", "iy"]), "value", "previous", "delta")
@@ -209,6 +214,7 @@ QUERIES = {
     "asof_join_sliced": (asof_join(None, key_limit=10), _asof_sql("true")),
     "frames_by_step": (frames_by_step, FRAMES_BY_STEP),
     "frames_by_count": (frames_by_count, FRAMES_BY_COUNT),
+    "frames_by_count_many": (frames_by_count_many, FRAMES_BY_COUNT.replace("ntile(12)", "ntile(20000)")),
     "frame_delta": (frame_delta, FRAME_DELTA),
     "stretch": (stretch, STRETCH),
     "timelapse": (timelapse_table, TIMELAPSE),

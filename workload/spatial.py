@@ -107,6 +107,16 @@ ZONAL_BAND = IN_ZONES + """ SELECT zone_id, band, count(*) AS count, round(avg(v
   FROM pairs JOIN obs USING (obs_id) GROUP BY zone_id, band"""
 
 
+def zonal_stats_offset(spark, sf):
+    """Values far from zero, where sums of squares lose the spread."""
+    far = observations(spark, sf).withColumn("value", F.col("value") + 1e9)
+    return rounded(zonal.zonal_stats(far, zones(spark), ("count", "stddev")), "stddev", places=3)
+
+
+ZONAL_OFFSET = IN_ZONES + """ SELECT zone_id, count(*) AS count, round(stddev_samp(value), 3) AS stddev
+  FROM pairs JOIN obs USING (obs_id) GROUP BY zone_id"""
+
+
 def zonal_median_split(spark, sf):
     """Every zone cut into value ranges, as a huge zone is."""
     got = zonal.zonal_stats(observations(spark, sf), zones(spark), ("median",), group_limit=10)
@@ -123,9 +133,11 @@ def class_area(spark, sf):
 
 
 CLASS_AREA = IN_ZONES + f""" SELECT zone_id, CAST({CLASS} AS INT) AS class,
-  CAST(grouping_id(zone_id, CAST({CLASS} AS INT)) AS INT) AS level, count(*) AS n,
+  CAST(grouping_id(zone_id, CAST({CLASS} AS INT)) AS INT) AS level, count(*) AS n, CAST(sum(seen) AS BIGINT) AS visits,
   round(sum({cell_area_sql('lat', 0.1)}), 4) AS area_km2
-  FROM pairs JOIN obs USING (obs_id) GROUP BY ROLLUP (zone_id, CAST({CLASS} AS INT))"""
+  FROM (SELECT zone_id, lon, lat, any_value(value) AS value, count(*) AS seen
+    FROM pairs JOIN obs USING (obs_id) GROUP BY zone_id, lon, lat, CAST({CLASS} AS INT))
+  GROUP BY ROLLUP (zone_id, CAST({CLASS} AS INT))"""
 
 
 def zone_measures(spark, sf):
@@ -159,18 +171,17 @@ SELECT zone_id, CAST(cx AS INT) AS ix, CAST(cy AS INT) AS iy FROM c WHERE crosse
 
 
 def footprint_overlap(spark, sf):
-    """Cells covered by parcels of two segments at once."""
+    """Cells covered by parcels of one segment and of any other at once."""
     cells = overlay.footprint_cells(parcels(spark, sf), 1.0).join(
         parcels(spark, sf).select("zone_id", "c_mktsegment"), "zone_id"
     )
-    return overlay.cell_overlay(
-        cells.where("c_mktsegment = 'BUILDING'"), cells.where("c_mktsegment = 'MACHINERY'"), "intersection"
-    )
+    building = F.col("c_mktsegment") == "BUILDING"
+    return overlay.cell_overlay(cells.where(building), cells.where(~building), "intersection")
 
 
 FOOTPRINT_OVERLAP = f"""WITH f AS ({FOOTPRINT}), s AS (SELECT ix, iy, c_mktsegment AS seg
   FROM f JOIN customer ON c_custkey = zone_id)
-SELECT ix, iy FROM s WHERE seg = 'BUILDING' INTERSECT SELECT ix, iy FROM s WHERE seg = 'MACHINERY'"""
+SELECT ix, iy FROM s WHERE seg = 'BUILDING' INTERSECT SELECT ix, iy FROM s WHERE seg <> 'BUILDING'"""
 
 
 def tile_xy(spark, sf):
@@ -206,6 +217,7 @@ FROM r WHERE rank <= 4"""
 QUERIES = {
     "zonal_stats": (zonal_stats, ZONAL),
     "zonal_stats_band": (zonal_stats_band, ZONAL_BAND),
+    "zonal_stats_offset": (zonal_stats_offset, ZONAL_OFFSET),
     "zonal_median_split": (zonal_median_split, ZONAL_MEDIAN),
     "spatial_join_inner": (spatial_join("inner"), IN_ZONES + " SELECT obs_id, zone_id FROM pairs"),
     "spatial_join_left": (
