@@ -53,6 +53,22 @@ def footprint_cells(
     )
 
 
+def shared_cells(
+    a: DataFrame, b: DataFrame, res: float, a_id: str = "a_id", b_id: str = "b_id", rings: str = "rings",
+) -> DataFrame:
+    """Areas of ``a`` and ``b`` that meet: ``a_id, b_id, cells, share``.
+
+    ``cells`` is how many ``res``-degree cells have their centre in both, and
+    ``share`` that number over the cells of the ``a`` area. Areas too small to
+    hold a centre meet nothing. Both sides become cells, joined by equality, so
+    no pair is tested that shares no cell.
+    """
+    left, right = footprint_cells(a, res, a_id, rings), footprint_cells(b, res, b_id, rings)
+    size = left.groupBy(a_id).agg(F.count(F.lit(1)).alias("_size"))
+    met = left.join(right, ["ix", "iy"]).groupBy(a_id, b_id).agg(F.count(F.lit(1)).alias("cells"))
+    return met.join(size, a_id).select(a_id, b_id, "cells", (F.col("cells") / F.col("_size")).alias("share"))
+
+
 def stack(dfs: Sequence[DataFrame]) -> DataFrame:
     """Products one after another; columns a product lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

@@ -5,18 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_FEATURE = "id STRING, geometry STRUCT<type: STRING, coordinates: STRING>, properties STRING"
+_MEMBER = "type: STRING, coordinates: STRING"
+_FEATURE = f"id STRING, geometry STRUCT<{_MEMBER}, geometries: ARRAY<STRUCT<{_MEMBER}>>>, properties STRING"
 
 
 def scan_features(
     spark: SparkSession, path: str, schema: str = _FEATURE, lines: bool = True
 ) -> DataFrame:
-    """One row per feature: ``id, kind, lon, lat, rings, props``.
+    """One row per feature: ``id, kind, lon, lat, rings, points, lines, props``.
 
     ``lines`` reads one feature per line, which splits inside a file and is
     the form for large data. Without it a file is one FeatureCollection and is
     read by one task. Points fill ``lon, lat``; polygons and multipolygons
-    fill ``rings``. ``props`` is the attributes as JSON text for ``attribute``.
+    fill ``rings``, multipoints ``points``, lines and multilines ``lines``. A
+    geometry collection gives a row for each member, one of nulls if it has
+    none; collections inside it stay empty. ``props`` is the attributes as JSON text for ``attribute``.
     """
     if lines:
         rows = spark.read.schema(schema).json(path)
@@ -26,6 +29,10 @@ def scan_features(
             spark.read.schema(collection).json(path, multiLine=True)
             .select(F.inline("features"))
         )
+    if "geometries" in rows.schema["geometry"].dataType.fieldNames():
+        own = F.struct(F.col("geometry.type").alias("type"), F.col("geometry.coordinates").alias("coordinates"))
+        members = F.when(F.col("geometry.type") == "GeometryCollection", F.col("geometry.geometries")).otherwise(F.array(own))
+        rows = rows.withColumn("geometry", F.explode_outer(members))
     text = F.col("geometry.coordinates")
     kind = F.col("geometry.type")
     point = F.when(kind == "Point", F.from_json(text, "array<double>"))
@@ -34,16 +41,17 @@ def scan_features(
         kind == "MultiPolygon", F.from_json(text, "array<array<array<array<double>>>>")
     )
     rings = F.coalesce(polygon, F.flatten(parts))
-    as_xy = F.transform(
-        rings,
-        lambda ring: F.transform(
-            ring, lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y"))
-        ),
-    )
+    line = F.when(kind == "LineString", F.array(F.from_json(text, "array<array<double>>")))
+    lines = F.coalesce(line, F.when(kind == "MultiLineString", F.from_json(text, "array<array<array<double>>>")))
+    points = F.when(kind == "MultiPoint", F.from_json(text, "array<array<double>>"))
+
+    def as_xy(path):
+        return F.transform(path, lambda p: F.struct(F.get(p, 0).alias("x"), F.get(p, 1).alias("y")))
     return rows.select(
         "id", kind.alias("kind"),
         F.get(point, 0).alias("lon"), F.get(point, 1).alias("lat"),
-        as_xy.alias("rings"), F.col("properties").alias("props"),
+        F.transform(rings, as_xy).alias("rings"), as_xy(points).alias("points"),
+        F.transform(lines, as_xy).alias("lines"), F.col("properties").alias("props"),
     )
 
 

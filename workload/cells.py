@@ -81,6 +81,35 @@ SCAN_FEATURES = """SELECT c_custkey AS zone_id, 'Polygon' AS kind, 7 AS vertices
     + (1::DOUBLE + (c_custkey % 7) * 0.5::DOUBLE) * cos(2 * pi() * 1 / 6), 6) AS second_x,
   c_mktsegment AS segment FROM customer"""
 
+def scan_features_kinds(spark, sf):
+    """One feature per customer, of a kind that goes by its key; a collection is a point and a line."""
+    path = scratch_path(spark, "kinds")
+    pair = "concat('[', c_custkey % 360 - 180, ',', c_nationkey, ']')"
+    line = f"concat('[', {pair}, ',[0,1]]')"
+    kinds = {
+        "Point": pair, "MultiPoint": line, "LineString": line, "MultiLineString": f"concat('[', {line}, ',', {line}, ']')",
+    }
+    single = {k: f"concat('{{\"type\":\"{k}\",\"coordinates\":', {v}, '}}')" for k, v in kinds.items()}
+    both = f"concat('{{\"type\":\"GeometryCollection\",\"geometries\":[', {single['Point']}, ',', {single['LineString']}, ']}}')"
+    cases = " ".join(f"WHEN {i} THEN {g}" for i, g in enumerate([*single.values(), both]))
+    feature = f"concat('{{\"type\":\"Feature\",\"id\":\"', c_custkey, '\",\"geometry\":', CASE c_custkey % 5 {cases} END, ',\"properties\":{{}}}}')"
+    table(spark, sf, "customer").select(F.expr(feature).alias("value")).write.text(path)
+    got = features.scan_features(spark, path)
+    return got.select(
+        F.col("id").cast("bigint").alias("id"), "kind", "lon",
+        F.get("points", 0)["x"].alias("point_x"), F.size(F.coalesce("lines", F.array())).alias("n_lines"),
+        F.get(F.get("lines", 0), 1)["y"].alias("line_y"),
+    )
+
+
+SCAN_FEATURES_KINDS = """WITH k AS (SELECT c_custkey AS id, (c_custkey % 360 - 180)::DOUBLE AS x,
+    unnest(CASE c_custkey % 5 WHEN 0 THEN ['Point'] WHEN 1 THEN ['MultiPoint'] WHEN 2 THEN ['LineString']
+      WHEN 3 THEN ['MultiLineString'] ELSE ['Point', 'LineString'] END) AS kind FROM customer)
+SELECT id, kind, CASE WHEN kind = 'Point' THEN x END AS lon, CASE WHEN kind = 'MultiPoint' THEN x END AS point_x,
+  CASE kind WHEN 'LineString' THEN 1 WHEN 'MultiLineString' THEN 2 ELSE 0 END AS n_lines,
+  CASE WHEN kind LIKE '%LineString' THEN 1.0::DOUBLE END AS line_y FROM k"""
+
+
 CUSTOMER = "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
 
 
@@ -393,6 +422,7 @@ QUERIES = {
     "search_scenes_antimeridian": (search_scenes_antimeridian, SEARCH_SCENES_ANTIMERIDIAN),
     "search_scenes_wrapped": (search_scenes_wrapped, SEARCH_SCENES_WRAPPED),
     "scan_features": (scan_features, SCAN_FEATURES),
+    "scan_features_kinds": (scan_features_kinds, SCAN_FEATURES_KINDS),
     "scan_table_csv": (_round_trip("csv"), ROUND_TRIP),
     "scan_table_json": (_round_trip("json"), ROUND_TRIP),
     "scan_table_parquet": (_round_trip("parquet"), ROUND_TRIP),

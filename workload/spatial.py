@@ -8,8 +8,7 @@ from swathe.functions.grid import cell_xy
 from swathe.operators import filters, overlay, spatial, tiles, zonal
 from workload.cells import CLASS
 from workload.fixtures import (
-    OBS, PAIRS, PARCEL_EDGES, ZONE_EDGES, cell_area_sql, haversine_sql, observations, parcels,
-    rounded, stations, stations_sql, tile_sql, zones,
+    OBS, PAIRS, PARCEL_EDGES, SCENES, ZONE_EDGES, cell_area_sql, haversine_sql, observations, parcels, rounded, scenes, stations, stations_sql, tile_sql, zones,
 )
 
 IN_ZONES = f"WITH {OBS}, {ZONE_EDGES}, {PAIRS}"
@@ -184,6 +183,22 @@ FOOTPRINT_OVERLAP = f"""WITH f AS ({FOOTPRINT}), s AS (SELECT ix, iy, c_mktsegme
 SELECT ix, iy FROM s WHERE seg = 'BUILDING' INTERSECT SELECT ix, iy FROM s WHERE seg <> 'BUILDING'"""
 
 
+def scenes_by_zone(spark, sf):
+    """Which scenes cover which zone, and with what share of their cells."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    ring = F.array(corner("west", "south"), corner("east", "south"), corner("east", "north"), corner("west", "north"), corner("west", "south"))
+    boxes = scenes(spark, sf).select("scene_id", F.array(ring).alias("rings"))
+    return rounded(overlay.shared_cells(boxes, zones(spark), 1.0, "scene_id", "zone_id"), "share")
+
+
+SCENES_BY_ZONE = f"""WITH {SCENES}, {ZONE_EDGES}, c AS (SELECT zone_id, cx, cy FROM edges, range(360) a(cx), range(180) b(cy)
+  GROUP BY zone_id, cx, cy HAVING sum(CASE WHEN (y1 > cy - 89.5) <> (y2 > cy - 89.5)
+    AND cx - 179.5 < (x2 - x1) * (cy - 89.5 - y1) / (y2 - y1) + x1 THEN 1 ELSE 0 END) % 2 = 1),
+s AS (SELECT scene_id, CAST(west + 180 AS BIGINT) + dx AS cx, CAST(south + 90 AS BIGINT) + dy AS cy
+  FROM scenes, range(2) d(dx), range(2) e(dy))
+SELECT scene_id, zone_id, count(*) AS cells, round(count(*) / 4::DOUBLE, 6) AS share FROM s JOIN c USING (cx, cy) GROUP BY 1, 2"""
+
+
 def tile_xy(spark, sf):
     return tiles.with_tile(observations(spark, sf), 7).select("obs_id", "z", "x", "y")
 
@@ -236,6 +251,7 @@ QUERIES = {
     "zone_measures": (zone_measures, ZONE_MEASURES),
     "footprint_cells": (footprint_cells, FOOTPRINT),
     "footprint_overlap": (footprint_overlap, FOOTPRINT_OVERLAP),
+    "scenes_by_zone": (scenes_by_zone, SCENES_BY_ZONE),
     "tile_xy": (tile_xy, TILE_XY),
     "tile_pyramid": (tile_pyramid, TILE_PYRAMID),
     "tile_top_k": (tile_top_k, TILE_TOP_K),
