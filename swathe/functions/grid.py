@@ -25,17 +25,22 @@ def floor_int(c: Column) -> Column:
     return F.floor(c).cast("int")
 
 
-def cell_xy(lon: Column | str, lat: Column | str, res: float) -> tuple[Column, Column]:
+def cell_xy(lon: Column | str, lat: Column | str, res: float, globe: bool = True) -> tuple[Column, Column]:
     """Grid cell of a lon/lat position, counted from the south-west corner.
 
     Cells are half open: a point on a shared edge belongs to the cell to its
-    east or north.
+    east or north. On the ``globe``, longitude 180 is the first column, as -180
+    is, and the north pole belongs to the last row; otherwise both lie beyond
+    the grid. NaN has no cell.
     """
     step = F.lit(float(res))
-    return (
-        floor_int((col(lon) + F.lit(180.0)) / step),
-        floor_int((col(lat) + F.lit(90.0)) / step),
-    )
+    x, y = (F.when(~F.isnan(col(c)), col(c)) for c in (lon, lat))
+    if globe:
+        x = F.when(x == 180.0, F.lit(-180.0)).otherwise(x)
+    ix, iy = floor_int((x + F.lit(180.0)) / step), floor_int((y + F.lit(90.0)) / step)
+    if globe:
+        iy = F.when(y == 90.0, F.lit(math.ceil(180 / res) - 1)).otherwise(iy)
+    return ix, iy
 
 
 def cell_centre(ix: Column | str, iy: Column | str, res: float) -> tuple[Column, Column]:

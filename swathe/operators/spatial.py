@@ -97,7 +97,7 @@ def _covered(
         F.col("cx").alias("_zx"), F.col("cy").alias("_zy"), F.col("edges").alias("_edges"),
     )
     cover = broadcast_if(cover, cover_bytes(zones, cell_deg, rings) <= BROADCAST_BYTES)
-    cx, cy = cell_xy(lon, lat, cell_deg)
+    cx, cy = cell_xy(lon, lat, cell_deg, globe=False)  # covers are planar
     keyed = points.withColumn("_cx", cx).withColumn("_cy", cy)
     hit = (
         (F.col("_cx") == F.col("_zx"))

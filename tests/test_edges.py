@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from swathe.functions.grid import cell_xy
 from swathe.operators import composite, filters, frames, raster, series, spatial, zonal
 from swathe.plans.quantiles import exact_quantiles
 from swathe.sources import cells, scenes
@@ -110,6 +111,15 @@ def test_any_number_of_frames(spark):
         assert [r["frame_idx"] for r in got[1:]] == want
 
 
+def test_the_seam_and_the_pole_are_on_the_grid(spark):
+    df = spark.createDataFrame([(180.0, 90.0), (-180.0, 89.5), (179.9, -90.0), (math.nan, 1.0)], "lon double, lat double")
+    got = df.select(*(c.alias(k) for k, c in zip("xy", cell_xy("lon", "lat", 1.0)))).collect()
+    assert [(r["x"], r["y"]) for r in got] == [(0, 179), (0, 179), (359, 0), (None, 91)]
+    edge = spark.createDataFrame([(1, 180.0, 5.0)], "obs_id int, lon double, lat double")
+    assert spatial.clip(edge.withColumn("lon", F.lit(179.5)), square(spark, 170.0, 0.0, 180.0, 10.0)).count() == 1
+    assert spatial.clip(edge.withColumn("lon", F.lit(-179.5)), square(spark, 170.0, 0.0, 180.0, 10.0)).count() == 0
+
+
 def test_radius_beyond_half_the_globe(spark):
     df = spark.createDataFrame([(0.0, 0.0), (179.0, 10.0), (-90.0, -80.0)], "lon double, lat double")
     assert spatial.within_distance_join(df, df, 20_100).count() == 9
