@@ -33,9 +33,11 @@ def accumulate(
 
 
 def calendar_part(ts: Column | str, part: str) -> Column:
-    """``month``, ``dayofweek`` (1 = Sunday), ``dayofyear`` or ``hour``."""
+    """``month``, ``season`` (1 = December to February), ``dayofweek`` (1 = Sunday), ``dayofyear`` or ``hour``."""
     c = F.col(ts) if isinstance(ts, str) else ts
     parts = {"month": F.month, "dayofweek": F.dayofweek, "dayofyear": F.dayofyear, "hour": F.hour}
+    if part == "season":
+        return F.floor(F.month(c) % 12 / 3).cast("int") + 1
     return parts[part](c)
 
 

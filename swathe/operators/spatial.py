@@ -8,6 +8,8 @@ shuffled by cell, where adaptive execution splits a cell that holds many points.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -111,8 +113,11 @@ def _covered(
 def spatial_join(
     points: DataFrame, zones: DataFrame, how: str = "inner", cell_deg: float = 2.0,
     zone_id: str = "zone_id", rings: str = "rings", lon: str = "lon", lat: str = "lat",
+    attributes: Sequence[str] = (),
 ) -> DataFrame:
     """Points with the id of every zone that holds them; ``inner`` or ``left``.
+    ``attributes`` are columns of the zones that come along, by the id, which
+    must then be unique.
 
     A point in several zones gives several rows. Choose ``cell_deg`` a few
     times smaller than a typical zone: the cover grows with the square of zone
@@ -120,7 +125,8 @@ def spatial_join(
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'; see clip and outside")
-    return _covered(points, zones, how, cell_deg, zone_id, rings, lon, lat)
+    held = _covered(points, zones, how, cell_deg, zone_id, rings, lon, lat)
+    return held.join(zones.select(zone_id, *attributes), zone_id, how) if attributes else held
 
 
 def clip(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,17 @@ from swathe.plans.quantiles import builtin_quantiles, exact_quantiles
 from swathe.plans.sides import join_null_safe
 from swathe.plans.skew import group_sizes
 
-ZONAL_STATS = ("count", "sum", "mean", "min", "max", "stddev", "median")
+ZONAL_STATS = ("count", "sum", "mean", "min", "max", "stddev")
+# Of the values as classes.
+CLASS_STATS = ("majority", "minority", "variety")
+
+
+def _quantile(stat: str) -> float | None:
+    """Share below a quantile: ``median``, or ``p0`` to ``p100``."""
+    if stat == "median":
+        return 0.5
+    number = stat.removeprefix("p")
+    return int(number) / 100 if stat != number and number.isdigit() and int(number) <= 100 else None
 
 
 def zonal_stats(
@@ -22,20 +33,25 @@ def zonal_stats(
     by: Sequence[str] = (), value: str = "value", cell_deg: float = 2.0,
     zone_id: str = "zone_id", lon: str = "lon", lat: str = "lat", group_limit: int = 1_000_000,
 ) -> DataFrame:
-    """One row per zone (and ``by``) with a column per statistic.
+    """One row per zone (and ``by``) with a column per statistic:
+    :data:`ZONAL_STATS`, ``median``, percentiles as ``p90``, and
+    :data:`CLASS_STATS`: the value seen most and least often, of equals the
+    lower one, and the number of different values.
 
     Cells sit at few distinct positions, so values are combined per position
     first: the spatial join then sees each position once however often it was
     observed. Zones without cells give no row.
     """
-    unknown = set(stats) - set(ZONAL_STATS)
+    probs = {c: p for c in stats if (p := _quantile(c)) is not None}
+    classes = [c for c in stats if c in CLASS_STATS]
+    unknown = set(stats) - set(ZONAL_STATS) - set(classes) - set(probs)
     if unknown:
         raise ValueError(f"unknown statistics {sorted(unknown)}")
     by = list(by)
     spot = [lon, lat, *by]
     v = F.col(value)
     known = cells.where(v.isNotNull())
-    if "median" in stats:
+    if probs or classes:
         per_spot = known.groupBy(*spot, v.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
         per_spot = per_spot.select(
             *spot, "_n", "_v", (F.col("_v") * F.col("_n")).alias("_s"), F.lit(0.0).alias("_m2"),
@@ -64,27 +80,42 @@ def zonal_stats(
         "max": F.max("_hi"),
         "stddev": F.when(n > 1, F.sqrt(m2 / (n - 1))),
     }
-    plain = [merged[c].alias(c) for c in stats if c != "median"]
-    if "median" not in stats:
-        return held.groupBy(*keys).agg(*plain)
+    plain = [merged[c].alias(c) for c in stats if c in merged]
+    tables = []
+    if classes:
+        per_value = held.groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
+        ranked = {
+            "majority": F.max_by("_v", F.struct("_n", -F.col("_v"))), "minority": F.min_by("_v", F.struct("_n", "_v")),
+            "variety": F.count(F.lit(1)),
+        }
+        tables.append(per_value.groupBy(*keys).agg(*(ranked[c].alias(c) for c in classes)))
+    if not probs:
+        if plain or not tables:
+            tables.append(held.groupBy(*keys).agg(*plain))
+        return _side_by_side(tables, keys).select(*keys, *stats)
     # No zone holds more rows than there are before the join, which cost less to count.
     sizes = None if per_spot.count() <= group_limit else group_sizes(held, keys)
     if sizes is None or sizes.largest <= group_limit:
-        median = builtin_quantiles("_v", {"median": 0.5}, "_n")
-        return held.groupBy(*keys).agg(*plain, *median).select(*keys, *stats)
-    median = exact_quantiles(held, keys, "_v", {"median": 0.5}, "_n", group_limit, sizes=sizes)
-    if not plain:
-        return median
-    return join_null_safe(held.groupBy(*keys).agg(*plain), median, keys).select(*keys, *stats)
+        tables.append(held.groupBy(*keys).agg(*plain, *builtin_quantiles("_v", probs, "_n")))
+    else:
+        tables.append(exact_quantiles(held, keys, "_v", probs, "_n", group_limit, sizes=sizes))
+        if plain:
+            tables.append(held.groupBy(*keys).agg(*plain))
+    return _side_by_side(tables, keys).select(*keys, *stats)
+
+
+def _side_by_side(tables: list[DataFrame], keys: list[str]) -> DataFrame:
+    return reduce(lambda a, b: join_null_safe(a, b, keys), tables)
 
 
 def class_area(
     cells: DataFrame, zones: DataFrame, res: float, class_col: str = "class",
-    cell_deg: float = 2.0, zone_id: str = "zone_id", lon: str = "lon", lat: str = "lat",
+    cell_deg: float = 2.0, zone_id: str = "zone_id", lon: str = "lon", lat: str = "lat", cube: bool = False,
 ) -> DataFrame:
     """Cells and area per zone and class, with subtotals.
 
-    ``level`` is 0 for (zone, class), 1 for a zone, 3 for everything. ``n`` and
+    ``level`` is 0 for (zone, class), 1 for a zone, 3 for everything, and with
+    ``cube`` also 2 for a class. ``n`` and
     ``area_km2`` count each cell once per class and zone however often it was
     visited, ``visits`` every row. Area is that of ``res``-degree cells on the
     sphere.
@@ -95,7 +126,8 @@ def class_area(
     totals = held.groupBy(zone_id, class_col).agg(
         F.count(F.lit(1)).alias("_cells"), F.sum("_n").alias("_n"), F.sum(cell_area_km2(lat, res)).alias("_area")
     )
-    return totals.rollup(zone_id, class_col).agg(
+    grouped = totals.cube(zone_id, class_col) if cube else totals.rollup(zone_id, class_col)
+    return grouped.agg(
         F.grouping_id().cast("int").alias("level"),
         F.sum("_cells").alias("n"),
         F.sum("_n").alias("visits"),

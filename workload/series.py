@@ -193,6 +193,9 @@ QUERIES = {
         climatology("dayofweek"), _climatology_sql("dayofweek", "dayofweek(obs_ts) + 1")
     ),
     "climatology_month": (climatology("month"), _climatology_sql("month", "month(obs_ts)")),
+    "climatology_season": (
+        climatology("season"), _climatology_sql("season", "month(obs_ts) % 12 // 3 + 1")
+    ),
     "anomaly": (anomaly, ANOMALY),
     "trend": (trend, TREND),
     "rolling": (rolling, f"WITH {OBS} " + _rolling_sql("station_id, band", "7 DAY")),

@@ -106,6 +106,20 @@ ZONAL_BAND = IN_ZONES + """ SELECT zone_id, band, count(*) AS count, round(avg(v
   FROM pairs JOIN obs USING (obs_id) GROUP BY zone_id, band"""
 
 
+def zonal_stats_classes(spark, sf):
+    whole = observations(spark, sf).withColumn("value", F.floor("value").cast("double"))
+    stats = ("count", "p90", "majority", "minority", "variety")
+    return rounded(zonal.zonal_stats(whole, zones(spark), stats), "p90")
+
+
+ZONAL_CLASSES = IN_ZONES + """, v AS (SELECT zone_id, floor(value) AS value FROM pairs JOIN obs USING (obs_id)),
+  c AS (SELECT zone_id, value, count(*) AS n FROM v GROUP BY 1, 2),
+  r AS (SELECT DISTINCT zone_id, first_value(value) OVER (PARTITION BY zone_id ORDER BY n DESC, value) AS majority,
+    first_value(value) OVER (PARTITION BY zone_id ORDER BY n, value) AS minority FROM c)
+SELECT zone_id, count(*) AS count, round(quantile_cont(value, 0.9), 6) AS p90, any_value(majority) AS majority,
+  any_value(minority) AS minority, count(DISTINCT value) AS variety FROM v JOIN r USING (zone_id) GROUP BY zone_id"""
+
+
 def zonal_stats_offset(spark, sf):
     """Values far from zero, where sums of squares lose the spread."""
     far = observations(spark, sf).withColumn("value", F.col("value") + 1e9)
@@ -139,6 +153,16 @@ CLASS_AREA = IN_ZONES + f""" SELECT zone_id, CAST({CLASS} AS INT) AS class,
   GROUP BY ROLLUP (zone_id, CAST({CLASS} AS INT))"""
 
 
+def class_area_cube(spark, sf):
+    classed = filters.reclassify(observations(spark, sf), [10, 50, 100, 200])
+    return rounded(zonal.class_area(classed, zones(spark), 0.1, cube=True), "area_km2", places=4)
+
+
+def spatial_join_attributes(spark, sf):
+    held = spatial.spatial_join(observations(spark, sf), parcels(spark, sf), attributes=("c_mktsegment",))
+    return held.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("obs_id").alias("points"))
+
+
 def zone_measures(spark, sf):
     got = zonal.zone_measures(parcels(spark, sf))
     return rounded(got, *[c for c in got.columns if c != "zone_id"])
@@ -232,6 +256,7 @@ FROM r WHERE rank <= 4"""
 QUERIES = {
     "zonal_stats": (zonal_stats, ZONAL),
     "zonal_stats_band": (zonal_stats_band, ZONAL_BAND),
+    "zonal_stats_classes": (zonal_stats_classes, ZONAL_CLASSES),
     "zonal_stats_offset": (zonal_stats_offset, ZONAL_OFFSET),
     "zonal_median_split": (zonal_median_split, ZONAL_MEDIAN),
     "spatial_join_inner": (spatial_join("inner"), IN_ZONES + " SELECT obs_id, zone_id FROM pairs"),
@@ -248,6 +273,12 @@ QUERIES = {
     "nearest_join": (nearest_join, NEAREST),
     "sample_at_points": (sample_at_points, SAMPLE),
     "class_area": (class_area, CLASS_AREA),
+    "class_area_cube": (class_area_cube, CLASS_AREA.replace("ROLLUP", "CUBE")),
+    "spatial_join_attributes": (
+        spatial_join_attributes,
+        IN_PARCELS + """ SELECT c_mktsegment, count(*) AS n, count(DISTINCT obs_id) AS points
+  FROM pairs JOIN customer ON c_custkey = zone_id GROUP BY 1""",
+    ),
     "zone_measures": (zone_measures, ZONE_MEASURES),
     "footprint_cells": (footprint_cells, FOOTPRINT),
     "footprint_overlap": (footprint_overlap, FOOTPRINT_OVERLAP),
