@@ -109,7 +109,8 @@ def near_dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     named = classes.join(linked, "simhash", "left").select(
         "simhash", F.coalesce("component_id", "first_id").alias("component_id")
     )
-    return prints.join(named, "simhash").select("doc_id", "simhash", "component_id")
+    # Both sides come from files, so that adaptive execution can split a fingerprint with many copies.
+    return prints.join(stored(named, "named"), "simhash").select("doc_id", "simhash", "component_id")
 
 
 def _rotated(bits: Column, turn: int) -> Column:
