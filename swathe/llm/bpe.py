@@ -23,7 +23,7 @@ from swathe.llm.common import strings, with_columns
 #: Pieces up to this length share arrays.
 SHARED = 256
 #: Positions in the arrays of one round, and pieces remembered by a worker.
-POSITIONS, REMEMBERED = 1 << 19, 400_000
+POSITIONS, REMEMBERED = 1 << 18, 300_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -176,7 +176,7 @@ class Vocabulary:
         out, start = [], 0
         while start < len(texts):  # so many texts at a time that their pieces fit the memory
             split, seen, total = [], set(), 0
-            while start < len(texts) and (not split or total + len(texts[start]) <= 4_000_000):
+            while start < len(texts) and (not split or total + len(texts[start]) <= 2_000_000):
                 pieces = self.pieces.findall(texts[start])
                 seen.update(pieces)
                 split.append(pieces)
