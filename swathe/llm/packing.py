@@ -27,7 +27,7 @@ GROUP = 8192
 #: Steps of the local search for each underfull bin.
 STEPS = 8
 #: Chunks remembered by a worker, and encoded in one call.
-REMEMBERED, TOGETHER = 300_000, 256
+REMEMBERED, TOGETHER = 800_000, 256
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
@@ -37,13 +37,13 @@ class Words:
 
     That tokenizer drops white space and lets no token cross it, so a text's
     ids are those of its chunks between spaces and line ends, and a chunk seen
-    before needs no second run. Most chunks are Latin letters with a mark
-    behind: the letters in lower case go in together, parted by bars, which
+    before needs no second run. Most chunks are Latin letters with marks
+    behind, which are tokens apart: the letters in lower case go in together, parted by bars, which
     no letter's token is, and past the normalization, which leaves such letters
     as they are. All other chunks go alone through the whole tokenizer.
     """
 
-    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
+    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
@@ -52,7 +52,7 @@ class Words:
         self.whole, self.lower = Tokenizer.from_file(path), Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self.lower.normalizer = normalizers.Sequence([])
-        self.marks = dict(zip(["", *".,;:!?"], self.alone(["", *".,;:!?"])))
+        self.marks: dict[str, bytes] = {}
         self.bar = int.from_bytes(self.alone(["|"])[0], "little")
         self.letters: dict[str, bytes] = {}
         self.memory: dict[str, bytes] = {}
@@ -63,7 +63,13 @@ class Words:
     def learn(self, chunks: list[str]) -> None:
         """Encode chunks into the memory."""
         match, letters = self.SIMPLE.fullmatch, self.letters
-        simple = [(c, m[1].lower(), m[2]) for c in chunks if (m := match(c))]
+        simple, rest = [], []
+        for chunk in chunks:
+            found = match(chunk)
+            if found:
+                simple.append((chunk, found[1].lower(), found[2]))
+            else:
+                rest.append(chunk)
         new = list({w for _, w, _ in simple if w not in letters})
         if len(letters) + len(new) > REMEMBERED:
             letters.clear()
@@ -76,8 +82,12 @@ class Words:
             packed = ids.tobytes()
             letters.update(zip(part, (packed[4 * a : 4 * b] for a, b in zip([0, *(e + 1 for e in ends[:-1])], ends))))
         marks = self.marks
+        tails = [m for m in {m for _, _, m in simple} if m not in marks]
+        if len(marks) + len(tails) > REMEMBERED:
+            marks.clear()
+            tails = list({m for _, _, m in simple})
+        marks.update(zip(tails, self.alone(tails)))
         self.memory.update((c, letters[w] + marks[m]) for c, w, m in simple)
-        rest = [c for c in chunks if not match(c)]
         for i in range(0, len(rest), 10_000):
             self.memory.update(zip(rest[i : i + 10_000], self.alone(rest[i : i + 10_000])))
 
@@ -93,12 +103,12 @@ class Words:
                 total += len(texts[at])
                 at += 1
             known = self.memory
-            new = [c for c in seen if c not in known]
+            new = list(seen - known.keys())
             if len(known) + len(new) > REMEMBERED:
                 known.clear()
                 new = list(seen)
             self.learn(new)
-            out += [b"".join([known[c] for c in chunks]) for chunks in split]
+            out += [b"".join(map(known.__getitem__, chunks)) for chunks in split]
         return out
 
 
