@@ -39,6 +39,13 @@ def test_matching_keeps_order_and_labels():
     assert len(pairs) == 4 and all(x.label == y.label for x, y in pairs)
 
 
+def test_long_lists_are_aligned_by_runs():
+    pages = [f"<body><nav><a>{i}</a></nav><div>" + "".join(f"<p>{i} {k}</p>" for k in range(2000 + i)) + "<hr><ul><li>x</ul></div></body>" for i in range(3)]
+    path = wrappers.induce(pages)
+    assert [level["labels"][level["at"]] for level in path] == ["body", "div"]
+    assert wrappers.extract(pages[1], path).startswith("1 0 1 1 1 2 ") and wrappers.extract(pages[1], path).endswith("1 2000 x")
+
+
 def test_pages_rows(spark):
     rows = [(i, "http://A.example:80/x", PAGE.format(i, f"word{i} " * 5), "t") for i in range(12)]
     rows += [(0, "http://a.example/x", PAGE.format(0, "word0 " * 5), "t"), (50, None, None, "t"), (51, "", "", "t"), (52, None, "<p>lone</p>", "t"), (None, "x", "<p>no id", "t")]
