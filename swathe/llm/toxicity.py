@@ -136,15 +136,17 @@ def learn(df: DataFrame, labels: DataFrame) -> Model:
     """A model from documents (``doc_id``, ``text``) and labels (``doc_id``, ``toxic``).
 
     At most ``SAMPLE`` labelled ids are used, those of the lowest hash. An id
-    labelled both ways is toxic; null ids and labels are left out. What comes to
+    labelled both ways is toxic, one with several texts counts with that of the
+    lowest hash; null ids and labels are left out. What comes to
     the driver is bounded: candidate beginnings and counts, the candidates in
     each toxic sample row, and two numbers for each sample row. Without labels
     of both kinds the model is the fixed list of insults.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    sample = df.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
-    sample = sample.persist()
+    found = df.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # One row for each id, however many rows share it.
+    sample = found.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic")).persist()
     try:
         toxic, clean = sample.where("toxic = 1"), sample.where("toxic <> 1")
         n_toxic, n_clean = toxic.count(), clean.count()
