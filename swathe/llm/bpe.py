@@ -18,7 +18,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from swathe.llm.common import strings, with_columns
+from swathe.llm.common import held, strings, with_columns
 
 #: Pieces up to this length share arrays.
 SHARED = 256
@@ -195,14 +195,9 @@ class Vocabulary:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_LOADED: dict[tuple[str, str], Vocabulary] = {}
-
-
 def vocabulary(path: str, pattern: str) -> Vocabulary:
     """One vocabulary per worker process."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = Vocabulary(path, pattern)
-    return _LOADED[path, pattern]
+    return held(__name__, (path, pattern), lambda: Vocabulary(path, pattern))
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:

@@ -16,6 +16,23 @@ from swathe.session import scratch_path
 
 _SHIPPED: set[str] = set()
 
+#: What a worker process keeps from task to task, by module.
+_HELD: dict[str, dict] = {}
+
+
+def held(module: str, key, make: Callable[[], object]):
+    """The object that ``make`` gives, made once per worker process."""
+    own = _HELD.setdefault(module, {})
+    if key not in own:
+        own[key] = make()
+    return own[key]
+
+
+def _starting(make: Callable) -> None:
+    """A worker that goes on to another operator lets go of what earlier ones kept."""
+    for module in [m for m in _HELD if m != make.__module__]:
+        del _HELD[module]
+
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once per application, for the Python workers."""
@@ -50,6 +67,7 @@ def with_columns(
     kinds = _arrow_types(added)
 
     def run(batches):
+        _starting(make)
         for batch in _slices(batches):
             columns = [batch.column(batch.schema.get_field_index(n)) for n in names]
             new = [pa.array(x, t) for x, t in zip(make(batch), kinds, strict=True)]
@@ -66,6 +84,7 @@ def rows_from(
     kinds = _arrow_types(schema)
 
     def run(batches):
+        _starting(make)
         for batch in _slices(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(make(batch), kinds, strict=True)], [f.name for f in schema]

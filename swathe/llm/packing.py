@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swathe.llm.common import rows_from, strings
+from swathe.llm.common import held, rows_from, strings
 
 #: Pieces of a group, on average.
 GROUP = 8192
 #: Steps of the local search for each underfull bin.
 STEPS = 8
 #: Chunks remembered by a worker, and encoded in one call.
-REMEMBERED, TOGETHER = 800_000, 256
+REMEMBERED, TOGETHER = 500_000, 256
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
@@ -112,13 +112,8 @@ class Words:
         return out
 
 
-_LOADED: dict[str, Words] = {}
-
-
 def words(path: str) -> Words:
-    if path not in _LOADED:
-        _LOADED[path] = Words(path)
-    return _LOADED[path]
+    return held(__name__, path, lambda: Words(path))
 
 
 def pieces(df: DataFrame, path: str, limit: int = 2048, end: int = 0, keep_ids: bool = True) -> DataFrame:
