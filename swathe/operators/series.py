@@ -13,6 +13,8 @@ from swathe.plans.skew import floor_div, group_sizes, micros, narrowest_needed,
 SECONDS_PER_DAY = 86400.0
 # Slots of a gap that are written out from one row.
 STRETCH = 65_536
+# Slots of a calendar up to which a key is one window, and of a piece of a longer one.
+PLAIN_SLOTS, PIECE_SLOTS = 5_000_000, 1_000_000
 
 
 def accumulate(
@@ -198,9 +200,10 @@ def gap_fill(
 
     ``carry`` repeats the last value, ``linear`` interpolates, ``null`` leaves
     the new slots empty. Column ``filled`` marks new slots. After the mean a
-    key holds at most one row per slot, so the window over a key is bounded by
-    the calendar. Each slot writes out the gap behind it, so no calendar table
-    is built and nothing is joined.
+    key holds at most one row per slot. While the calendar has at most
+    ``PLAIN_SLOTS`` slots a key is one window; a longer one is cut into pieces,
+    and the last slot of a piece looks up the first of the key's next piece.
+    Each slot writes out the gap behind it, so no calendar table is built.
     """
     if method not in ("carry", "linear", "null"):
         raise ValueError(f"unknown method {method!r}")
@@ -212,15 +215,14 @@ def gap_fill(
         .groupBy(*keys, slot.alias("_slot"))
         .agg(F.avg(value).alias("_v"))
     )
-    series = Window.partitionBy(*keys).orderBy("_slot")
+    first, last = df.where(F.col(value).isNotNull()).agg(F.min(slot), F.max(slot)).first()
+    ahead = _with_next(slots, keys, first is not None and last - first > PLAIN_SLOTS)
     nxt, gap = F.col("_next"), F.col("_gap")
     # A gap may be longer than one row's array should be: first its stretches, then the slots of each.
     longest = F.coalesce(nxt - F.col("_slot") - 1, F.lit(0))
     stretch = F.col("_stretch") * STRETCH
     ahead = (
-        slots.withColumn("_next", F.lead("_slot").over(series))
-        .withColumn("_next_v", F.lead("_v").over(series))
-        .withColumn("_stretch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(longest / STRETCH))))
+        ahead.withColumn("_stretch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(longest / STRETCH))))
         .withColumn("_gap", F.explode(F.sequence(stretch, F.least(stretch + (STRETCH - 1), longest))))
     )
     share = gap / (nxt - F.col("_slot"))
@@ -235,3 +237,18 @@ def gap_fill(
         F.when(gap == 0, F.col("_v")).otherwise(fill).alias(value),
         (gap > 0).alias("filled"),
     )
+
+
+def _with_next(slots: DataFrame, keys: list[str], pieces: bool) -> DataFrame:
+    """``_next`` and ``_next_v``: slot and value of the key's next slot."""
+    if not pieces:
+        series = Window.partitionBy(*keys).orderBy("_slot")
+        return slots.withColumn("_next", F.lead("_slot").over(series)).withColumn("_next_v", F.lead("_v").over(series))
+    cut = slots.withColumn("_piece", floor_div(F.col("_slot"), PIECE_SLOTS))
+    inside = Window.partitionBy(*keys, "_piece").orderBy("_slot")
+    after = F.lead("_first").over(Window.partitionBy(*keys).orderBy("_piece"))
+    firsts = cut.groupBy(*keys, "_piece").agg(F.min(F.struct("_slot", "_v")).alias("_first"))
+    later = firsts.select(*keys, "_piece", after.alias("_later"))
+    led = cut.withColumn("_follow", F.lead(F.struct("_slot", "_v")).over(inside))
+    joined = join_null_safe(led, later, [*keys, "_piece"]).withColumn("_follow", F.coalesce("_follow", "_later"))
+    return joined.select(*keys, "_slot", "_v", F.col("_follow._slot").alias("_next"), F.col("_follow._v").alias("_next_v"))

@@ -100,6 +100,18 @@ def test_long_gap_is_written_in_stretches(spark, monkeypatch):
     assert [r["value"] for r in got] == pytest.approx(range(1235)) and sum(r["filled"] for r in got) == 1233
 
 
+def test_long_calendars_are_filled_in_pieces(spark, monkeypatch):
+    start = datetime.datetime(2024, 1, 1)
+    rows = [(k, start + datetime.timedelta(minutes=m), float(m)) for k in (1, 2, None) for m in (0, 3, 4, 19, 40, 41)]
+    df = spark.createDataFrame(rows, "k int, obs_ts timestamp_ntz, value double")
+    for method in ("carry", "linear", "null"):
+        plain = sorted(map(str, series.gap_fill(df, ["k"], "1 minute", method).collect()))
+        monkeypatch.setattr(series, "PLAIN_SLOTS", 1)
+        monkeypatch.setattr(series, "PIECE_SLOTS", 7)
+        assert sorted(map(str, series.gap_fill(df, ["k"], "1 minute", method).collect())) == plain and len(plain) == 126
+        monkeypatch.undo()
+
+
 def test_any_number_of_frames(spark):
     start = datetime.datetime(2024, 1, 1)
     df = spark.createDataFrame([(start + datetime.timedelta(seconds=37 * i),) for i in range(50)] + [(None,)], "obs_ts timestamp_ntz")
