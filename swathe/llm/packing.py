@@ -27,7 +27,7 @@ GROUP = 8192
 #: Steps of the local search for each underfull bin.
 STEPS = 8
 #: Chunks remembered by a worker, and encoded in one call.
-REMEMBERED, TOGETHER = 500_000, 256
+REMEMBERED, TOGETHER = 650_000, 256
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
 
@@ -38,9 +38,9 @@ class Words:
     That tokenizer drops white space and lets no token cross it, so a text's
     ids are those of its chunks between spaces and line ends, and a chunk seen
     before needs no second run. Most chunks are Latin letters with marks
-    behind, which are tokens apart: the letters in lower case go in together, parted by bars, which
-    no letter's token is, and past the normalization, which leaves such letters
-    as they are. All other chunks go alone through the whole tokenizer.
+    behind, which are tokens apart: the letters in lower case go in together, past the
+    normalization, which leaves such letters as they are, and part again at the
+    tokens that end a word. All other chunks go alone through the whole tokenizer.
     """
 
     SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
@@ -53,7 +53,9 @@ class Words:
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self.lower.normalizer = normalizers.Sequence([])
         self.marks: dict[str, bytes] = {}
-        self.bar = int.from_bytes(self.alone(["|"])[0], "little")
+        vocabulary = self.lower.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.letters: dict[str, bytes] = {}
         self.memory: dict[str, bytes] = {}
 
@@ -76,11 +78,11 @@ class Words:
             new = list({w for _, w, _ in simple})
         for i in range(0, len(new), TOGETHER):
             part = new[i : i + TOGETHER]
-            run = self.lower.encode_batch_fast([" | ".join(part)], add_special_tokens=False)[0].ids
+            run = self.lower.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids
             ids = np.array(run, "<u4")
-            ends = [*np.flatnonzero(ids == self.bar).tolist(), len(ids)]
+            ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
             packed = ids.tobytes()
-            letters.update(zip(part, (packed[4 * a : 4 * b] for a, b in zip([0, *(e + 1 for e in ends[:-1])], ends))))
+            letters.update(zip(part, (packed[a:b] for a, b in zip([0, *ends], ends)), strict=True))
         marks = self.marks
         tails = [m for m in {m for _, _, m in simple} if m not in marks]
         if len(marks) + len(tails) > REMEMBERED:
