@@ -126,13 +126,14 @@ SENTENCES = [
     ("no-derivatives", "may not be (?:copied|reproduced|distributed)(?: or (?:copied|reproduced|distributed))? without", "may not be"),
 ]
 
-#: A text meets rules only if it holds one of these; every match of a phrase or rule does.
+#: A text meets rules only if it holds one of these; every match of a phrase or rule does. A space stands for
+#: whatever parts two words, the underscore included.
 GATE = (
-    r"(?i)licen[sc]|spdx|apache|creative\W+common|cc(?:\W+by|0|\W+zero)(?![a-z])|(?<![a-z])(?:[al]?gpl|mpl|epl|(?:free)?bsd)(?![a-z])"
-    r"|rights\W+reserved|public\W+domain|mit\W+no\W+attribution|open\W?rail|hereby\W+granted|without\W+fee"
-    r"|source\W+and\W+binary|implied\W+warranty|free\W+software|source\W+code\W+form|unencumbered|waived\W+all|proprietary\W+and"
-    r"|and\W+proprietary|unauthori[sz]ed|may\W+not\W+be"
-)
+    r"(?i)licen[sc]|spdx|apache|creative commons|cc(?: by|0| zero| attribution)(?![a-z])|(?<![a-z])(?:[al]?gpl|mpl|epl|(?:free)?bsd)(?![a-z])"
+    r"|rights reserved|public domain|mit no attribution|open(?: )?rail|hereby granted|without fee"
+    r"|source and binary|implied warranty|free software|source code form|unencumbered|waived all|proprietary and"
+    r"|and proprietary|unauthori[sz]ed|may not be"
+).replace(" ", r"[\W_]+")
 _OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 

@@ -185,3 +185,42 @@ def test_license_rules(spark):
     assert out[3]["labels"] == "proprietary" and out[6]["labels"] == "mit"
     assert out[4]["labels"] == "bsd-3-clause,cc-by,cc-by-nc-sa" and out[5]["score"] == 0 and out[5]["labels"] == ""
     assert len(licenses.rules()) > 300
+
+
+def one_of(pattern):
+    """A text that a pattern of the rules matches: first choices, optional parts left out."""
+    from re import _constants as kinds
+    from re import _parser
+
+    def made(parsed):
+        out = ""
+        for kind, value in parsed:
+            if kind is kinds.LITERAL:
+                out += chr(value)
+            elif kind is kinds.IN:
+                out += chr(value[0][1] if value[0][0] is kinds.LITERAL else value[0][1][0])
+            elif kind is kinds.BRANCH:
+                out += made(value[1][0])
+            elif kind is kinds.SUBPATTERN:
+                out += made(value[3])
+            elif kind in (kinds.MAX_REPEAT, kinds.MIN_REPEAT):
+                out += made(value[2]) * value[0]
+        return out
+
+    return made(_parser.parse(pattern))
+
+
+def test_license_gate_lets_every_rule_through(spark):
+    samples = [*(one_of(r["regex"]) for r in licenses.rules()), *licenses.BASE]
+    samples += ["cc attribution 4 0", "cc attribution noncommercial", "open rail m", "cc zero"]
+    between = ("_", "__", " - ", " _ ", "\n", ".")
+    rows = list(enumerate("x " + b.join(words.upper().split()) + ", y" for words in samples for b in between))
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, text in rows:
+        r = out[i]
+        assert (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"]) == brute_base(text), text
+        assert r["labels"], text
+    named = {"photo under CC_BY, see page": "cc-by", "All_rights_reserved": "proprietary", "released into the public_domain": "public-domain",
+             "CC Attribution 4.0": "cc-by", "open - rail": "openrail"}
+    found = licenses.scan(spark.createDataFrame(list(enumerate(named)), DOCS)).collect()
+    assert [r["labels"] for r in sorted(found, key=lambda r: r["doc_id"])] == list(named.values())
