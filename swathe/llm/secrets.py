@@ -4,7 +4,8 @@ A prefix tree of labelled credentials of one kind becomes a probabilistic
 automaton: states whose frequencies of endings and of next characters do not
 differ by more than Hoeffding's bound allows, all the way down, are merged. Every
 other long run of credential characters in a text is scored by how much likelier
-the best automaton makes it than a model of ordinary runs does, per character.
+the best automaton makes it than a model of ordinary runs does, per character;
+one that has a public format whole needs no score.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from swathe.llm.common import rows_from, strings, with_columns
+from swathe.llm.common import rows_from, stored, strings, with_columns
 
 #: Kinds in the order of equal starts; the last is the method's own.
 KINDS = ("assign", "access", "hex", "format")
@@ -33,6 +34,8 @@ ALPHABET = string.ascii_letters + string.digits + "+/_.=-"
 SAMPLE, EXAMPLES, LONGEST = 20_000, 600, 128
 #: Least score per character, in nats.
 MARGIN = 0.3
+#: The threshold is a multiple of one such part of a nat.
+STEPS = 1000
 
 # Public formats of which examples are drawn: name, prefix, characters and length of the rest.
 FORMATS = (
@@ -43,6 +46,7 @@ FORMATS = (
     ("aws", "AKIA", string.ascii_uppercase + "234567", 16),
 )
 DRAWN = 150
+PUBLIC = re.compile("|".join(f"{prefix}[{re.escape(characters)}]{{{size},}}" for _, prefix, characters, size in FORMATS))
 
 
 class Automaton:
@@ -132,8 +136,19 @@ class Automaton:
             self.table.append({c: (math.log(k / total), at[self.next[s][c]]) for c, k in self.times[s].items()})
         self.unseen = [math.log(1 / (self.seen[s] + 1.0) / len(ALPHABET)) for s in order]
         self.end = [math.log((self.ends[s] + 0.01) / (self.seen[s] + 1.0)) for s in order]
+        self.final = [self.ends[s] > 0 for s in order]
         del self.next, self.times, self.seen, self.ends
 
+    def accepts(self, word: str) -> bool:
+        """Whether words learnt from take every step of ``word`` and end where it ends."""
+        s = 0
+        for c in word:
+            step = self.table[s].get(c)
+            if step is None:
+                return False
+            s = step[1]
+        return self.final[s]
+
     def likelihood(self, word: str) -> float:
         total, s = 0.0, 0
         for c in word:
@@ -149,12 +164,10 @@ class Automaton:
 class Ordinary:
     """Pairs of neighbouring characters in runs that are no credentials."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], pairs: dict[str, int] | None = None):
         counts: dict[str, dict[str, int]] = {}
-        for word in words:
-            for a, b in zip("^" + word, word + "$"):
-                row = counts.setdefault(a, {})
-                row[b] = row.get(b, 0) + 1
+        for pair, n in (pairs_of(words) if pairs is None else pairs).items():
+            counts.setdefault(pair[0], {})[pair[1]] = n
         size = len(ALPHABET) + 1
         self.table = {a: {b: math.log((n + 0.5) / (sum(row.values()) + 0.5 * size)) for b, n in row.items()} for a, row in counts.items()}
         self.rest = {a: math.log(0.5 / (sum(row.values()) + 0.5 * size)) for a, row in counts.items()}
@@ -168,6 +181,15 @@ class Ordinary:
         return total
 
 
+def pairs_of(words: list[str]) -> dict[str, int]:
+    """How often each two characters are neighbours, ends of words included."""
+    counts: dict[str, int] = {}
+    for word in words:
+        for a, b in zip("^" + word, word + "$"):
+            counts[a + b] = counts.get(a + b, 0) + 1
+    return counts
+
+
 @dataclass
 class Model:
     automata: dict
@@ -212,7 +234,7 @@ def candidates(text: str, spans: list[tuple[int, int, str]]):
 def all_spans(text: str, model: Model) -> list[tuple[int, int, str]]:
     """Base spans and those the formats add, by start and kind."""
     spans = base_spans(text)
-    more = [(s, e, "format") for s, e, run in candidates(text, spans) if model.score(run) >= model.threshold]
+    more = [(s, e, "format") for s, e, run in candidates(text, spans) if PUBLIC.fullmatch(run) or model.score(run) >= model.threshold]
     return sorted(spans + more, key=lambda s: (s[0], KINDS.index(s[2]))) if more else spans
 
 
@@ -222,38 +244,74 @@ def learn(df: DataFrame) -> Model:
 
     The sample is the ``SAMPLE`` ids of the lowest hash; at most ``EXAMPLES``
     different credentials of each kind, of at most ``LONGEST`` characters, come
-    to the driver, and as many ordinary runs. The threshold lies above all but
-    a thousandth of the latter's scores.
+    to the driver. Ordinary runs are the different runs of all documents that no
+    fixed pattern touches, without those of a public format and those that an
+    automaton of labelled credentials accepts and makes likelier by ``MARGIN``
+    than a model of all runs but the public formats does. Counts of their pairs
+    make the model of ordinary runs. The threshold lies above all but a
+    thousandth of their scores, in steps of a ``STEPS``-th; neither is sampled.
     """
     ids = df.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     sample = df.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
 
-    def make(batch):
+    def labels(batch):
         rows = set()
         for text in strings(batch, "text"):
-            spans = base_spans(text)
-            for start, end, kind in spans:
-                value = ASSIGN.fullmatch(text[start:end])[2] if kind == "assign" else text[start:end]
-                rows.add((kind, value))
-            rows.update(("ordinary", run) for _, _, run in candidates(text, spans))
+            for start, end, kind in base_spans(text):
+                rows.add((kind, ASSIGN.fullmatch(text[start:end])[2] if kind == "assign" else text[start:end]))
         kept = sorted(r for r in rows if len(r[1]) <= LONGEST)
         return [[k for k, _ in kept], [v for _, v in kept]]
 
-    labelled = rows_from(sample.select("text"), make, "kind string, value string").distinct()
+    def others(batch):
+        return [sorted({run for text in strings(batch, "text") for _, _, run in candidates(text, base_spans(text))})]
+
+    labelled = rows_from(sample.select("text"), labels, "kind string, value string").distinct()
     first = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
     rows = labelled.withColumn("n", first).where(F.col("n") <= EXAMPLES).select("kind", "value").collect()
     values: dict[str, list[str]] = {}
     for kind, value in sorted(tuple(r) for r in rows):
         values.setdefault(kind, []).append(value)
-    ordinary = values.pop("ordinary", [])
     draw = random.Random(7)
     for name, prefix, characters, size in FORMATS:
         values[name] = [prefix + "".join(draw.choices(characters, k=size)) for _ in range(DRAWN)]
     automata = {kind: Automaton(found) for kind, found in values.items() if len(found) >= 5}
-    model = Model(automata, Ordinary(ordinary), MARGIN)
-    scores = sorted(model.score(run) for run in ordinary)
-    if scores:
-        model.threshold = max(MARGIN, scores[min(len(scores) - 1, int(0.999 * len(scores)))])
+    own = [a for kind, a in automata.items() if kind in KINDS]
+    runs = stored(rows_from(df.select("text"), others, "run string").distinct(), "runs")
+
+    def likely(run: str, plain: Ordinary | None) -> bool:
+        """Whether the run has a public format, or that of labelled credentials rather than ``plain``, if given."""
+        if PUBLIC.fullmatch(run):
+            return True
+        if plain is None:
+            return False
+        least = plain.likelihood(run) + MARGIN * (len(run) + 1)
+        return any(a.accepts(run) and a.likelihood(run) >= least for a in own)
+
+    def ordinary(plain: Ordinary | None) -> Ordinary:
+        def count(batch):
+            pairs = pairs_of([run for run in strings(batch, "run") if not likely(run, plain)])
+            return [list(pairs), list(pairs.values())]
+
+        counted = rows_from(runs, count, "pair string, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+        return Ordinary([], dict(tuple(r) for r in counted.collect()))
+
+    plain = ordinary(None)
+    model = Model(automata, ordinary(plain), MARGIN)
+
+    def steps(batch):
+        counts: dict[int, int] = {}
+        for run in strings(batch, "run"):
+            if not likely(run, plain):
+                step = math.floor(model.score(run) * STEPS)
+                counts[step] = counts.get(step, 0) + 1
+        return [list(counts), list(counts.values())]
+
+    scores = rows_from(runs, steps, "step bigint, n bigint").groupBy("step").agg(F.sum("n").alias("n")).collect()
+    above = sum(r["n"] for r in scores) // 1000
+    for step, n in sorted((tuple(r) for r in scores), reverse=True):
+        above -= n
+        if above < 0:
+            return Model(automata, model.ordinary, max(MARGIN, (step + 1) / STEPS))
     return model
 
 

@@ -137,6 +137,18 @@ def test_formats_add_spans_and_blanking(spark):
     assert secrets.scan(empty, secrets.learn(empty)).count() == 0
 
 
+def test_tokens_of_public_formats_inside_the_learnt_table(spark):
+    draw = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    tokens = [p + "".join(draw.choices(letters, k=n)) for p, n in (("ghp_", 36), ("xoxb-", 40), ("AIza", 35)) for _ in range(17)]
+    rows = [(i, f"see mail{i}.example.com.archive and report-2020-final-{i}.txt") for i in range(50)]
+    rows += [(100 + i, f"use {t} now") for i, t in enumerate(tokens)]
+    df = spark.createDataFrame(rows, DOCS)
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(df, secrets.learn(df)).collect()}
+    assert [i for i in out if out[i]] == [i for i in out if i >= 100]
+    assert all((s["kind"], s["start"], s["end"]) == ("format", 4, 4 + len(tokens[i - 100])) for i in out if i >= 100 for s in out[i])
+
+
 def test_secrets_query(spark, sf, entry, docs):
     out = {r["doc_id"]: r for r in entry["op3_secrets"](spark, sf).collect()}
     assert len(out) == len(docs)
