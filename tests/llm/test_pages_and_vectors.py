@@ -24,6 +24,15 @@ def test_wrapper_finds_the_varying_part():
     assert wrappers.extract("<div>other <p>layout</div>", path) == "other layout"
 
 
+def test_headline_and_lead_beside_the_body_stay():
+    for tag in ("div", "section", "ul"):
+        made = "<body><div><b>Top of site</b></div><article><h1>Head {0}</h1><p>Lead {0}</p><" + tag + "><p>{1}</p></" + tag + "></article></body>"
+        pages = [made.format(i, f"body{i} " * (4000 if i == 2 else 60)) for i in range(4)]
+        path = wrappers.induce(pages)
+        assert [level["labels"][level["at"]] for level in path] == ["body", "article"]
+        assert wrappers.extract(pages[1], path) == " ".join(["Head 1 Lead 1"] + ["body1"] * 60)
+
+
 def test_odd_pages():
     assert wrappers.induce([]) == [] and wrappers.induce([""]) == []
     assert wrappers.extract("", []) == "" and wrappers.extract("<script>x", []) == ""
