@@ -190,3 +190,116 @@ def spanning_links(left: np.ndarray, right: np.ndarray | None, budget: int = BUD
                 tasks.append((am, a1, b0, bm, bit - 1, left_over - 1))
     rest = label != np.arange(len(values))
     return values[rest], values[label[rest]]
+
+
+#: Hashes of a head and heads of a text: of pairs at 0.8 a share of 1 - (1 - 0.8 ** 3) ** 12 = 0.9998 agrees on a head.
+HASHES, HEADS = 3, 12
+#: Texts under one head are compared in pairs of blocks of about so many.
+BLOCK = 1024
+_DRAW = np.random.default_rng(17)
+_TIMES, _PLUS = (_DRAW.integers(0, 1 << 64, HASHES * HEADS, np.uint64) for _ in range(2))
+_TIMES |= np.uint64(1)
+
+
+def shingle_set(text: str, size: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles, of the same words as ``fingerprint``."""
+    words = text.encode().lower().split()
+    if len(words) <= size:
+        shingles = [b" ".join(words)] if words else []
+    else:
+        shingles = map(b" ".join, zip(*(words[i:] for i in range(size))))
+    return np.unique(np.array([xxhash.xxh64_intdigest(s, 5) for s in shingles], "<u8"))
+
+
+def mark(text: str) -> int:
+    """A signed 64-bit hash of a text's words in order; 0 without words."""
+    words = text.encode().lower().split()
+    return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(words), 11)).view(np.int64)) if words else 0
+
+
+def marks(df: DataFrame) -> DataFrame:
+    """``df`` with ``mark`` of ``text``; a null text is empty."""
+    return with_columns(df, lambda batch: [[mark(t) for t in strings(batch, "text")]], "mark bigint")
+
+
+def heads(found: np.ndarray) -> list[int]:
+    """Hashes of the ``HEADS`` groups of ``HASHES`` smallest hashes of a set."""
+    if not len(found):
+        return []
+    least = np.full(HASHES * HEADS, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(found), 4096):
+        least = np.minimum(least, (found[i : i + 4096, None] * _TIMES + _PLUS).min(0))
+    return [int(np.uint64(xxhash.xxh64_intdigest(x.tobytes())).view(np.int64)) for x in least.reshape(HEADS, HASHES)]
+
+
+def near_copies(df: DataFrame, size: int = 5, budget: int = 20, similarity: float = 0.8) -> DataFrame:
+    """One row per row of ``df`` (``doc_id``, ``text``): ``doc_id``, ``mark`` and
+    ``component_id``, the smallest id reachable over links of texts whose sets of
+    shingles of ``size`` words have at least ``similarity`` as exact Jaccard.
+
+    Only texts that agree on a head of smallest hashes and whose fingerprints are
+    within ``budget`` bits are compared. Nulls and repeated ids are as in ``near_dedup``.
+    """
+    docs = df.select("doc_id", "text")
+
+    def make(batch):
+        texts = strings(batch, "text")
+        return [[mark(t) for t in texts], [fingerprint(t, size) for t in texts], [heads(shingle_set(t, size)) for t in texts]]
+
+    rows = stored(with_columns(docs, make, "mark bigint, simhash bigint, heads array<bigint>", drop=("text",)), "marks")
+    classes = rows.groupBy("mark").agg(F.min("doc_id").alias("first_id"))
+    keyed = rows.select("mark", "simhash", F.posexplode("heads").alias("run", "head")).distinct()
+    shared = keyed.groupBy("run", "head").count().where("count > 1")
+    members = stored(keyed.join(shared, ["run", "head"]), "members")
+    wanted = marks(docs).join(members.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"]).select("mark", "text")
+    sets = with_columns(wanted, lambda batch: [[shingle_set(t, size).tobytes() for t in strings(batch, "text")]], "held binary", drop=("text",))
+    blocks = F.ceil(F.col("count") / BLOCK).cast("int")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("mark"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    grouped = dealt.join(stored(sets, "sets"), "mark").select(
+        "run", "head", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "mark", "simhash", "held"
+    ).repartition("run", "head", "low", "high").sortWithinPartitions("run", "head", "low", "high")
+    links = grouped.mapInArrow(lambda batches: _compared(batches, budget, similarity), "a bigint, b bigint")
+    roots = stored(components(links), "roots").withColumnRenamed("node", "mark")
+    rooted = classes.join(roots, "mark").select("mark", "root", "first_id")
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    linked = rooted.join(least, "root").select("mark", "component_id")
+    named = classes.join(linked, "mark", "left").select("mark", F.coalesce("component_id", "first_id").alias("component_id"))
+    return rows.select("doc_id", "mark").join(stored(named, "named"), "mark").select("doc_id", "mark", "component_id")
+
+
+def _compared(batches, budget: int, similarity: float):
+    """Links that span the near texts of each group of consecutive rows, across batches."""
+    key, group = None, []
+    for batch in batches:
+        found: list = []
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[:4] != key:
+                found += near_links_of(group, key, budget, similarity)
+                key, group = row[:4], []
+            group.append(row[4:])
+        yield _links_batch([tuple(np.array(found, np.int64).reshape(-1, 2).T)])
+    yield _links_batch([tuple(np.array(near_links_of(group, key, budget, similarity), np.int64).reshape(-1, 2).T)])
+
+
+def near_links_of(group: list, key: tuple | None, budget: int, similarity: float) -> list[tuple[int, int]]:
+    """Spanning links of rows of block, mark, fingerprint and set; of two blocks only pairs across."""
+    if len(group) < 2:
+        return []
+    across = key[2] != key[3]
+    block = np.array([g[0] for g in group])
+    prints = np.array([g[2] for g in group], np.int64).view(np.uint64)
+    sets = [np.frombuffer(g[3], "<u8") for g in group]
+    sizes = np.array([len(s) for s in sets])
+    label, links = np.arange(len(group)), []
+    for i in range(1, len(group)):
+        near = np.bitwise_count(prints[:i] ^ prints[i]) <= budget
+        near &= np.minimum(sizes[:i], sizes[i]) >= similarity * np.maximum(sizes[:i], sizes[i]) - 1e-9
+        if across:
+            near &= block[:i] != block[i]
+        for j in np.flatnonzero(near):
+            if label[i] != label[j]:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if both >= similarity * (sizes[i] + sizes[j] - both) - 1e-9:
+                    links.append((group[i][1], group[j][1]))
+                    label[label == label[j]] = label[i]
+    return links

@@ -105,6 +105,24 @@ def test_simhash_query(spark, sf):
         assert rows[doc_id]["fingerprint"] == f"{prints[k]:016x}" and rows[doc_id]["component_id"] == docs[label[k]][0]
 
 
+def test_stage_drops_planted_near_copies(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    draw = random.Random(12)
+    rows = []
+    for k in range(60):
+        words = [f"w{draw.randrange(5000)}" for _ in range(200)]
+        other = list(words)
+        for i in draw.sample(range(10, 190), 1 + k % 6):
+            other[i] = "changed"
+        rows += [(k, " ".join(words)), (1000 + k, " ".join(other))]
+    words = [f"v{draw.randrange(5000)}" for _ in range(300)]
+    rows += [(2000 + k, " ".join(words[:k] + ["x"] + words[k + 1 :])) for k in range(50)]
+    near = [k for k in range(60) if jaccard(rows[2 * k][1], rows[2 * k + 1][1]) >= 0.8]
+    assert 20 < len(near) < 60
+    kept = {r[0] for r in stages.one_of_each_group(spark, spark.createDataFrame(rows, DOCS), "").select("doc_id").collect()}
+    assert kept == set(range(60)) | {1000 + k for k in range(60) if k not in near} | {2000}
+
+
 def shingles(text):
     words = text.lower().split()
     return {tuple(words[i : i + 5]) for i in range(len(words) - 4)} if len(words) > 4 else {tuple(words)} - {()}
