@@ -124,3 +124,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: A key on so large a share of all rows is heavy: there are no more of them than the inverse.
+HEAVY = 1 / 256
+
+
+def named_rows(rows: DataFrame, names: DataFrame, key: str, count: str = "n_rows") -> DataFrame:
+    """``rows`` with what ``names`` says of their ``key``, which is one row for each key.
+
+    ``count`` is the number of rows of a key. The few heavy keys, at most 256 of
+    them, are broadcast, so that no task gets all rows of one; the others are
+    joined by shuffle. Rows of a null key, or of a key without a name, go.
+    """
+    total = names.agg(F.sum(count)).first()[0] or 0
+    least = max(1, total * HEAVY)
+    heavy = F.broadcast(names.where(F.col(count) >= least))
+    rest = rows.join(heavy.select(key), key, "left_anti").join(names.where(F.col(count) < least), key)
+    return rows.join(heavy, key).unionByName(rest)

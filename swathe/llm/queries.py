@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from swathe.llm import bpe, chat, fingerprints, licenses, neighbours, packing, secrets, simhash, toxicity, wrappers
+from swathe.llm import (
+    audit, bpe, chat, fingerprints, licenses, minhash, negatives, neighbours, packing, secrets, simhash, toxicity, wrappers,
+)
 from swathe.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +127,97 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_dedup(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM words
+), shingles AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b
+    ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a AS doc_id, min(b) AS b FROM reach GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id, doc_id <= coalesce(b, doc_id) AS kept
+FROM sets LEFT JOIN least USING (doc_id)
+"""
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), said AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+), failed AS (
+  SELECT docs.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, MAP {
+    'A': len(w) < 50, 'B': 100 * list_unique(w) < 65 * len(w),
+    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
+    'E': coalesce(docs.doc_id > min(docs.doc_id) OVER (PARTITION BY t), false)} AS f
+  FROM docs LEFT JOIN said USING (doc_id)
+), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT '' AS o UNION ALL SELECT o || x FROM orders, letters WHERE NOT contains(o, x)
+), steps AS (
+  SELECT o AS filter_order, k::INTEGER AS step, o[k] AS x, string_split(o[1:k - 1], '') AS before FROM orders, range(1, 6) r(k) WHERE length(o) = 5
+), met AS (
+  SELECT part, good, toxic, f, count(*) AS n FROM failed GROUP BY ALL
+), counted AS (
+  SELECT part, filter_order, step, x,
+    coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND fails), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (gone AND fails), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (alone AND fails), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (NOT gone AND fails AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (NOT gone AND fails AND toxic), 0)::BIGINT AS toxic_lost
+  FROM (
+    SELECT *, list_bool_or(list_transform(before, lambda b: coalesce(f[b], false))) AS gone, f[x] AS fails,
+      len(list_filter(map_values(f), lambda v: v)) = 1 AS alone
+    FROM met, steps
+  ) GROUP BY part, filter_order, step, x
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM counted
+"""
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.expr("case when vec_id % 7 = 0 then (label + 1) % 10 else label end"))
+    return negatives.hard_negatives(rows, "vec_id % 50 = 0")
+
+
+OP13_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT * FROM pairs WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, p.vec_id AS positive_id,
+  (row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n USING (anchor_id)
+WHERE NOT n.alike AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 _ALL: dict[str, tuple[Query, str | None]] = {
     "op1_chat": (op1_chat, OP1_SQL),
     "op2_toxicity": (op2_toxicity, None),
@@ -136,6 +229,9 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "op8_bpe": (op8_bpe, None),
     "op9_simhash": (op9_simhash, None),
     "op10_licenses": (op10_licenses, None),
+    "op11_minhash": (op11_minhash, OP11_SQL),
+    "op12_audit": (op12_audit, OP12_SQL),
+    "op13_negatives": (op13_negatives, OP13_SQL),
 }
 
 QUERIES = {name: (shipped(query), sql) for name, (query, sql) in _ALL.items()}
