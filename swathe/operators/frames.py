@@ -15,6 +15,8 @@ from swathe.plans.skew import GroupSizes, group_sizes, micros, time_slice
 
 # Time slices whose counts are added up in one task before the blocks' sums are.
 SLICES_PER_BLOCK = 1024
+# Frames that a row may be compared with.
+FEW_FRAMES = 64
 
 
 def frames_by_step(
@@ -45,9 +47,11 @@ def frames_by_count(
 
     ``ntile`` itself would sort everything in one task. Here instants are
     ranked inside time slices and offset by the counts of earlier slices, in
-    two levels. Rows find their frame by their slice: the frame of its first
-    instant, or the last frame that starts in it at or before the row. Rows
-    without a time are kept, without a frame.
+    two levels. With up to :data:`FEW_FRAMES` frames, rows find theirs by their
+    slice: the last frame of the slice that starts at or before the row. With
+    more of them a slice may hold any number, and rows find their frame by their
+    instant, where adaptive execution splits a hot one. Rows without a time are
+    kept, without a frame.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
@@ -79,13 +83,16 @@ def frames_by_count(
     frame = F.when(r < cut, F.floor(r / (size + 1)) + 1).otherwise(
         longer + F.floor(F.try_divide(r - cut, size)) + 1
     )
-    # One row per slice: the frame of its first instant and the frames that change in it.
-    framed = ranked.select("_slice", "_us", frame.cast("int").alias("_frame"))
-    starts = framed.groupBy("_slice", "_frame").agg(F.min("_us").alias("_us"))
-    by_slice = starts.groupBy("_slice").agg(F.collect_list(F.struct("_us", "_frame")).alias("_starts"))
+    framed = ranked.select("_slice", "_us", frame.cast("int").alias("frame_idx"))
+    placed = df.withColumn("_us", us)
+    if n > FEW_FRAMES:
+        return placed.join(framed.select("_us", "frame_idx"), "_us", "left").select(*df.columns, "frame_idx")
+    # One row per slice: the frames that have an instant in it, each with its first one.
+    starts = framed.groupBy("_slice", "frame_idx").agg(F.min("_us").alias("_us"))
+    by_slice = starts.groupBy("_slice").agg(F.collect_list(F.struct("_us", "frame_idx")).alias("_starts"))
     here = F.filter("_starts", lambda s: s["_us"] <= F.col("_us"))
-    placed = df.withColumn("_us", us).withColumn("_slice", time_slice(F.col(ts), slice_width)).join(by_slice, "_slice", "left")
-    return placed.withColumn("frame_idx", F.array_max(here)["_frame"]).select(*df.columns, "frame_idx")
+    placed = placed.withColumn("_slice", time_slice(F.col(ts), slice_width)).join(by_slice, "_slice", "left")
+    return placed.withColumn("frame_idx", F.array_max(here)["frame_idx"]).select(*df.columns, "frame_idx")
 
 
 def frame_delta(

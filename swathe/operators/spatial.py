@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from swathe.functions.grid import cell_xy, chord, haversine_km, unit_xyz
 from swathe.functions.polygon import inside, inside_sql, ring_edges
+from swathe.functions.seam import halves, on_globe, over_seam, split_at_seam
 from swathe.plans.sides import broadcast_if, has_at_most
 
 # Slack, in degrees or on the unit sphere, by which filters that only prune are
@@ -32,28 +33,45 @@ EDGE_BYTES, ROW_BYTES = 64, 128
 FEW_ROWS = 20_000
 
 
+def _cut(zones: DataFrame, rings: str) -> DataFrame:
+    """Zones cut at the antimeridian; one on both sides of it is two rows, west and
+    east of the prime meridian."""
+    return zones.withColumn(rings, split_at_seam(rings)).withColumn(rings, F.explode_outer(halves(rings)))
+
+
 def cover_bytes(
     zones: DataFrame, cell_deg: float, rings: str = "rings"
 ) -> int:
     """Upper bound of the size of a cover: the cells of each zone's box, each
-    with every edge. One pass over the outlines, one row back."""
+    with every edge. One pass over the outlines, one row back; two where a zone
+    meets the antimeridian."""
+    return _cover_size(zones, cell_deg, rings)[0]
+
+
+def _cover_size(zones: DataFrame, cell_deg: float, rings: str) -> tuple[int, bool]:
+    """:func:`cover_bytes`, and whether any zone has to be cut at the antimeridian."""
     cells = [
         f"((array_max(_pts.{c}) - array_min(_pts.{c})) / {float(cell_deg)}D + 2)" for c in "xy"
     ]
-    size = f"{cells[0]} * {cells[1]} * ({ROW_BYTES} + size(_pts) * {EDGE_BYTES})"
-    outlines = zones.selectExpr(f"flatten(filter({rings}, r -> size(r) >= 3)) AS _pts")
-    return int(outlines.selectExpr(f"sum({size})").first()[0] or 0)
+    size = f"sum({cells[0]} * {cells[1]} * ({ROW_BYTES} + size(_pts) * {EDGE_BYTES}))"
+    outlines = "flatten(filter({}, r -> size(r) >= 3)) AS _pts"
+    row = zones.selectExpr(outlines.format(rings), f"{over_seam(rings)} AS _over").selectExpr(size, "max(_over)").first()
+    if not row[1]:
+        return int(row[0] or 0), False
+    return int(_cut(zones.select(rings), rings).selectExpr(outlines.format(rings)).selectExpr(size).first()[0] or 0), True
 
 
 def zone_cover(
-    zones: DataFrame, cell_deg: float, zone_id: str = "zone_id", rings: str = "rings"
+    zones: DataFrame, cell_deg: float, zone_id: str = "zone_id", rings: str = "rings", seam: bool = True
 ) -> DataFrame:
     """Grid cells that can hold points of a zone: ``zone_id, cx, cy, edges``.
 
     ``edges`` is empty for cells wholly inside, which need no further test.
     Other cells keep only the edges that can cross an eastward ray starting in
     the cell, so the cost of the test does not grow with the whole outline.
-    Cells wholly outside are left out. Zones must not span the antimeridian.
+    Cells wholly outside are left out. A zone over the antimeridian covers cells
+    on both sides of it; see :mod:`swathe.functions.seam`. ``seam=False`` spares
+    the cutting where no zone is known to meet it.
     """
     step = f"{float(cell_deg)}D"
     south, west = f"(cy * {step} - 90D)", f"(cx * {step} - 180D)"
@@ -74,7 +92,7 @@ def zone_cover(
     # because a plain projection would be evaluated once per use.
     parts = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (
-        zones.select(zone_id, F.array(ring_edges(rings)).alias("_one"))
+        (_cut(zones, rings) if seam else zones).select(zone_id, F.array(ring_edges(rings)).alias("_one"))
         .select(zone_id, F.explode_outer("_one").alias("_all"))
         .select(zone_id, "_all", F.expr(f"explode({span('_all', 'y', 90)})").alias("cy"))
         .select(zone_id, "cy", F.expr(f"filter(_all, e -> {meets('y', south)})").alias("_row"))
@@ -94,19 +112,20 @@ def _covered(
     points: DataFrame, zones: DataFrame, how: str, cell_deg: float,
     zone_id: str, rings: str, lon: str, lat: str,
 ) -> DataFrame:
-    cover = zone_cover(zones, cell_deg, zone_id, rings).select(
+    size, seam = _cover_size(zones, cell_deg, rings)
+    cover = zone_cover(zones, cell_deg, zone_id, rings, seam).select(
         F.col(zone_id).alias("_zone"),
         F.col("cx").alias("_zx"), F.col("cy").alias("_zy"), F.col("edges").alias("_edges"),
     )
-    cover = broadcast_if(cover, cover_bytes(zones, cell_deg, rings) <= BROADCAST_BYTES)
-    cx, cy = cell_xy(lon, lat, cell_deg, globe=False)  # covers are planar
-    keyed = points.withColumn("_cx", cx).withColumn("_cy", cy)
+    cover = broadcast_if(cover, size <= BROADCAST_BYTES)
+    cx, cy = cell_xy("_lon", lat, cell_deg, globe=False)  # covers are planar
+    keyed = points.withColumn("_lon", on_globe(F.col(lon))).withColumns({"_cx": cx, "_cy": cy})
     hit = (
         (F.col("_cx") == F.col("_zx"))
         & (F.col("_cy") == F.col("_zy"))
-        & ((F.size("_edges") == 0) | inside("_edges", lon, lat))
+        & ((F.size("_edges") == 0) | inside("_edges", "_lon", lat))
     )
-    joined = keyed.join(cover, hit, how).drop("_cx", "_cy", "_zx", "_zy", "_edges")
+    joined = keyed.join(cover, hit, how).drop("_lon", "_cx", "_cy", "_zx", "_zy", "_edges")
     return joined.withColumnRenamed("_zone", zone_id) if how in ("inner", "left") else joined
 
 
@@ -119,7 +138,9 @@ def spatial_join(
     ``attributes`` are columns of the zones that come along, by the id, which
     must then be unique.
 
-    A point in several zones gives several rows. Choose ``cell_deg`` a few
+    A point in several zones gives several rows. Longitudes may be beyond 180, and
+    zones may span the antimeridian or go around a pole: two corners in a row are
+    joined the shorter way. Choose ``cell_deg`` a few
     times smaller than a typical zone: the cover grows with the square of zone
     width over cell width.
     """

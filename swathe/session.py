@@ -21,6 +21,10 @@ SETTINGS = {
 }
 
 
+class NoSharedFolder(ValueError):
+    """A cluster without ``spark.checkpoint.dir``."""
+
+
 # Shuffle data per task to aim for.
 BYTES_PER_TASK = 128 << 20
 
@@ -49,6 +53,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
         if not (context.master or "").startswith("local") or context.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            raise NoSharedFolder("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="swathe-")
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -154,6 +154,18 @@ def frames_by_count_many(spark, sf):
     return got.select("obs_id", "obs_ts", "frame_idx")
 
 
+def frames_by_count_crowded(spark, sf):
+    """Every instant in one minute, and a frame for every second one of 10,000."""
+    crowded = observations(spark, sf).withColumn("obs_ts", F.expr(f"TIMESTAMP_NTZ '2024-05-01 00:00:00' + {CROWDED}"))
+    return frames.frames_by_count(crowded, 5_000).select("obs_id", "frame_idx")
+
+
+CROWDED = "make_dt_interval(0, 0, 0, (obs_id * 7919 % 50000000) / 1000000)"
+FRAMES_CROWDED = f"""WITH {OBS}, t AS (SELECT k, CAST(ntile(5000) OVER (ORDER BY k) AS INT) AS frame_idx
+  FROM (SELECT DISTINCT obs_id * 7919 % 50000000 AS k FROM obs))
+SELECT obs_id, frame_idx FROM obs JOIN t ON k = obs_id * 7919 % 50000000"""
+
+
 def frame_delta(spark, sf):
     fr = frames.frames_by_step(observations(spark, sf), ["band", "iy"], "7 days", "mean")
     return rounded(frames.frame_delta(fr, ["band", "iy"]), "value", "previous", "delta")
@@ -217,6 +229,7 @@ QUERIES = {
     "asof_join_sliced": (asof_join(None, key_limit=10), _asof_sql("true")),
     "frames_by_step": (frames_by_step, FRAMES_BY_STEP),
     "frames_by_count": (frames_by_count, FRAMES_BY_COUNT),
+    "frames_by_count_crowded": (frames_by_count_crowded, FRAMES_CROWDED),
     "frames_by_count_many": (frames_by_count_many, FRAMES_BY_COUNT.replace("ntile(12)", "ntile(20000)")),
     "frame_delta": (frame_delta, FRAME_DELTA),
     "stretch": (stretch, STRETCH),
