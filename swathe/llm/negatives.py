@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from swathe.llm.common import stored
 
-#: Anchors that a task holds, and rows of a block that passes by them, on average.
-HELD, BLOCK = 16_384, 65_536
+#: Anchors that a task holds, and rows of a block that passes by them, on average and at least.
+HELD, BLOCK = 16_384, 4096
 #: Rows compared at once.
 CHUNK = 1024
 #: Below every score.
@@ -94,7 +94,9 @@ def _met(anchors: DataFrame, rows: DataFrame, n: int, asked: int, k: int) -> Dat
     best ``k`` rows of another label in each slot. A task holds the anchors of its
     cell and lets the cell's rows pass by.
     """
-    groups, blocks = max(1, -(-asked // HELD)), max(1, -(-n // BLOCK))
+    groups = max(1, -(-asked // HELD))
+    # So many blocks that anchors are not copied more often than rows are.
+    blocks = max(1, min(-(-n // BLOCK), groups * n // max(1, asked)))
     near = F.pmod(F.xxhash64("anchor"), F.lit(groups)).cast("int")
     held = anchors.select(
         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), near.alias("held"), F.lit(0).alias("side"),
