@@ -2,10 +2,12 @@
 
 A prefix tree of labelled credentials of one kind becomes a probabilistic
 automaton: states whose frequencies of endings and of next characters do not
-differ by more than Hoeffding's bound allows, all the way down, are merged. Every
-other long run of credential characters in a text is scored by how much likelier
-the best automaton makes it than a model of ordinary runs does, per character;
-one that has a public format whole needs no score.
+differ by more than Hoeffding's bound allows, all the way down, are merged.
+Labelled credentials are parted by length and kinds of characters beforehand, so
+that an automaton stands for one format. In every other long run of credential
+characters the stretches between signs are candidates: each automaton walks on
+from where one may begin, and a stretch that it takes whole is scored by how much
+likelier it is than by a model of ordinary runs, per character.
 """
 
 from __future__ import annotations
@@ -37,16 +39,35 @@ MARGIN = 0.3
 #: The threshold is a multiple of one such part of a nat.
 STEPS = 1000
 
-# Public formats of which examples are drawn: name, prefix, characters and length of the rest.
+_LETTERS, _ALNUM = string.ascii_letters, string.ascii_letters + string.digits
+# Public formats of which examples are drawn: name and parts, each fixed or of so many characters of a set.
 FORMATS = (
-    ("github", "ghp_", string.ascii_letters + string.digits, 36),
-    ("slack", "xoxb-", string.digits + string.ascii_letters, 40),
-    ("google", "AIza", string.ascii_letters + string.digits + "_-", 35),
-    ("stripe", "sk_live_", string.ascii_letters + string.digits, 24),
-    ("aws", "AKIA", string.ascii_uppercase + "234567", 16),
+    ("github", "ghp_", (_ALNUM, 36, 36)),
+    ("github-fine", "github_pat_", (_ALNUM, 22, 22), "_", (_ALNUM, 59, 59)),
+    ("gitlab", "glpat-", (_ALNUM + "_-", 20, 20)),
+    ("slack", "xoxb-", (_ALNUM, 40, 40)),
+    ("slack-bot", "xoxb-", (string.digits, 10, 13), "-", (string.digits, 10, 13), "-", (_ALNUM, 24, 24)),
+    ("slack-user", "xoxp-", (string.digits, 10, 13), "-", (string.digits, 10, 13), "-", (string.digits, 10, 13), "-", (string.digits + "abcdef", 32, 32)),
+    ("google", "AIza", (_ALNUM + "_-", 35, 35)),
+    ("stripe", "sk_live_", (_ALNUM, 24, 24)),
+    ("sendgrid", "SG.", (_ALNUM + "_-", 22, 22), ".", (_ALNUM + "_-", 43, 43)),
+    ("npm", "npm_", (_ALNUM, 36, 36)),
+    ("aws", "AKIA", (string.ascii_uppercase + "234567", 16, 16)),
 )
-DRAWN = 150
-PUBLIC = re.compile("|".join(f"{prefix}[{re.escape(characters)}]{{{size},}}" for _, prefix, characters, size in FORMATS))
+DRAWN = 400
+#: Labelled credentials of one shape from which on they have an automaton.
+SHAPED = 20
+
+
+def drawn(parts: tuple, draw: random.Random) -> str:
+    """An example of a public format."""
+    return "".join(p if isinstance(p, str) else "".join(draw.choices(p[0], k=draw.randint(p[1], p[2]))) for p in parts)
+
+
+def shape(value: str) -> str:
+    """Length, and the kinds of characters in a credential: lower and upper letters, digits, and each sign."""
+    kinds = {"a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else c for c in value}
+    return f"{len(value)} {''.join(sorted(kinds))}"
 
 
 class Automaton:
@@ -136,19 +157,8 @@ class Automaton:
             self.table.append({c: (math.log(k / total), at[self.next[s][c]]) for c, k in self.times[s].items()})
         self.unseen = [math.log(1 / (self.seen[s] + 1.0) / len(ALPHABET)) for s in order]
         self.end = [math.log((self.ends[s] + 0.01) / (self.seen[s] + 1.0)) for s in order]
-        self.final = [self.ends[s] > 0 for s in order]
         del self.next, self.times, self.seen, self.ends
 
-    def accepts(self, word: str) -> bool:
-        """Whether words learnt from take every step of ``word`` and end where it ends."""
-        s = 0
-        for c in word:
-            step = self.table[s].get(c)
-            if step is None:
-                return False
-            s = step[1]
-        return self.final[s]
-
     def likelihood(self, word: str) -> float:
         total, s = 0.0, 0
         for c in word:
@@ -190,18 +200,74 @@ def pairs_of(words: list[str]) -> dict[str, int]:
     return counts
 
 
+def _completed(steps: dict[str, tuple[float, int]]) -> dict[str, tuple[float, int]]:
+    """The steps of a state with those of letters or digits that it lacks, where it has
+    many of their kind: half as likely as the rarest, to where most of the kind lead."""
+    out = dict(steps)
+    for kind in (string.ascii_lowercase, string.ascii_uppercase, string.digits):
+        seen = [steps[c] for c in kind if c in steps]
+        if len(seen) >= 0.4 * len(kind) and len(steps) >= 8:
+            targets = [t for _, t in seen]
+            rare = (min(p for p, _ in seen) - math.log(2), max(sorted(set(targets)), key=targets.count))
+            out.update((c, rare) for c in kind if c not in steps)
+    return out
+
+
+class Format:
+    """An automaton of credentials and the lengths that it has seen."""
+
+    def __init__(self, words: list[str]):
+        self.table = [_completed(steps) for steps in Automaton(words).table]
+        self.low, self.high = min(map(len, words)), max(map(len, words))
+        self.spread = math.log(self.high - self.low + 1)
+
+    def stretches(self, run: str, start: int):
+        """Ends of the stretches of ``run`` from ``start`` that the automaton takes whole,
+        and their log-likelihood. A stretch ends before a sign or with the run."""
+        table, s, total = self.table, 0, -self.spread
+        for i in range(start, min(len(run), start + self.high)):
+            step = table[s].get(run[i])
+            if step is None:
+                return
+            total, s = total + step[0], step[1]
+            if i + 1 - start >= self.low and (i + 1 == len(run) or not run[i + 1].isalnum()):
+                yield i + 1, total
+
+
 @dataclass
 class Model:
-    automata: dict
+    formats: list[Format]
     ordinary: Ordinary
     threshold: float
 
+    def best(self, run: str, start: int) -> tuple[float, int] | None:
+        """Score and end of the stretch from ``start`` on that a format explains best:
+        the score is in nats per character by which it beats ordinary text."""
+        found = None
+        for f in self.formats:
+            for end, likely in f.stretches(run, start):
+                gain = likely - self.ordinary.likelihood(run[start:end])
+                if found is None or gain > found[0]:
+                    found = (gain, end)
+        return found and (found[0] / (found[1] - start + 1), found[1])
+
+    def spans(self, run: str) -> list[tuple[int, int]]:
+        """Stretches that score the threshold or more, from the left, without overlaps."""
+        out, at = [], 0
+        for start in starts(run):
+            if start >= at and (found := self.best(run, start)) and found[0] >= self.threshold:
+                out.append((start, found[1]))
+                at = found[1]
+        return out
+
     def score(self, run: str) -> float:
-        """Nats per character by which the likeliest format beats ordinary text."""
-        if not self.automata:
-            return -math.inf
-        best = max(a.likelihood(run) for a in self.automata.values())
-        return (best - self.ordinary.likelihood(run)) / (len(run) + 1)
+        """The highest score of a stretch of ``run``."""
+        return max((b[0] for start in starts(run) if (b := self.best(run, start))), default=-math.inf)
+
+
+def starts(run: str) -> list[int]:
+    """Where a credential may begin: with the run or after a sign."""
+    return [i for i in range(len(run)) if not i or not run[i - 1].isalnum()]
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -234,7 +300,7 @@ def candidates(text: str, spans: list[tuple[int, int, str]]):
 def all_spans(text: str, model: Model) -> list[tuple[int, int, str]]:
     """Base spans and those the formats add, by start and kind."""
     spans = base_spans(text)
-    more = [(s, e, "format") for s, e, run in candidates(text, spans) if PUBLIC.fullmatch(run) or model.score(run) >= model.threshold]
+    more = [(s + i, s + j, "format") for s, _, run in candidates(text, spans) for i, j in model.spans(run)]
     return sorted(spans + more, key=lambda s: (s[0], KINDS.index(s[2]))) if more else spans
 
 
@@ -244,12 +310,13 @@ def learn(df: DataFrame) -> Model:
 
     The sample is the ``SAMPLE`` ids of the lowest hash; at most ``EXAMPLES``
     different credentials of each kind, of at most ``LONGEST`` characters, come
-    to the driver. Ordinary runs are the different runs of all documents that no
-    fixed pattern touches, without those of a public format and those that an
-    automaton of labelled credentials accepts and makes likelier by ``MARGIN``
-    than a model of all runs but the public formats does. Counts of their pairs
-    make the model of ordinary runs. The threshold lies above all but a
-    thousandth of their scores, in steps of a ``STEPS``-th; neither is sampled.
+    to the driver. Those of one kind and ``shape`` are one format, if there are
+    ``SHAPED`` of them. Ordinary runs are the different runs of all documents that
+    no fixed pattern touches, without those that hold a stretch of a public format,
+    or one that a format of labelled credentials makes likelier by ``MARGIN`` than
+    a model of all runs but the public formats does. Counts of their pairs make the
+    model of ordinary runs. The threshold lies above all but a thousandth of their
+    scores, in steps of a ``STEPS``-th; neither is sampled.
     """
     ids = df.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     sample = df.select("doc_id", "text").join(F.broadcast(ids), "doc_id", "left_semi")
@@ -268,24 +335,20 @@ def learn(df: DataFrame) -> Model:
     labelled = rows_from(sample.select("text"), labels, "kind string, value string").distinct()
     first = F.row_number().over(Window.partitionBy("kind").orderBy(F.xxhash64("value"), "value"))
     rows = labelled.withColumn("n", first).where(F.col("n") <= EXAMPLES).select("kind", "value").collect()
-    values: dict[str, list[str]] = {}
+    shapes: dict[str, list[str]] = {}
     for kind, value in sorted(tuple(r) for r in rows):
-        values.setdefault(kind, []).append(value)
+        shapes.setdefault(f"{kind} {shape(value)}", []).append(value)
     draw = random.Random(7)
-    for name, prefix, characters, size in FORMATS:
-        values[name] = [prefix + "".join(draw.choices(characters, k=size)) for _ in range(DRAWN)]
-    automata = {kind: Automaton(found) for kind, found in values.items() if len(found) >= 5}
-    own = [a for kind, a in automata.items() if kind in KINDS]
+    public = [Format([drawn(parts, draw) for _ in range(DRAWN)]) for _, *parts in FORMATS]
+    own = [Format(values) for values in shapes.values() if len(values) >= SHAPED]
     runs = stored(rows_from(df.select("text"), others, "run string").distinct(), "runs")
 
     def likely(run: str, plain: Ordinary | None) -> bool:
-        """Whether the run has a public format, or that of labelled credentials rather than ``plain``, if given."""
-        if PUBLIC.fullmatch(run):
+        """Whether the run holds a public format, or that of labelled credentials rather than ``plain``, if given."""
+        at = starts(run)
+        if any(True for f in public for start in at for _ in f.stretches(run, start)):
             return True
-        if plain is None:
-            return False
-        least = plain.likelihood(run) + MARGIN * (len(run) + 1)
-        return any(a.accepts(run) and a.likelihood(run) >= least for a in own)
+        return plain is not None and Model(own, plain, MARGIN).score(run) >= MARGIN
 
     def ordinary(plain: Ordinary | None) -> Ordinary:
         def count(batch):
@@ -296,13 +359,13 @@ def learn(df: DataFrame) -> Model:
         return Ordinary([], dict(tuple(r) for r in counted.collect()))
 
     plain = ordinary(None)
-    model = Model(automata, ordinary(plain), MARGIN)
+    model = Model(public + own, ordinary(plain), MARGIN)
 
     def steps(batch):
         counts: dict[int, int] = {}
         for run in strings(batch, "run"):
             if not likely(run, plain):
-                step = math.floor(model.score(run) * STEPS)
+                step = math.floor(max(model.score(run), -100.0) * STEPS)  # a run that no format takes scores lowest
                 counts[step] = counts.get(step, 0) + 1
         return [list(counts), list(counts.values())]
 
@@ -311,7 +374,7 @@ def learn(df: DataFrame) -> Model:
     for step, n in sorted((tuple(r) for r in scores), reverse=True):
         above -= n
         if above < 0:
-            return Model(automata, model.ordinary, max(MARGIN, (step + 1) / STEPS))
+            return Model(model.formats, model.ordinary, max(MARGIN, (step + 1) / STEPS))
     return model
 
 

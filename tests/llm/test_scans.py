@@ -149,6 +149,42 @@ def test_tokens_of_public_formats_inside_the_learnt_table(spark):
     assert all((s["kind"], s["start"], s["end"]) == ("format", 4, 4 + len(tokens[i - 100])) for i in out if i >= 100 for s in out[i])
 
 
+CONTEXTS = ("{}", "see {}.", "key={}", "GH_PAT={}", "https://host.example.com/{}?x=1", "cp data/{}/part-01.txt", "({}), then", "'{}'")
+
+
+def test_tokens_in_context(spark):
+    draw = random.Random(21)
+    rows = [(i, f"see mail{i}.example.com.archive and report-2020-final-{i}.txt or https://www.example.org/a{i}/b-{i * 7919}/index.html") for i in range(60)]
+    want = {}
+    for name, *parts in secrets.FORMATS:
+        if name in ("aws", "slack-user"):
+            continue  # base patterns, wholly or in the part of hexadecimal digits
+        for c, context in enumerate(CONTEXTS):
+            for _ in range(3):
+                token, doc_id = secrets.drawn(tuple(parts), draw), 1000 + len(want)
+                before = "we use " + context.split("{}")[0]
+                rows.append((doc_id, before + token + context.split("{}")[1]))
+                want[doc_id] = (c, len(before), len(before) + len(token))
+    df = spark.createDataFrame(rows, DOCS)
+    out = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.scan(df, secrets.learn(df)).collect()}
+    for c, context in enumerate(CONTEXTS):
+        own = [d for d in want if want[d][0] == c]
+        assert sum(("format", *want[d][1:]) in out[d] for d in own) >= 0.95 * len(own), context
+    assert not any(out[i] for i in range(60))
+
+
+def test_labelled_formats_are_found_bare(spark):
+    """A format that only labels show: twelve digits, a colour of letters and six of a few letters."""
+    draw = random.Random(3)
+    made = lambda: "zz" + "".join(draw.choices("0123456789", k=12)) + "-" + "".join(draw.choices("QRSTUV", k=6))
+    rows = [(i, f"token = {made()}") for i in range(80)] + [(200 + i, f"a{i}.example.com/some-path-of-{i}-words and more") for i in range(200)]
+    df = spark.createDataFrame(rows + [(900 + i, f"we met {made()} there") for i in range(10)], DOCS)
+    model = secrets.learn(df)
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(df, model).collect()}
+    assert all([s["kind"] for s in out[900 + i]] == ["format"] for i in range(10)) and not any(out[200 + i] for i in range(200))
+    assert secrets.shape("ab-1") == "4 -0a" and secrets.starts("ab.c-") == [0, 3]
+
+
 def test_secrets_query(spark, sf, entry, docs):
     out = {r["doc_id"]: r for r in entry["op3_secrets"](spark, sf).collect()}
     assert len(out) == len(docs)
