@@ -14,13 +14,58 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style></head>
 <section id="comments"><p>Nice {0}</p></section></div><aside>Side {1}</aside><footer>&copy; {0}</footer></body></html>"""
 
 
+NONE = {"path": [], "constant": []}
+
+
+def test_constant_parts_inside_the_content_go():
+    made = ("<body><nav>Home</nav><div class=story><h1>Head {0}</h1><p>{1}</p><p>Follow us on every channel</p>"
+            "<div class=end><p>Printed by the same press</p></div><p>Last word {0}</p></div></body>")
+    pages = [made.format(i, " ".join(f"w{i}x{k}" for k in range(60))) for i in range(8)]
+    wrapper = wrappers.induce(pages)
+    got = wrappers.extract(pages[3], wrapper)
+    assert got == "Head 3 " + " ".join(f"w3x{k}" for k in range(60)) + " Last word 3"
+    assert "Follow us" in wrappers.extract(pages[3], NONE)
+    assert "Follow us" in wrappers.extract(pages[3].replace("every channel", "no channel"), wrapper)
+    # Copies of one page that differ in a word have no template to learn.
+    copies = [made.format(1, " ".join(f"w{k}" for k in range(60)) + f" {i}") for i in range(8)]
+    assert wrappers.induce(copies)["constant"] == []
+
+
+def test_names_mark_only_as_whole_tokens():
+    text = " ".join(f"word{k}" for k in range(40))
+    for page in (
+        f'<body class="post no-sidebar"><p>{text}</p></body>', f'<article class="entry has-comments"><h1>t</h1><p>{text}</p></article>',
+        f'<main class="side-by-side"><p>{text}</p></main>', f'<body><form action=x><h1>t</h1><p>{text}</p></form></body>',
+        f"<body><div><p>{text}</p><button>Send</div></body>", f'<body id="comments" role="search"><p>{text}</p></body>',
+    ):
+        for wrapper in (NONE, wrappers.induce([page.replace("word1 ", f"word{i}0 ") for i in range(8)])):
+            assert text in wrappers.extract(page, wrapper), page
+    for name in ("ad-box", "cookie-notice", "comments", "site-footer", "related-posts", "sidebar"):
+        assert wrappers.extract(f"<body><p>{text}</p><div class='{name}'>gone</div></body>", NONE) == text
+    assert wrappers.extract(f"<body><nav>{text}</nav><p>short</p></body>", NONE) == "short"
+
+
+def test_layouts_have_wrappers_of_their_own(spark):
+    a = "<body><div class=shop><h2>Item {0}</h2><p>price {0}</p><p>Ships within a day</p><p>{1}</p></div></body>"
+    b = "<body><main><h1>News {0}</h1><p>{1}</p><p>Ships within a day</p></main></body>"
+    rows = []
+    for i in range(12):
+        text = " ".join(f"t{i}x{k}" for k in range(50))
+        rows += [(i, "http://h.example/a", a.format(i, text)), (100 + i, "http://h.example/b", b.format(i, text + f" n{i}"))] * 2
+    rows += [(300, "http://h.example/c", None)] * 20
+    out = {r["page_id"]: r["text"] for r in wrappers.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert out[3].startswith("Item 3 price 3 t3x0") and out[103].startswith("News 3 t3x0")
+    assert "Ships" not in out[3] and "Ships" not in out[103] and out[300] == ""
+    assert wrappers.layout(rows[0][2]) != wrappers.layout(rows[1][2])
+
+
 def test_wrapper_finds_the_varying_part():
     pages = [PAGE.format(i, "text " * (i + 3)) for i in range(4)]
     path = wrappers.induce(pages)
-    assert [level["labels"][level["at"]] for level in path] == ["html", "body", "div c x"]
+    assert [level["labels"][level["at"]] for level in path["path"]] == ["html", "body", "div c x"]
     want = "Title 2 First bold text text text text text & é line Second text text text text text one two text text text text text"
     assert wrappers.extract(pages[2], path) == want
-    assert wrappers.extract(pages[2], []) == want  # by marks alone
+    assert wrappers.extract(pages[2], NONE) == want  # by marks alone
     assert wrappers.extract("<div>other <p>layout</div>", path) == "other layout"
 
 
@@ -29,17 +74,17 @@ def test_headline_and_lead_beside_the_body_stay():
         made = "<body><div><b>Top of site</b></div><article><h1>Head {0}</h1><p>Lead {0}</p><" + tag + "><p>{1}</p></" + tag + "></article></body>"
         pages = [made.format(i, f"body{i} " * (4000 if i == 2 else 60)) for i in range(4)]
         path = wrappers.induce(pages)
-        assert [level["labels"][level["at"]] for level in path] == ["body", "article"]
+        assert [level["labels"][level["at"]] for level in path["path"]] == ["body", "article"]
         assert wrappers.extract(pages[1], path) == " ".join(["Head 1 Lead 1"] + ["body1"] * 60)
 
 
 def test_odd_pages():
-    assert wrappers.induce([]) == [] and wrappers.induce([""]) == []
-    assert wrappers.extract("", []) == "" and wrappers.extract("<script>x", []) == ""
-    assert wrappers.extract("a < b & c &lt;p&gt;", []) == "a < b & c <p>"
-    assert wrappers.extract("<p>a</b></div>b<p>c", []) == "ab c"
+    assert wrappers.induce([]) == NONE and wrappers.induce([""]) == NONE
+    assert wrappers.extract("", NONE) == "" and wrappers.extract("<script>x", NONE) == ""
+    assert wrappers.extract("a < b & c &lt;p&gt;", NONE) == "a < b & c <p>"
+    assert wrappers.extract("<p>a</b></div>b<p>c", NONE) == "ab c"
     assert wrappers.extract("<div>" * 3000 + "deep" + "</div>" * 3000, wrappers.induce(["<div>" * 3000 + "x"])) == "deep"
-    assert wrappers.extract("<p title='a>b'>x<p hidden>y<p style='display: none'>z", []) == "x"
+    assert wrappers.extract("<p title='a>b'>x<p hidden>y<p style='display: none'>z", NONE) == "x"
 
 
 def test_matching_keeps_order_and_labels():
@@ -51,7 +96,7 @@ def test_matching_keeps_order_and_labels():
 def test_long_lists_are_aligned_by_runs():
     pages = [f"<body><nav><a>{i}</a></nav><div>" + "".join(f"<p>{i} {k}</p>" for k in range(2000 + i)) + "<hr><ul><li>x</ul></div></body>" for i in range(3)]
     path = wrappers.induce(pages)
-    assert [level["labels"][level["at"]] for level in path] == ["body", "div"]
+    assert [level["labels"][level["at"]] for level in path["path"]] == ["body", "div"]
     assert wrappers.extract(pages[1], path).startswith("1 0 1 1 1 2 ") and wrappers.extract(pages[1], path).endswith("1 2000 x")
 
 
