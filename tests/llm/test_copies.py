@@ -196,11 +196,14 @@ def test_native_plans(spark, sf):
         assert not re.search("Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
 
 
-def test_pipeline(spark, sf):
+def test_stage_names():
     import corpus_pipeline
 
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "secret_scan", "best_fit_packing"]
+
+
+def test_toxicity_stage(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     marked = docs.withColumn("Score", F.lit(1.0)).withColumn("_kept_0", F.lit("x"))
     clean = stages.without_toxic(spark, marked, sf)
     assert clean.columns == marked.columns
@@ -208,17 +211,56 @@ def test_pipeline(spark, sf):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     gone = marked.join(clean, "doc_id", "left_anti").join(labels, "doc_id")
     assert gone.where("toxic = 1").count() >= 0.7 * gone.count()
+
+
+def test_near_dedup_stage(spark, sf):
+    """One of each component of all pairs of five-word Jaccard 0.8, whatever columns come along."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("Mark", F.lit(1)).withColumn("component_id", F.lit(""))
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.collect())
+    sets, label = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for j in range(len(rows)):
+        for i in range(j):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                label = [label[i] if x == label[j] else x for x in label]
+    first = {}
+    for (doc_id, _), x in zip(rows, label):
+        first.setdefault(x, doc_id)
     single = stages.one_of_each_group(spark, docs, sf)
-    found = simhash.near_dedup(docs)
-    assert {r[0] for r in single.select("doc_id").collect()} == {r[0] for r in found.select("component_id").distinct().collect()}
+    assert single.columns == docs.columns and single.exceptAll(docs).count() == 0
+    assert sorted(r["doc_id"] for r in single.select("doc_id").collect()) == sorted(first.values())
+
+
+def test_near_copies_edges(spark):
+    long_ = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(4, None), (2, ""), (7, long_), (7, long_ + " more"), (None, long_), (9, "a b"), (9, "a b"), (1, "a  B"), (None, None), (5, "c " * 30_000), (6, "c c c c c")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], DOCS + ", HEADS string")
+    got = sorted((str(r["doc_id"]), str(r["component_id"])) for r in simhash.near_copies(df).collect())
+    assert got == sorted([
+        ("4", "2"), ("2", "2"), ("None", "2"), ("7", "7"), ("7", "7"), ("None", "7"), ("9", "1"), ("9", "1"), ("1", "1"), ("5", "5"), ("6", "5"),
+    ])
+    assert simhash.near_copies(df.limit(0)).count() == 0
+
+
+def test_secret_stage(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
     blank = stages.secrets_blanked(spark, docs, sf)
     assert blank.columns == docs.columns and blank.count() == docs.count()
     assert blank.where("text rlike 'token = \"[0-9a-f]{30}'").count() == 0
     assert blank.where("n_chars <> char_length(text)").count() == 0
+
+
+def test_packed_pipeline(spark, sf):
     packed = compare.load_entry().queries()["pipeline"](spark, sf)
     assert packed.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
-    empty = docs.limit(0)
+    assert packed.count() > 0
+
+
+def test_stages_on_empty_tables(spark, sf):
+    import corpus_pipeline
+
+    empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf)
-    assert empty.count() == 0
+        assert empty.count() == 0
