@@ -1,8 +1,8 @@
 """Interaction of quality filters, from a sparse document-term matrix.
 
 Texts are cut into shards of bounded size. A shard's words are encoded by its own
-dictionary first; then each distinct word of each shard is looked up once in the
-global dictionary, which numbers every word of the corpus. What results is the
+dictionary first; then each distinct word of each shard gets its number in the
+global dictionary, which holds every word of the corpus. What results is the
 matrix in compressed sparse rows, a shard a row of a table: row pointers, word
 numbers and counts. A row's sum is the number of words and its nonzero count the
 number of different words.
@@ -19,6 +19,7 @@ The filters, each a condition that a text fails on:
 from __future__ import annotations
 
 import hashlib
+import zlib
 from itertools import permutations
 from math import factorial
 
@@ -34,7 +35,7 @@ from swathe.llm.words import coded_words, large_strings
 
 FILTERS = "ABCDE"
 #: Texts, and bytes of text, of one shard at most; a longer text is a shard of its own.
-SHARD_ROWS, SHARD_BYTES = 4096, 8 << 20
+SHARD_ROWS, SHARD_BYTES = 1 << 16, 8 << 20
 
 _DOCS = "array<struct<doc_id: bigint, part: string, digest: binary, c: boolean, d: boolean>>"
 _SHARD = f"shard bigint, words array<string>, pointers binary, codes binary, counts binary, docs {_DOCS}"
@@ -46,10 +47,11 @@ _SIGNS = np.zeros(256, bool)
 _SIGNS[list(b"#$%&*|")] = True
 
 
-def encoded_shards(docs: DataFrame) -> DataFrame:
+def encoded_shards(docs: DataFrame, most_rows: int = SHARD_ROWS, most_bytes: int = SHARD_BYTES) -> DataFrame:
     """Shards of ``doc_id``, ``text``, ``part`` with words encoded by the shard's own dictionary.
 
-    Counts are 32-bit integers, row pointers 64-bit ones.
+    Counts and the shard's own word numbers are 32-bit integers, row pointers 64-bit
+    ones; all are packed as :func:`_packed` does it.
     """
 
     def run(batches):
@@ -58,8 +60,9 @@ def encoded_shards(docs: DataFrame) -> DataFrame:
         for batch in batches:
             start = 0
             for i, n in enumerate(pc.binary_length(batch.column(1)).to_pylist()):
-                if rows and (rows == SHARD_ROWS or size + n > SHARD_BYTES):
+                if rows and (rows == most_rows or size + n > most_bytes):
                     yield _shard(at, [*held, batch.slice(start, i - start)])
+                    pa.default_memory_pool().release_unused()
                     at, held, rows, size, start = at + 1, [], 0, 0, i
                 rows, size = rows + 1, size + n
             held.append(batch.slice(start))
@@ -70,53 +73,91 @@ def encoded_shards(docs: DataFrame) -> DataFrame:
 
 
 def _shard(number: int, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    rows = pa.Table.from_batches(parts).combine_chunks()
+    rows = pa.Table.from_batches(parts)
     texts = pa.concat_arrays([large_strings(c) for c in rows.column(1).chunks])
     of_text, codes, words = coded_words(texts)
-    cells, counts = np.unique(of_text * max(1, len(words)) + codes, return_counts=True)
-    pointers = np.searchsorted(cells, np.arange(len(texts) + 1) * max(1, len(words)))
-    docs = []
-    for doc_id, part, text in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(), texts.cast(pa.large_binary()).to_pylist()):
-        bytes_ = np.frombuffer(text, np.uint8)
-        upper, points = int(_UPPER[bytes_].sum()), int(_STARTS_CODE_POINT[bytes_].sum())
-        docs.append({
-            "doc_id": doc_id, "part": part, "digest": hashlib.sha256(text).digest(),
-            "c": 100 * upper > 5 * points, "d": bool(_SIGNS[bytes_].any()),
-        })
+    width = max(1, len(words))
+    cells = of_text * width
+    cells += codes
+    del of_text, codes
+    cells.sort()
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else np.empty(0, np.int64)
+    counts, cells = np.diff(np.append(first, len(cells))), cells[first]
+    pointers = np.searchsorted(cells, np.arange(len(texts) + 1) * width)
+    ends = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+    utf8 = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+
+    def total(of_kind: np.ndarray) -> np.ndarray:
+        """How many bytes of a kind each text holds."""
+        marked = np.append(np.flatnonzero(of_kind[utf8[ends[0] : ends[-1]]]), len(utf8) + 1) + ends[0]
+        return np.diff(np.searchsorted(marked, ends))
+
+    signs, digests = total(_SIGNS) > 0, [hashlib.sha256(utf8[i:j]).digest() for i, j in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    shouts = 100 * total(_UPPER) > 5 * (np.diff(ends) - total(~_STARTS_CODE_POINT))
+    columns = [rows.column(0).combine_chunks(), rows.column(2).combine_chunks(), digests, shouts, signs]
+    flat = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else pa.array(c, f.type) if not isinstance(c, pa.Array) else c for c, f in zip(columns, _DOC)]
+    docs = pa.StructArray.from_arrays(flat, fields=list(_DOC))
+    one = lambda values, kind: pa.array([_packed(values, kind)], pa.binary())
     return pa.RecordBatch.from_arrays(
         [
-            pa.array([number], pa.int64()), pa.array([words], pa.list_(pa.string())),
-            pa.array([pointers.astype("<i8").tobytes()], pa.binary()),
-            pa.array([(cells % max(1, len(words))).astype("<i4").tobytes()], pa.binary()),
-            pa.array([counts.astype("<i4").tobytes()], pa.binary()), pa.array([docs], pa.list_(pa.struct(list(_DOC)))),
+            pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words.cast(pa.string())),
+            one(pointers, "<i8"), one(cells % width, "<i4"), one(counts, "<i4"),
+            pa.ListArray.from_arrays(pa.array([0, len(docs)], pa.int32()), docs),
         ],
         ["shard", "words", "pointers", "codes", "counts", "docs"],
     )
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """``word``, ``word_id``: a number of its own for every word of the corpus."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    return stored(words.withColumn("word_id", F.monotonically_increasing_id()), "dictionary")
+def _packed(values: np.ndarray, kind: str) -> bytes:
+    """Whole numbers as compressed differences, which are small where they rise slowly."""
+    return zlib.compress(np.diff(values, prepend=0).astype(kind).tobytes(), 1)
 
 
-def matrix(shards: DataFrame, words: DataFrame) -> DataFrame:
+def _unpacked(packed: bytes, kind: str) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(packed), kind), dtype=kind)
+
+
+def numbered(shards: DataFrame) -> DataFrame:
+    """``shard``, ``code``, ``word``, ``word_id``: the global dictionary's number for every word of every shard.
+
+    Equal words meet in one partition, in order, and are numbered as they pass
+    by. A word takes one row for each shard that holds it, and no list of them.
+    """
+    words = shards.select(F.col("shard").alias("of_shard"), F.posexplode("words").alias("code", "word"))
+
+    def run(batches):
+        number, last = TaskContext.get().partitionId() << 33, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            word = batch.column(2)
+            first = word[0].as_py()
+            new = np.append(last is not None and first != last, pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False))
+            ids = number + np.cumsum(new, dtype=np.int64)
+            number, last = int(ids[-1]), word[len(word) - 1].as_py()
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids)], [*batch.schema.names, "word_id"])
+
+    return words.repartition("word").sortWithinPartitions("word").mapInArrow(run, "of_shard bigint, code int, word string, word_id bigint")
+
+
+def matrix(shards: DataFrame) -> DataFrame:
     """The document-term matrix: ``shard``, ``docs``, and the shard's compressed sparse
     rows as ``pointers``, ``word_ids`` (64-bit integers, rising in a row) and ``counts``."""
-    found = shards.select("shard", F.posexplode("words").alias("code", "word")).join(words, "word").select(
-        F.col("shard").alias("of_shard"), "code", "word_id"
-    )
 
     def renumbered(key, own: pa.Table, numbers: pa.Table) -> pa.Table:
         row = own.to_pylist()[0]
         names = np.empty(len(numbers), np.int64)
         names[numbers.column("code").to_numpy()] = numbers.column("word_id").to_numpy()
-        pointers, ids = np.frombuffer(row["pointers"], "<i8"), names[np.frombuffer(row["codes"], "<i4")]
+        pointers, ids = _unpacked(row["pointers"], "<i8"), names[_unpacked(row["codes"], "<i4")]
         order = np.lexsort((ids, np.repeat(np.arange(len(pointers) - 1), np.diff(pointers))))
-        counts = np.frombuffer(row["counts"], "<i4")[order]
-        return own.select(["shard", "docs", "pointers"]).append_column("word_ids", [[ids[order].tobytes()]]).append_column("counts", [[counts.tobytes()]])
+        columns = {"pointers": pointers, "word_ids": ids[order], "counts": _unpacked(row["counts"], "<i4")[order]}
+        out = own.select(["shard", "docs"])
+        for name, values in columns.items():
+            out = out.append_column(name, [[values.tobytes()]])
+        return out
 
     fields = f"shard bigint, docs {_DOCS}, pointers binary, word_ids binary, counts binary"
+    found = numbered(shards).drop("word")
     return shards.drop("words").groupBy("shard").cogroup(found.groupBy("of_shard")).applyInArrow(renumbered, fields)
 
 
@@ -150,7 +191,7 @@ def flagged(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"), text_or_empty("source").alias("part")
     )
     shards = stored(encoded_shards(named), "shards")
-    rows = stored(counted(matrix(shards, dictionary(shards))), "counted")
+    rows = stored(counted(matrix(shards)), "counted")
     first = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n_rows"))
     rows = named_rows(rows, stored(first, "first"), "digest")
     fails = (
@@ -189,7 +230,7 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.array(*(F.sum(F.when(F.col("failed") == 1 << k, F.col("n")).otherwise(0)) for k in range(5))).alias("alone"),
     )
     passing = passing.withColumn("shapley", F.array(*(_shapley(k) for k in range(5))))
-    steps = F.array(*(_step(order, k) for order in permutations(range(5)) for k in range(5)))
+    steps = F.expr(f"array({', '.join(_step(order, k) for order in permutations(range(5)) for k in range(5))})")
     dealt = passing.select("*", F.explode(steps).alias("s"))
 
     def lost(c: str) -> Column:
@@ -202,13 +243,10 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _step(order: tuple[int, ...], k: int) -> Column:
+def _step(order: tuple[int, ...], k: int) -> str:
     before, after = (sum(1 << f for f in order[:j]) for j in (k, k + 1))
     name = "".join(FILTERS[f] for f in order)
-    return F.struct(
-        F.lit(name).alias("filter_order"), F.lit(k + 1).alias("step"), F.lit(order[k]).alias("filter"),
-        F.lit(before).alias("before"), F.lit(after).alias("after"),
-    )
+    return f"named_struct('filter_order', '{name}', 'step', {k + 1}, 'filter', {order[k]}, 'before', {before}, 'after', {after})"
 
 
 def _shapley(k: int) -> Column:

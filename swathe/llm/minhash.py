@@ -126,7 +126,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
     """Sorted distinct hashes of the shingles of each text."""
     of_text, codes, words = coded_words(large_strings(texts))
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode().lower()) for w in words), np.uint64, len(words))[codes]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w.encode().lower()) for w in words.to_pylist()), np.uint64, len(words))[codes]
     ends = np.searchsorted(of_text, np.arange(len(texts)), "right")
     out = []
     for i, j in zip([0, *ends[:-1].tolist()], ends.tolist()):

@@ -162,30 +162,26 @@ WITH RECURSIVE docs AS (
   SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ), said AS (
   SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
-), failed AS (
-  SELECT docs.doc_id, part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, MAP {
-    'A': len(w) < 50, 'B': 100 * list_unique(w) < 65 * len(w),
-    'C': 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t), 'D': regexp_matches(t, '[#$%&*|]'),
-    'E': coalesce(docs.doc_id > min(docs.doc_id) OVER (PARTITION BY t), false)} AS f
-  FROM docs LEFT JOIN said USING (doc_id)
-), letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit
+), met AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n,
+    CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * list_unique(w) < 65 * len(w) THEN 2 ELSE 0 END
+      + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+      + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first_id THEN 16 ELSE 0 END AS f
+  FROM (SELECT *, min(doc_id) OVER (PARTITION BY t) AS first_id FROM docs) LEFT JOIN said USING (doc_id) GROUP BY ALL
 ), orders AS (
   SELECT '' AS o UNION ALL SELECT o || x FROM orders, letters WHERE NOT contains(o, x)
 ), steps AS (
-  SELECT o AS filter_order, k::INTEGER AS step, o[k] AS x, string_split(o[1:k - 1], '') AS before FROM orders, range(1, 6) r(k) WHERE length(o) = 5
-), met AS (
-  SELECT part, good, toxic, f, count(*) AS n FROM failed GROUP BY ALL
+  SELECT o AS filter_order, k::INTEGER AS step, l.x, any_value(l.bit) AS bit, coalesce(sum(p.bit) FILTER (strpos(o, p.x) < k), 0)::INTEGER AS before
+  FROM orders, range(1, 6) r(k), letters l, letters p WHERE length(o) = 5 AND l.x = o[k] GROUP BY o, k, l.x
 ), counted AS (
   SELECT part, filter_order, step, x,
-    coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND fails), 0)::BIGINT AS removed,
-    coalesce(sum(n) FILTER (gone AND fails), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (alone AND fails), 0)::BIGINT AS unique_fails,
-    coalesce(sum(n) FILTER (NOT gone AND fails AND good), 0)::BIGINT AS good_lost,
-    coalesce(sum(n) FILTER (NOT gone AND fails AND toxic), 0)::BIGINT AS toxic_lost
-  FROM (
-    SELECT *, list_bool_or(list_transform(before, lambda b: coalesce(f[b], false))) AS gone, f[x] AS fails,
-      len(list_filter(map_values(f), lambda v: v)) = 1 AS alone
-    FROM met, steps
-  ) GROUP BY part, filter_order, step, x
+    coalesce(sum(n) FILTER (f & (before | bit) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (f & before = 0 AND f & bit > 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (f & before > 0 AND f & bit > 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (f = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (f & before = 0 AND f & bit > 0 AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (f & before = 0 AND f & bit > 0 AND toxic), 0)::BIGINT AS toxic_lost
+  FROM met, steps GROUP BY part, filter_order, step, x
 )
 SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
   (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
