@@ -52,6 +52,24 @@ def cell_centre(ix: Column | str, iy: Column | str, res: float) -> tuple[Column,
     )
 
 
+def hilbert_key(ix: str, iy: str, bits: int = 20) -> Column:
+    """Place of a cell along a Hilbert curve through a grid of 2 to the ``bits`` cells
+    each way; cells next to each other on the curve are neighbours. Indices beyond
+    the grid wrap, so that the key orders any cells. ``ix`` and ``iy`` are SQL."""
+    side = 1 << bits
+    start = f"named_struct('x', cast(pmod({ix}, {side}) AS bigint), 'y', cast(pmod({iy}, {side}) AS bigint), 'key', 0L)"
+    east, north = "CASE WHEN a.x & s > 0 THEN 1 ELSE 0 END", "CASE WHEN a.y & s > 0 THEN 1 ELSE 0 END"
+    # A quarter that the curve passes the other way round is turned, and in the last one mirrored too.
+    mirrored = f"named_struct('x', {side - 1}L - a.x, 'y', {side - 1}L - a.y)"
+    seen = f"CASE WHEN q.north = 0 AND q.east = 1 THEN {mirrored} ELSE named_struct('x', a.x, 'y', a.y) END"
+    turned = "CASE WHEN q.north = 0 THEN v.y ELSE v.x END", "CASE WHEN q.north = 0 THEN v.x ELSE v.y END"
+    step = f"named_struct('x', {turned[0]}, 'y', {turned[1]}, 'key', a.key + s * s * ((3 * q.east) ^ q.north))"
+    step = f"transform(array({seen}), v -> {step})[0]"
+    step = f"transform(array(named_struct('east', {east}, 'north', {north})), q -> {step})[0]"
+    sides = ", ".join(f"{1 << k}L" for k in reversed(range(bits)))
+    return F.expr(f"aggregate(array({sides}), {start}, (a, s) -> {step}, a -> a.key)")
+
+
 def cell_area_km2(lat: Column | str, res: float) -> Column:
     """Area of a ``res``-degree cell centred at ``lat`` on the sphere."""
     half = F.lit(float(res) / 2)

@@ -108,16 +108,58 @@ def zone_cover(
     ).select(zone_id, "cx", "cy", "edges")
 
 
+def multi_level_cover(
+    zones: DataFrame, cell_deg: float, levels: int, zone_id: str = "zone_id", rings: str = "rings", seam: bool = True
+) -> DataFrame:
+    """A cover of cells of several sizes: ``zone_id, level, cx, cy, edges``.
+
+    Cells of ``level`` are ``cell_deg`` times 2 to the level wide, ``levels`` being
+    the coarsest one. A coarse cell that meets an outline is replaced by those of
+    its four quarters that are not outside, down to level 0; one wholly inside
+    stays as it is. So the rows grow with the outline of a zone over the cell width
+    rather than with its area, and every place of a zone is in one cell of one level.
+    """
+    if levels < 0:
+        raise ValueError("levels must not be below 0")
+    cover = zone_cover(zones, cell_deg * 2**levels, zone_id, rings, seam).select(zone_id, F.lit(levels).alias("level"), "cx", "cy", "edges")
+    for level in reversed(range(levels)):
+        step = f"{float(cell_deg * 2**level)}D"
+        west, south = f"(cx * 2 + dx) * {step} - 180D", f"(cy * 2 + dy) * {step} - 90D"
+
+        def meets(axis: str, low: str) -> str:
+            a, b = f"e.{axis}1", f"e.{axis}2"
+            return f"greatest({a}, {b}) >= low - {SLACK}D AND least({a}, {b}) <= low + {step} + {SLACK}D".replace("low", f"({low})")  # noqa: B023
+
+        # Edges of the quarter's rows, of which those from its west border on matter for a ray towards east.
+        near = f"filter(edges, e -> {meets('y', south)} AND greatest(e.x1, e.x2) >= ({west}) - {SLACK}D)"
+        middle = inside_sql("_near", f"(({west}) + {step} / 2)", f"(({south}) + {step} / 2)")
+        # Of the edges whose box meets the quarter, those that pass it on one side leave all its corners on one side.
+        off = f"abs((({west}) + {step} / 2 - e.x1) * (e.y2 - e.y1) - (({south}) + {step} / 2 - e.y1) * (e.x2 - e.x1))"
+        passes = f"{off} <= ({step} / 2 + {SLACK}D) * (abs(e.y2 - e.y1) + abs(e.x2 - e.x1))"
+        kept = f"CASE WHEN exists(_near, e -> {meets('x', west)} AND {passes}) THEN _near WHEN {middle} THEN slice(_near, 1, 0) END"
+        quarter = f"named_struct('level', {level}, 'cx', cx * 2 + dx, 'cy', cy * 2 + dy, 'edges', transform(array({near}), _near -> {kept})[0])"
+        quarters = f"filter(flatten(transform(array(0, 1), dy -> transform(array(0, 1), dx -> {quarter}))), c -> c.edges IS NOT NULL)"
+        whole = "array(named_struct('level', level, 'cx', cx, 'cy', cy, 'edges', edges))"
+        cover = cover.select(zone_id, F.expr(f"inline(CASE WHEN size(edges) = 0 THEN {whole} ELSE {quarters} END)"))
+    return cover
+
+
 def _covered(
     points: DataFrame, zones: DataFrame, how: str, cell_deg: float,
-    zone_id: str, rings: str, lon: str, lat: str,
+    zone_id: str, rings: str, lon: str, lat: str, levels: int = 0,
 ) -> DataFrame:
     size, seam = _cover_size(zones, cell_deg, rings)
-    cover = zone_cover(zones, cell_deg, zone_id, rings, seam).select(
-        F.col(zone_id).alias("_zone"),
+    if levels:
+        cover = multi_level_cover(zones, cell_deg, levels, zone_id, rings, seam)
+        bytes_ = cover.select(F.sum(F.size("edges") * EDGE_BYTES + ROW_BYTES)).first()[0]
+        few = (bytes_ or 0) <= BROADCAST_BYTES
+    else:
+        cover = zone_cover(zones, cell_deg, zone_id, rings, seam).withColumn("level", F.lit(0))
+        few = size <= BROADCAST_BYTES
+    cover = broadcast_if(cover.select(
+        F.col(zone_id).alias("_zone"), F.col("level").alias("_zlevel"),
         F.col("cx").alias("_zx"), F.col("cy").alias("_zy"), F.col("edges").alias("_edges"),
-    )
-    cover = broadcast_if(cover, size <= BROADCAST_BYTES)
+    ), few)
     cx, cy = cell_xy("_lon", lat, cell_deg, globe=False)  # covers are planar
     keyed = points.withColumn("_lon", on_globe(F.col(lon))).withColumns({"_cx": cx, "_cy": cy})
     hit = (
@@ -125,14 +167,19 @@ def _covered(
         & (F.col("_cy") == F.col("_zy"))
         & ((F.size("_edges") == 0) | inside("_edges", "_lon", lat))
     )
-    joined = keyed.join(cover, hit, how).drop("_lon", "_cx", "_cy", "_zx", "_zy", "_edges")
+    if levels:
+        # The cell of each level in which the point lies.
+        cells = f"transform(sequence(0, {levels}), l -> named_struct('_level', l, '_cx', shiftright(_cx, l), '_cy', shiftright(_cy, l)))"
+        keyed = keyed.withColumn("_cells", F.expr(cells)).drop("_cx", "_cy").selectExpr("*", "inline(_cells)").drop("_cells")
+        hit = (F.col("_level") == F.col("_zlevel")) & hit
+    joined = keyed.join(cover, hit, how).drop("_lon", "_level", "_cx", "_cy", "_zlevel", "_zx", "_zy", "_edges")
     return joined.withColumnRenamed("_zone", zone_id) if how in ("inner", "left") else joined
 
 
 def spatial_join(
     points: DataFrame, zones: DataFrame, how: str = "inner", cell_deg: float = 2.0,
     zone_id: str = "zone_id", rings: str = "rings", lon: str = "lon", lat: str = "lat",
-    attributes: Sequence[str] = (),
+    attributes: Sequence[str] = (), levels: int = 0,
 ) -> DataFrame:
     """Points with the id of every zone that holds them; ``inner`` or ``left``.
     ``attributes`` are columns of the zones that come along, by the id, which
@@ -142,11 +189,16 @@ def spatial_join(
     zones may span the antimeridian or go around a pole: two corners in a row are
     joined the shorter way. Choose ``cell_deg`` a few
     times smaller than a typical zone: the cover grows with the square of zone
-    width over cell width.
+    width over cell width. For zones of very different or of very large size
+    choose a small ``cell_deg`` and some ``levels``: cells inside a zone are then
+    up to 2 to that power as wide, at the price of looking a point up once for
+    each level (``inner`` only).
     """
+    if levels and how != "inner":
+        raise ValueError("levels need how='inner'")
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'; see clip and outside")
-    held = _covered(points, zones, how, cell_deg, zone_id, rings, lon, lat)
+    held = _covered(points, zones, how, cell_deg, zone_id, rings, lon, lat, levels)
     return held.join(zones.select(zone_id, *attributes), zone_id, how) if attributes else held
 
 

@@ -33,7 +33,7 @@ def _quantile(stat: str) -> float | None:
 def zonal_stats(
     cells: DataFrame, zones: DataFrame, stats: Sequence[str] = ("count", "mean"),
     by: Sequence[str] = (), value: str = "value", cell_deg: float = 2.0,
-    zone_id: str = "zone_id", lon: str = "lon", lat: str = "lat", group_limit: int = 1_000_000,
+    zone_id: str = "zone_id", lon: str = "lon", lat: str = "lat", group_limit: int = 1_000_000, levels: int = 0,
 ) -> DataFrame:
     """One row per zone (and ``by``) with a column per statistic:
     :data:`ZONAL_STATS`, ``median``, percentiles as ``p90``, and
@@ -42,7 +42,8 @@ def zonal_stats(
 
     Cells sit at few distinct positions, so values are combined per position
     first: the spatial join then sees each position once however often it was
-    observed, and it is made once whatever the statistics. Nulls and NaN are
+    observed, and it is made once whatever the statistics. ``levels`` is that of
+    :func:`spatial_join`. Nulls and NaN are
     missing values. Zones without cells give no row.
     """
     probs = {c: p for c in stats if (p := _quantile(c)) is not None}
@@ -55,7 +56,7 @@ def zonal_stats(
     plain = [c for c in stats if c in ZONAL_STATS]
 
     def held(per_spot: DataFrame) -> DataFrame:
-        return spatial_join(per_spot, zones, "inner", cell_deg, zone_id=zone_id, lon=lon, lat=lat)
+        return spatial_join(per_spot, zones, "inner", cell_deg, zone_id=zone_id, lon=lon, lat=lat, levels=levels)
 
     if not probs and not classes:
         per_spot = known.groupBy(*spot).agg(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from swathe.functions.grid import hilbert_key
 from swathe.operators.filters import bbox_filter, time_filter
 
 
@@ -39,29 +40,48 @@ def scan_cells(
 
 
 def write_cells(
-    df: DataFrame, path: str, files: int | None = None, rows_per_file: int = 10_000_000,
-    mode: str = "errorifexists", ts: str = "obs_ts",
+    df: DataFrame, path: str, files: int | None = None, bytes_per_file: int = 512 << 20,
+    mode: str = "errorifexists", ts: str = "obs_ts", curve: bool = True,
 ) -> None:
     """Write cells partitioned by band and date, clustered by place inside.
 
-    A null band comes back as null; the empty band is an error. Range partitioning on (band, date, iy, ix, time) lets a large band-day
-    spread over many tasks and files, and a small one stay in one. Unless
-    ``files`` is given, rows are counted to give each task one file's worth.
+    A null band comes back as null; the empty band is an error. Range partitioning
+    on (band, date, place, time) lets a large band-day spread over many tasks and
+    files, and a small one stay in one. Places are ordered along a Hilbert curve,
+    or with ``curve=False`` row by row: the files and row groups of a curve are
+    compact, so that a box meets few of them. Files are cut by ``bytes_per_file``,
+    the size of their values before Parquet encodes and compresses them; rows are
+    measured for that in one pass, which also tells the number of tasks unless
+    ``files`` is given.
     """
+    size, rows = _measured(df)
+    per_file = max(1, int(bytes_per_file // size)) if rows else 1
     if files is None:
-        rows = df.count()
         # Few rows still use the cores there are: cuts fall between band-days
         # first, so more tasks hardly make more files.
         tasks = min(df.sparkSession.sparkContext.defaultParallelism, rows // 10_000 + 1)
-        files = max(-(-rows // rows_per_file), tasks)
+        files = max(-(-rows // per_file), tasks)
     named = F.when(F.col("band") == "", F.raise_error(F.lit("an empty band has no directory"))).otherwise(F.col("band"))
     dated = df.withColumn("obs_date", F.to_date(ts)).withColumn("band", named)
-    order = ["band", "obs_date", "iy", "ix", ts]
+    place = ["iy", "ix"]
+    if curve:
+        dated, place = dated.withColumn("_place", hilbert_key("ix", "iy")), ["_place"]
+    order = ["band", "obs_date", *place, ts]
     (
         dated.repartitionByRange(files, *order)
         .sortWithinPartitions(*order)
+        .drop("_place")
         .write.mode(mode)
-        .option("maxRecordsPerFile", rows_per_file)
+        .option("maxRecordsPerFile", per_file)
         .partitionBy("band", "obs_date")
         .parquet(path)
     )
+
+
+def _measured(df: DataFrame) -> tuple[float, int]:
+    """Bytes of a row on average, counting eight for a value of fixed size, and rows."""
+    long_ = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = 8.0 * max(1, len(df.columns) - len(long_))
+    lengths = [F.coalesce(F.sum(F.octet_length(f"`{c}`")), F.lit(0)) for c in long_]
+    row = df.agg(F.count(F.lit(1)), *lengths).first()
+    return fixed + sum(row[1:]) / max(1, row[0]), row[0]

@@ -112,3 +112,34 @@ def test_measures_and_footprints_over_the_seam(spark):
 def test_cover_of_a_seam_zone_stays_near_it(spark):
     cover = spatial.zone_cover(spark.createDataFrame([(1, [BOX])], ZONES), 1.0)
     assert cover.where("cx between 6 and 353").count() == 0 and cover.count() < 200
+
+
+def test_levels_give_the_same_pairs_from_a_smaller_cover(spark):
+    draw = random.Random(8)
+    land = [[(-60.0, -20.0), (-20.0, -45.0), (30.0, -40.0), (55.0, 0.0), (40.0, 45.0), (-10.0, 50.0), (-50.0, 30.0)], [(0.0, 0.0), (9.0, 3.0), (4.0, 11.0)]]
+    small = [[(10.1, 10.1), (10.4, 10.1), (10.4, 10.3)]]
+    zones = spark.createDataFrame([(1, land), (2, small), (3, [BOX]), (4, None)], ZONES)
+    rows = [(draw.uniform(-180, 180), draw.uniform(-60, 60)) for _ in range(1500)] + [(10.35, 10.15), (179.9, 0.0), (None, 1.0)]
+    points = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], POINTS)
+    plain = {tuple(r) for r in spatial.spatial_join(points, zones, "inner", 0.5).select("id", "zone_id").collect()}
+    for levels in (1, 5):
+        held = spatial.spatial_join(points, zones, "inner", 0.5, levels=levels)
+        assert held.columns == [*points.columns, "zone_id"]
+        assert sorted(tuple(r) for r in held.select("id", "zone_id").collect()) == sorted(plain)
+    one = zones.where("zone_id = 1")
+    cover = spatial.multi_level_cover(one, 0.5, 5)
+    assert cover.count() * 10 <= spatial.zone_cover(one, 0.5).count() and cover.select("level").distinct().count() == 6
+    with pytest.raises(ValueError):
+        spatial.spatial_join(points, zones, "left", levels=2)
+    want = sorted(map(tuple, zonal.zonal_stats(points.withColumn("value", F.col("lat")), zones, ("count", "max"), cell_deg=0.5).collect()))
+    assert sorted(map(tuple, zonal.zonal_stats(points.withColumn("value", F.col("lat")), zones, ("count", "max"), cell_deg=0.5, levels=4).collect())) == want
+
+
+def test_one_cover_whatever_the_statistics(spark):
+    zones = spark.createDataFrame([(1, [BOX])], ZONES)
+    cells = spark.createDataFrame([(float(x), 0.5, float(x % 3)) for x in range(176, 185)], "lon double, lat double, value double")
+    held = zonal.zonal_stats(cells, zones, ("mean", "stddev", "median", "majority"))
+    assert held._jdf.queryExecution().optimizedPlan().toString().count("_zx") == 0  # read from where it was written once
+    plain = zonal.zonal_stats(cells, zones, ("mean", "median", "majority"))._jdf.queryExecution().executedPlan().toString()
+    assert plain.count("Scan ExistingRDD[zone_id") <= 1
+    assert zonal.zonal_stats(cells, zones, ("mean", "stddev"))._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD [zone_id") == 1

@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from swathe.functions.grid import hilbert_key
 from swathe.sources import cells, features, scenes, tables
 from swathe.session import scratch_path
 from workload.fixtures import observations, parcels
@@ -30,6 +31,41 @@ def test_cells_prune_and_push(spark, sf, tmp_path):
     assert spark.read.parquet(path).count() == observations(spark, sf).count()
 
 
+def test_hilbert_key(spark):
+    """A curve through all cells of a square, from neighbour to neighbour."""
+    for bits in (1, 3, 5):
+        side = 1 << bits
+        cells_ = spark.range(side * side).selectExpr(f"id % {side} AS ix", f"id div {side} AS iy")
+        rows = cells_.select("ix", "iy", hilbert_key("ix", "iy", bits).alias("k")).orderBy("k").collect()
+        assert [r["k"] for r in rows] == list(range(side * side))
+        assert all(abs(a["ix"] - b["ix"]) + abs(a["iy"] - b["iy"]) == 1 for a, b in zip(rows, rows[1:]))
+    assert spark.range(1).select(hilbert_key("-5", "1 << 21").alias("k")).first()["k"] >= 0
+
+
+def test_a_box_meets_few_row_groups_of_a_curve(spark):
+    """Groups of 1024 cells of a grid of 1024 by 1024: a row each, or squares of 32 by 32."""
+    grid = spark.range(1 << 20).selectExpr("id % 1024 AS ix", "id div 1024 AS iy").withColumn("k", hilbert_key("ix", "iy"))
+
+    def met(place):
+        boxes = grid.groupBy(F.expr(f"{place} div 1024")).agg(*(f(c).alias(f"{n}_{c}") for c in ("ix", "iy") for n, f in (("low", F.min), ("high", F.max))))
+        return boxes.where("low_ix <= 163 AND high_ix >= 100 AND low_iy <= 163 AND high_iy >= 100").count()
+
+    assert met("k") <= 9 and met("k") * 5 <= met("(iy * 1024 + ix)") == 64
+
+
+def test_curve_files_read_back(spark, tmp_path):
+    df = spark.range(30_000).selectExpr(
+        "'b' AS band", "timestamp_ntz'2024-01-01' AS obs_ts", "cast(id % 173 AS int) AS ix", "cast(id div 173 AS int) AS iy", "repeat('x', cast(id % 9 AS int)) AS s",
+    )
+    for curve in (True, False):
+        path = str(tmp_path / f"c{curve}")
+        cells.write_cells(df, path, bytes_per_file=200_000, curve=curve)
+        assert len(list((tmp_path / f"c{curve}").rglob("*.parquet"))) >= 4
+        back = cells.scan_cells(spark, path)
+        assert back.drop("obs_date").select(*df.columns).exceptAll(df).count() == 0 and back.count() == 30_000
+    cells.write_cells(df.limit(0), str(tmp_path / "none"))
+
+
 def test_a_hot_band_day_spreads_over_files(spark, tmp_path):
     df = spark.range(20_000).selectExpr(
         "'b' AS band", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id % 60) AS obs_ts",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from swathe.functions.polygon import RINGS_TYPE
 from swathe.operators import distance, overlay, regions, spatial, zonal
-from workload.fixtures import OBS, observations, rounded
+from workload.fixtures import OBS, PAIRS, ZONE_EDGES, observations, rounded, zones
 
 
 def seam_zones(spark):
@@ -117,7 +117,13 @@ CLASS_DISTANCE = f"""WITH {OBS}, {classed_sql(7)}, d AS (
   FROM c a, c b WHERE b.class = 0 GROUP BY 1, 2)
 SELECT c.x::BIGINT AS ix, c.y::BIGINT AS iy, d::BIGINT AS dist2, round(sqrt(d), 6) AS dist FROM c LEFT JOIN d USING (x, y)"""
 
+def spatial_join_levels(spark, sf):
+    """Cells of half a degree on the outlines, and up to 16 degrees inside."""
+    return spatial.spatial_join(observations(spark, sf), zones(spark), cell_deg=0.5, levels=5).select("obs_id", "zone_id")
+
+
 QUERIES = {
+    "spatial_join_levels": (spatial_join_levels, f"WITH {OBS}, {ZONE_EDGES}, {PAIRS} SELECT obs_id, zone_id FROM pairs"),
     "spatial_join_seam": (spatial_join_seam, f"WITH {OBS}, {SEAM_PAIRS} SELECT obs_id, zone_id FROM pairs"),
     "zonal_stats_seam": (zonal_stats_seam, ZONAL_SEAM),
     "zonal_stats_nan": (zonal_stats_nan, ZONAL_NAN),

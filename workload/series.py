@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from swathe.operators import asof, frames, series
+from swathe.operators import asof, frames, harmonic, series
 from swathe.plans.timelapse import timelapse
 from workload.fixtures import OBS, observations, rounded
 
@@ -199,7 +199,46 @@ TIMELAPSE = f"""WITH {OBS.replace('obs AS', 'raw AS')}, obs AS (SELECT * FROM ra
 SELECT band, iy, frame_idx, frame_ts, round(value, 6) AS value, coalesce({SHADE}, 0) AS shade,
   strftime(frame_ts, '%Y-%m-%d') AS label FROM g JOIN q USING (frame_idx)"""
 
+WEEKLY = {"harmonics": 1, "period_days": 7.0, "with_trend": False, "origin": "2024-01-01"}
+
+
+def harmonic_fit(spark, sf):
+    obs = observations(spark, sf).withColumn("station_id", F.col("station_id") % 12)
+    got = harmonic.harmonic_fit(obs, KEYS, **WEEKLY)
+    return rounded(got, "mean", "cos1", "sin1", "rmse")
+
+
+# Cramer's rule for mean, cosine and sine; keys with fewer than three values have no fit.
+HARMONIC = f"""x AS (
+  SELECT station_id % 12 AS station_id, band, obs_ts, value AS y, cos(2 * pi() * turn) AS c, sin(2 * pi() * turn) AS s
+  FROM (SELECT *, (epoch_us(obs_ts) - epoch_us(TIMESTAMP '2024-01-01')) / 604800000000::DOUBLE AS turn FROM obs) WHERE y IS NOT NULL),
+m AS (SELECT station_id, band, count(*) AS n, sum(c) AS c, sum(s) AS s, sum(c * c) AS cc, sum(c * s) AS cs, sum(s * s) AS ss,
+    sum(y) AS y, sum(y * c) AS yc, sum(y * s) AS ys FROM x GROUP BY station_id, band),
+d AS (SELECT *, n * (cc * ss - cs * cs) - c * (c * ss - cs * s) + s * (c * cs - cc * s) AS det FROM m),
+w AS (SELECT station_id, band, n, CASE WHEN n >= 3 THEN (y * (cc * ss - cs * cs) - c * (yc * ss - cs * ys) + s * (yc * cs - cc * ys)) / det END AS mean,
+    CASE WHEN n >= 3 THEN (n * (yc * ss - cs * ys) - y * (c * ss - cs * s) + s * (c * ys - yc * s)) / det END AS cos1,
+    CASE WHEN n >= 3 THEN (n * (cc * ys - yc * cs) - c * (c * ys - yc * s) + y * (c * cs - cc * s)) / det END AS sin1 FROM d),
+e AS (SELECT x.*, n, y - mean - cos1 * x.c - sin1 * x.s AS e FROM x JOIN w USING (station_id, band)),
+r AS (SELECT station_id, band, sqrt(sum(e * e) / count(*)) AS rmse FROM e GROUP BY station_id, band)"""
+
+
+def first_break(spark, sf):
+    got = harmonic.first_break(observations(spark, sf), ["band"], critical=1.0, **WEEKLY)
+    return rounded(got, "excursion")
+
+
+FIRST_BREAK = f"""WITH {OBS}, {HARMONIC.replace("station_id % 12 AS station_id, ", "").replace("station_id, ", "")},
+i AS (SELECT band, obs_ts, any_value(n) AS n, sum(e) AS e FROM e GROUP BY band, obs_ts),
+l AS (SELECT *, abs(sum(e) OVER (PARTITION BY band ORDER BY obs_ts)) / (rmse * sqrt(n)) AS level FROM i JOIN r USING (band))
+SELECT band, any_value(n) AS n, round(max(level), 6) AS excursion, min(obs_ts) FILTER (level > 1.0) AS break_ts FROM l GROUP BY band"""
+
 QUERIES = {
+    "harmonic_fit": (
+        harmonic_fit,
+        f"""WITH {OBS}, {HARMONIC} SELECT station_id, band, n, round(mean, 6) AS mean, round(cos1, 6) AS cos1, round(sin1, 6) AS sin1,
+  round(rmse, 6) AS rmse FROM w LEFT JOIN r USING (station_id, band)""",
+    ),
+    "first_break": (first_break, FIRST_BREAK),
     "accumulate": (accumulate, ACCUMULATE),
     "climatology_dayofweek": (
         climatology("dayofweek"), _climatology_sql("dayofweek", "dayofweek(obs_ts) + 1")

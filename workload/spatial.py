@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from swathe.functions.grid import cell_xy
-from swathe.operators import filters, overlay, spatial, tiles, zonal
+from swathe.operators import filters, overlay, sketches, spatial, tiles, zonal
 from workload.cells import CLASS
 from workload.fixtures import (
     OBS, PAIRS, PARCEL_EDGES, SCENES, ZONE_EDGES, cell_area_sql, haversine_sql, observations, parcels, rounded, scenes, stations, stations_sql, tile_sql, zones,
@@ -253,7 +253,32 @@ r AS (SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY value DESC, obs_id
 SELECT 3 AS z, CAST(x AS INT) AS x, CAST(y AS INT) AS y, CAST(rank AS INT) AS rank, obs_id, value
 FROM r WHERE rank <= 4"""
 
+def tile_sketches(spark, sf):
+    """Daily sketches of zoom 6 merged to zoom 2 and two weeks, beside exact values: are
+    the estimates within their error?"""
+    obs = observations(spark, sf)
+    daily = sketches.tile_sketches(obs, 6)
+    merged = sketches.merge_periods(sketches.merge_zooms(daily, 2), "2024-01-05", "2024-01-19")
+    told = sketches.read_sketches(merged, {"median": 0.5})
+    rows = tiles.with_tile(obs.where("obs_ts >= '2024-01-05' AND obs_ts < '2024-01-19'"), 2).where("value IS NOT NULL")
+    ranked = rows.join(F.broadcast(told.select("x", "y", "median")), ["x", "y"]).groupBy("x", "y").agg(
+        F.count_distinct("station_id").alias("_different"), F.count_if(F.col("value") < F.col("median")).alias("_below"),
+        F.count_if(F.col("value") <= F.col("median")).alias("_upto"),
+    )
+    both = told.join(ranked, ["x", "y"])
+    return rounded(both.select(
+        "x", "y", "n", "total", "least", "most", (F.abs(F.col("n_different") - F.col("_different")) <= 0.05 * F.col("_different") + 1).alias("count_near"),
+        ((F.col("_below") <= 0.52 * F.col("n") + 1) & (F.col("_upto") >= 0.48 * F.col("n") - 1)).alias("median_near"),
+    ), "total")
+
+
+TILE_SKETCHES = f"""WITH {OBS}, t AS (SELECT {tile_sql("lon", "lat", 2)[0]} AS x, {tile_sql("lon", "lat", 2)[1]} AS y, value FROM obs
+  WHERE obs_ts >= TIMESTAMP '2024-01-05' AND obs_ts < TIMESTAMP '2024-01-19' AND value IS NOT NULL)
+SELECT CAST(x AS INT) AS x, CAST(y AS INT) AS y, count(*) AS n, round(sum(value), 6) AS total, min(value) AS least, max(value) AS most,
+  true AS count_near, true AS median_near FROM t GROUP BY 1, 2"""
+
 QUERIES = {
+    "tile_sketches": (tile_sketches, TILE_SKETCHES),
     "zonal_stats": (zonal_stats, ZONAL),
     "zonal_stats_band": (zonal_stats_band, ZONAL_BAND),
     "zonal_stats_classes": (zonal_stats_classes, ZONAL_CLASSES),
