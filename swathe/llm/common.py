@@ -115,14 +115,14 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Later stages read the files, so a lost executor costs no recomputation, and
     what uses the rows twice computes them once.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

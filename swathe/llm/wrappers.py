@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction.
 
-Pages of a host that are laid out alike share a template. A few different ones of
-each layout are parsed and aligned, node by node, with one of them by simple tree
+Pages of a host that are laid out alike share a template. All pages of each layout
+are parsed and aligned, node by node, with one of them by simple tree
 matching. Aligned nodes whose text is the same everywhere are the template; those
 whose text differs, and what only some pages have, are slots. The wrapper of the
 layout is the path to the deepest node that holds all text of the slots, and the
@@ -16,6 +16,7 @@ import html as entities
 import json
 import re
 from difflib import SequenceMatcher
+from functools import lru_cache
 from itertools import groupby
 
 import pyarrow as pa
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from swathe.llm.common import stored, strings, with_columns
 
-#: Different pages of a layout that are aligned, those of the lowest hash.
+#: Different pages of a layout that choose its model, those of the lowest hash; all pages are aligned with that.
 ALIGNED = 8
+#: Drafts that a task holds at once, what the alignment of one remembers, and bytes of drafts that Spark sends to all tasks.
+HELD, REMEMBERED, SENT = 64, 50_000, 16 << 20
 #: Pages of different content, with less than half of their words in common, that must share a part for it to be template,
 #: and the largest share of the content that may be. Otherwise the pages are copies of one another and show no template.
 AGREEING, CONSTANT = 3, 0.25
@@ -75,22 +78,27 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("
 
 
 class Node:
-    __slots__ = ("tag", "label", "marked", "children")
+    __slots__ = ("tag", "label", "marked", "children", "kind")
 
     def __init__(self, tag: str, attributes: str = ""):
-        self.tag, self.label, self.marked, self.children = tag, tag, tag in DROPPED, []
-        if attributes:
-            found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
-            names = re.findall(r"[a-z]+", found.get("class", "") + " " + found.get("id", ""))
-            self.label = " ".join([tag, *sorted(set(names))])
-            hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-            tokens = (found.get("class", "") + " " + found.get("id", "")).split()
-            self.marked |= tag not in KEPT and (hidden or any(map(_marks, tokens)) or found.get("role") in ROLES)
+        self.tag, self.children = tag, []
+        self.label, self.marked = _named(tag, attributes) if attributes else (tag, tag in DROPPED)
 
     def elements(self) -> list[Node]:
         return [c for c in self.children if isinstance(c, Node)]
 
 
+@lru_cache(1 << 13)
+def _named(tag: str, attributes: str) -> tuple[str, bool]:
+    """Label of an element, and whether it is marked."""
+    found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
+    names = re.findall(r"[a-z]+", found.get("class", "") + " " + found.get("id", ""))
+    hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
+    tokens = (found.get("class", "") + " " + found.get("id", "")).split()
+    marked = tag in DROPPED or tag not in KEPT and (hidden or any(map(_marks, tokens)) or found.get("role") in ROLES)
+    return " ".join([tag, *sorted(set(names))]), marked
+
+
 def _marks(token: str) -> bool:
     """Whether a class or id as a whole names such a part: ``ad-box`` does, ``no-sidebar`` does not."""
     pieces = {p for p in re.split("[^a-z]+", token) if len(p) > 1}
@@ -179,71 +187,253 @@ def text_of(node: Node, dropped: frozenset | set = frozenset()) -> str:
 
 def matching(a: Node, b: Node) -> list[tuple[Node, Node]]:
     """Pairs of nodes that simple tree matching aligns: equal labels, order kept, as many as possible."""
-    pairs, todo = [], [(a, b)]
-    known: dict[tuple[int, int], int] = {}
-    while todo:
-        a, b = todo.pop()
-        pairs.append((a, b))
-        todo += _aligned(a, b, known)
-    return pairs
-
-
-def _size(a: Node, b: Node, known: dict) -> int:
-    """Nodes that the best matching of two trees aligns."""
-    if a.label != b.label:
-        return 0
-    key = (id(a), id(b))
-    if key not in known:
-        left, right = a.elements(), b.elements()
-        if len(left) * len(right) > WIDE:
-            known[key] = 1 + sum(_size(x, y, known) for x, y in _in_runs(left, right))
-        else:
-            known[key] = 1 + _table(left, right, known)[-1][-1]
-    return known[key]
-
-
-def _table(left: list[Node], right: list[Node], known: dict) -> list[list[int]]:
-    """Nodes aligned by the best matching of the first i and first j of two lists."""
-    table = [[0] * (len(right) + 1)]
-    for x in left:
-        row, above = [0], table[-1]
-        for j, y in enumerate(right):
-            row.append(max(above[j + 1], row[j], above[j] + _size(x, y, known)))
-        table.append(row)
-    return table
-
-
-def _in_runs(left: list[Node], right: list[Node]) -> list[tuple[Node, Node]]:
-    """Pairs of two long lists: runs of equal labels meet in order, and their nodes one by one."""
-    a, b = ([list(run) for _, run in groupby(nodes, key=lambda n: n.label)] for nodes in (left, right))
-    found, i, j = [], 0, 0
-    while i < len(a) and j < len(b):
-        if a[i][0].label == b[j][0].label:
-            found += zip(a[i], b[j])
-            i, j = i + 1, j + 1
-        elif len(a) - i > len(b) - j:
-            i += 1
-        else:
-            j += 1
-    return found
-
+    return Alignment().pairs(a, b)
+
+
+class Alignment:
+    """Simple tree matching. Subtrees of the same labels are of one kind, and what was found of two kinds holds for all such subtrees."""
+
+    def __init__(self):
+        self.numbers: dict[tuple, int] = {}
+        self.kinds: list[tuple] = []
+        self.sizes: dict[tuple[int, int], int] = {}
+        self.ways: dict[tuple[int, int], list[tuple[int, int]]] = {}
+
+    def number(self, root: Node) -> None:
+        order, todo = [], [root]
+        while todo:
+            node = todo.pop()
+            order.append(node)
+            todo += node.elements()
+        for node in reversed(order):
+            kind = (node.label, *[c.kind for c in node.elements()])
+            node.kind = self.numbers.setdefault(kind, len(self.kinds))
+            if node.kind == len(self.kinds):
+                self.kinds.append(kind)
+
+    def pairs(self, a: Node, b: Node) -> list[tuple[Node, Node]]:
+        self.number(a)
+        self.number(b)
+        pairs, todo = [], [(a, b)]
+        while todo:
+            a, b = todo.pop()
+            pairs.append((a, b))
+            left, right = a.elements(), b.elements()
+            todo += [(left[i], right[j]) for i, j in self._aligned(a.kind, b.kind)]
+        return pairs
+
+    def _size(self, a: int, b: int) -> int:
+        """Nodes that the best matching of two trees aligns."""
+        left, right = self.kinds[a], self.kinds[b]
+        if left[0] != right[0]:
+            return 0
+        if (a, b) not in self.sizes:
+            left, right = left[1:], right[1:]
+            if len(left) * len(right) > WIDE:
+                self.sizes[a, b] = 1 + sum(self._size(left[i], right[j]) for i, j in self._in_runs(left, right))
+            else:
+                self.sizes[a, b] = 1 + self._table(left, right)[-1][-1]
+        return self.sizes[a, b]
+
+    def _table(self, left: tuple, right: tuple) -> list[list[int]]:
+        """Nodes aligned by the best matching of the first i and first j of two lists."""
+        table = [[0] * (len(right) + 1)]
+        for x in left:
+            row, above = [0], table[-1]
+            for j, y in enumerate(right):
+                row.append(max(above[j + 1], row[j], above[j] + self._size(x, y)))
+            table.append(row)
+        return table
+
+    def _in_runs(self, left: tuple, right: tuple) -> list[tuple[int, int]]:
+        """Places in two long lists: runs of equal labels meet in order, and their nodes one by one."""
+        a, b = ([list(run) for _, run in groupby(range(len(nodes)), key=lambda i: self.kinds[nodes[i]][0])] for nodes in (left, right))  # noqa: B023
+        found, i, j = [], 0, 0
+        while i < len(a) and j < len(b):
+            if self.kinds[left[a[i][0]]][0] == self.kinds[right[b[j][0]]][0]:
+                found += zip(a[i], b[j])
+                i, j = i + 1, j + 1
+            elif len(a) - i > len(b) - j:
+                i += 1
+            else:
+                j += 1
+        return found
+
+    def _aligned(self, a: int, b: int) -> list[tuple[int, int]]:
+        """Places of the children that are aligned where two nodes are."""
+        if (a, b) not in self.ways:
+            left, right = self.kinds[a][1:], self.kinds[b][1:]
+            self.ways[a, b] = self._in_runs(left, right) if len(left) * len(right) > WIDE else self._traced(left, right)
+        return self.ways[a, b]
+
+    def _traced(self, left: tuple, right: tuple) -> list[tuple[int, int]]:
+        table = self._table(left, right)
+        i, j, found = len(left), len(right), []
+        while i and j:
+            size = self._size(left[i - 1], right[j - 1])
+            if size and table[i][j] == table[i - 1][j - 1] + size:
+                found.append((i - 1, j - 1))
+                i, j = i - 1, j - 1
+            elif table[i][j] == table[i - 1][j]:
+                i -= 1
+            else:
+                j -= 1
+        return found
+
+
+class Draft:
+    """What pages aligned with a model, one of them, show of their template. Nodes go by their place in the model.
+
+    ``slots`` are the nodes whose own text varies or below which a page has more,
+    ``tight`` the blocks that read the same on all pages. For the nodes ``tracked``,
+    which alone can hold the content, ``seen`` and ``length`` are the pages that have
+    them and their text in all, ``different`` up to ``AGREEING`` texts of different words.
+    """
 
-def _aligned(a: Node, b: Node, known: dict) -> list[tuple[Node, Node]]:
-    left, right = a.elements(), b.elements()
-    if len(left) * len(right) > WIDE:
-        return _in_runs(left, right)
-    table = _table(left, right, known)
-    i, j, found = len(left), len(right), []
-    while i and j:
-        size = _size(left[i - 1], right[j - 1], known)
-        if size and table[i][j] == table[i - 1][j - 1] + size:
-            found.append((left[i - 1], right[j - 1]))
-            i, j = i - 1, j - 1
-        elif table[i][j] == table[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return found
+    def __init__(self, model: str, state: dict | None = None):
+        self.root = parse(model)
+        self.nodes, todo = [], [(self.root, False)]
+        self.shown: list[bool] = []
+        while todo:
+            node, hidden = todo.pop()
+            self.nodes.append(node)
+            self.shown.append(not (hidden or node.marked))
+            todo += [(c, hidden or node.marked) for c in node.elements()]
+        self.place = {id(node): k for k, node in enumerate(self.nodes)}
+        self.own = [_own(node) for node in self.nodes]
+        blocks = (k for k, node in enumerate(self.nodes) if self.shown[k] and node.tag not in INLINE and node.tag not in ITEMS)
+        texts = {k: text_of(self.nodes[k]) for k in blocks} if state is None else {k: text_of(self.nodes[k]) for k in state["tight"]}
+        self.tight = {k: t for k, t in texts.items() if t}
+        state = state or {"pages": 0, "slots": [], "tracked": [], "seen": [], "length": [], "different": []}
+        self.pages, self.slots, self.tracked = state["pages"], set(state["slots"]), state["tracked"]
+        self.seen, self.length = [0] * len(self.tracked), [0] * len(self.tracked)
+        self.different = [[(t, set(t.split())) for t in texts] for texts in state["different"]]
+        self.alignment = Alignment()
+
+    def align(self, page: Node) -> dict[int, Node]:
+        """The page's nodes by place, and what they show of slots and blocks."""
+        if len(self.alignment.kinds) + len(self.alignment.sizes) > REMEMBERED:
+            self.alignment = Alignment()
+        pairs = self.alignment.pairs(self.root, page)
+        met, held = {id(b) for _, b in pairs}, {self.place[id(a)]: b for a, b in pairs}
+        for k, b in held.items():
+            if self.shown[k] and k not in self.slots:
+                if _own(b) != self.own[k] or any(id(c) not in met and not c.marked and text_of(c) for c in b.elements()):
+                    self.slots.add(k)
+        for k in [k for k, text in self.tight.items() if k not in held or text_of(held[k]) != text]:
+            del self.tight[k]
+        self.pages += 1
+        return held
+
+    def track(self) -> None:
+        """From now on the nodes on the path are weighed; more pages can only shorten it. Without a slot any block may come to be on it."""
+        on_path = self.path()[1]
+        if not self._varies(self.root):
+            on_path = [node for k, node in enumerate(self.nodes) if self.shown[k] and node.tag not in INLINE]
+        self.tracked = [self.place[id(node)] for node in on_path]
+        self.seen, self.length = [0] * len(self.tracked), [0] * len(self.tracked)
+        self.different = [[] for _ in self.tracked]
+
+    def weigh(self, held: dict[int, Node]) -> None:
+        """Count the text of the tracked nodes; without a block left that reads the same there is no need."""
+        for i, k in enumerate(self.tracked if self.tight else ()):
+            if k in held:
+                whole = text_of(held[k])
+                self.seen[i] += 1
+                self.length[i] += len(whole)
+                _add_different(self.different[i], whole)
+
+    def state(self) -> dict:
+        different = [[t for t, _ in known] for known in self.different]
+        return {
+            "pages": self.pages, "slots": sorted(self.slots), "tight": sorted(self.tight), "tracked": self.tracked, "seen": self.seen,
+            "length": self.length, "different": different,
+        }
+
+    def _varies(self, node: Node) -> bool:
+        """Whether a node or one below it is a slot; the text of a single page all is."""
+        todo = [node]
+        while todo:
+            one = todo.pop()
+            if not one.marked:
+                if self._is_slot(one):
+                    return True
+                todo += one.elements()
+        return False
+
+    def _is_slot(self, node: Node) -> bool:
+        k = self.place[id(node)]
+        return bool(self.own[k]) if self.pages == 1 else k in self.slots
+
+    def path(self) -> tuple[list[dict], list[Node]]:
+        """Levels from the root to the deepest node that holds all slots, and the nodes on the way."""
+        path, way = [], [self.root]
+        while not self._is_slot(way[-1]):
+            inner = way[-1].elements()
+            holding = [i for i, c in enumerate(inner) if self._varies(c)]
+            if len(holding) != 1 or inner[holding[0]].tag in INLINE | {"p", "li", "td", "pre", "blockquote"}:
+                break
+            path.append({"labels": [c.label for c in inner], "at": holding[0]})
+            way.append(inner[holding[0]])
+        return path, way
+
+    def wrapper(self) -> dict:
+        path, way = self.path()
+        return {"path": path, "constant": self._constants(way[-1])}
+
+    def _constants(self, content: Node) -> list:
+        """Label paths below the content node, and texts, of the blocks that read the same on all pages."""
+        i = self.tracked.index(self.place[id(content)])
+        if len(self.different[i]) < AGREEING:
+            return []
+        found, todo = [], [(c, [c.label]) for c in content.elements()]
+        while todo:
+            node, labels = todo.pop()
+            if node.marked or node.tag in INLINE or node.tag in ITEMS:
+                continue
+            text = self.tight.get(self.place[id(node)])
+            if text is not None:
+                found.append([labels, text])
+            else:
+                todo += [(c, [*labels, c.label]) for c in node.elements()]
+        return sorted(found) if sum(len(t) for _, t in found) * self.seen[i] <= CONSTANT * self.length[i] else []
+
+
+def _own(node: Node) -> str:
+    return " ".join(c for c in node.children if isinstance(c, str)).strip()
+
+
+def _add_different(known: list[tuple[str, set]], whole: str) -> None:
+    if len(known) < AGREEING:
+        words = set(whole.split())
+        if all(2 * len(words & other) < len(words | other) for _, other in known):
+            known.append((whole, words))
+
+
+def drafted(pages: list[str]) -> tuple[str, dict]:
+    """The model, the one of middle length, and the state of the draft of a few pages laid out alike."""
+    ordered = sorted(set(pages), key=lambda p: (len(p), p))
+    model = ordered[len(ordered) // 2]
+    draft = Draft(model)
+    aligned = [draft.align(parse(p)) for p in ordered]
+    draft.track()
+    for held in aligned:
+        draft.weigh(held)
+    return model, draft.state()
+
+
+def completed(model: str, states: list[dict]) -> dict:
+    """The wrapper by all that was found, for one model, in the parts of a layout's pages."""
+    first = states[0]
+    draft = Draft(model, {**first, "tight": sorted(set(first["tight"]).intersection(*(s["tight"] for s in states)))})
+    for state in states:
+        draft.slots.update(state["slots"])
+        for i in range(len(draft.tracked)):
+            draft.seen[i] += state["seen"][i]
+            draft.length[i] += state["length"][i]
+            for text in state["different"][i]:
+                _add_different(draft.different[i], text)
+    return draft.wrapper()
 
 
 def induce(pages: list[str]) -> dict:
@@ -254,66 +444,10 @@ def induce(pages: list[str]) -> dict:
     label paths from there with their texts. Both are empty if no page has text
     outside marked parts.
     """
-    trees = [parse(p) for p in sorted(set(pages), key=lambda p: (len(p), p))]
-    if not trees:
+    if not pages:
         return {"path": [], "constant": []}
-    model = trees[len(trees) // 2]
-    texts: dict[int, list[str]] = {}
-    extra: dict[int, int] = {}
-    same: dict[int, list[Node]] = {}
-    for tree in trees:
-        pairs = matching(model, tree)
-        met = {id(b) for _, b in pairs}
-        for a, b in pairs:
-            own = " ".join(c for c in b.children if isinstance(c, str)).strip()
-            texts.setdefault(id(a), []).append(own)
-            same.setdefault(id(a), []).append(b)
-            extra[id(a)] = extra.get(id(a), 0) + sum(len(text_of(c)) for c in b.elements() if id(c) not in met and not c.marked)
-    mass: dict[int, int] = {}
-    own_mass: dict[int, int] = {}
-
-    def weigh(node: Node) -> int:
-        if node.marked:
-            return 0
-        own = texts.get(id(node), [])
-        constant = len(trees) > 1 and len(set(own)) <= 1
-        own_mass[id(node)] = (0 if constant else sum(map(len, own))) + extra.get(id(node), 0)
-        mass[id(node)] = own_mass[id(node)] + sum(weigh(c) for c in node.elements())
-        return mass[id(node)]
-
-    weigh(model)
-    path, node = [], model
-    while not own_mass.get(id(node), 0):
-        inner = node.elements()
-        holding = [k for k, c in enumerate(inner) if mass.get(id(c), 0)]
-        if len(holding) != 1 or inner[holding[0]].tag in INLINE | {"p", "li", "td", "pre", "blockquote"}:
-            break
-        path.append({"labels": [c.label for c in inner], "at": holding[0]})
-        node = inner[holding[0]]
-    return {"path": path, "constant": _constants(node, same, len(trees))}
-
-
-def _constants(content: Node, same: dict[int, list[Node]], n: int) -> list:
-    """Label paths below the content node, and texts, of the blocks that read the same on all pages."""
-    wholes = [text_of(b) for b in same.get(id(content), [])]
-    different: list[set[str]] = []
-    for words in (set(t.split()) for t in wholes):
-        if all(2 * len(words & other) < len(words | other) for other in different):
-            different.append(words)
-    if len(different) < AGREEING:
-        return []
-    found, todo = [], [(c, [c.label]) for c in content.elements()]
-    while todo:
-        node, labels = todo.pop()
-        if node.marked or node.tag in INLINE or node.tag in ITEMS:
-            continue
-        read = [text_of(b) for b in same.get(id(node), [])]
-        if len(read) == n and read[0] and len(set(read)) == 1:
-            found.append([labels, read[0]])
-        else:
-            todo += [(c, [*labels, c.label]) for c in node.elements()]
-    template = sum(len(t) for _, t in found)
-    return sorted(found) if template * len(wholes) <= CONSTANT * sum(map(len, wholes)) else []
+    model, state = drafted(pages)
+    return completed(model, [state])
 
 
 def extract(page: str, wrapper: dict) -> str:
@@ -380,21 +514,61 @@ def laid_out(pages: DataFrame) -> DataFrame:
 def wrappers(pages: DataFrame) -> DataFrame:
     """``host``, ``layout``, ``wrapper`` (JSON) for each layout of each host of ``pages`` (``html``, ``host``, ``layout``).
 
-    At most ``ALIGNED`` different pages of a layout, those of the lowest hash,
-    come together in a task. Null and empty pages are left out.
+    ``ALIGNED`` different pages of a layout, those of the lowest hash, choose the
+    model and make a first draft. Where a layout has more, every page of it is
+    aligned with the model by the task that reads it; what the pages show is put
+    together after. Null and empty pages are left out.
     """
     full = pages.where("html <> ''").select("host", "layout", "html", F.xxhash64("html").alias("key"))
     first = F.row_number().over(Window.partitionBy("host", "layout").orderBy("key"))
-    chosen = full.select("host", "layout", "key").distinct().select("*", first.alias("n")).where(F.col("n") <= ALIGNED).drop("n")
+    chosen = full.select("host", "layout", "key").distinct().select("*", first.alias("n")).where(F.col("n") <= ALIGNED + 1)
     # Written out, so that Spark knows its size: pages move for a join only if there are too many to send around.
     chosen = stored(chosen, "chosen")
-    sample = full.drop("layout").join(chosen, ["host", "key"]).dropDuplicates(["host", "layout", "key"]).select("host", "layout", "html")
-
-    def run(rows: pa.Table) -> pa.Table:
-        made = json.dumps(induce(rows.column("html").to_pylist()))
-        return rows.slice(0, 1).select(["host", "layout"]).append_column("wrapper", [[made]])
-
-    return sample.groupBy("host", "layout").applyInArrow(run, "host string, layout string, wrapper string")
+    sample = full.join(chosen, ["host", "layout", "key"]).dropDuplicates(["host", "layout", "key"]).select("host", "layout", "html", "n")
+
+    def draft(rows: pa.Table) -> pa.Table:
+        model, state = drafted([p for p, n in zip(*(rows.column(c).to_pylist() for c in ("html", "n"))) if n <= ALIGNED])
+        made = rows.slice(0, 1).select(["host", "layout"]).append_column("model", [[model]]).append_column("state", [[json.dumps(state)]])
+        return made.append_column("more", [[rows.num_rows > ALIGNED]])
+
+    fields = "host string, layout string, model string, state string"
+    drafts = stored(sample.groupBy("host", "layout").applyInArrow(draft, fields + ", more boolean"), "drafts")
+    large = drafts.where("more").drop("more")
+    size = large.agg(F.sum(F.length("model") + F.length("state"))).first()[0] or 0
+    if size:
+        rest = full.drop("key").join(F.broadcast(large) if size <= SENT else large, ["host", "layout"])
+        shown = rest.select("host", "layout", "html", "model", "state").mapInArrow(_aligned_with_models, "host string, layout string, state string")
+        parts = stored(shown, "shown").select("host", "layout", F.lit(None).cast("string").alias("model"), "state")
+        small = drafts.where("not more").drop("more")
+        drafts = small.unionAll(large.select("host", "layout", "model", F.lit(None).cast("string").alias("state"))).unionAll(parts)
+
+    def complete(rows: pa.Table) -> pa.Table:
+        model = next(m for m in rows.column("model").to_pylist() if m is not None)
+        made = completed(model, [json.loads(s) for s in sorted(s for s in rows.column("state").to_pylist() if s is not None)])
+        return rows.slice(0, 1).select(["host", "layout"]).append_column("wrapper", [[json.dumps(made)]])
+
+    return drafts.select("host", "layout", "model", "state").groupBy("host", "layout").applyInArrow(complete, "host string, layout string, wrapper string")
+
+
+def _aligned_with_models(batches):
+    """What the pages of each layout show in a task; it holds the drafts of ``HELD`` layouts at once."""
+    drafts: dict[tuple, Draft] = {}
+
+    def told(items: list) -> pa.RecordBatch:
+        columns = [[host for (host, _), _ in items], [layout for (_, layout), _ in items], [json.dumps(d.state()) for _, d in items]]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], ["host", "layout", "state"])
+
+    for batch in batches:
+        for i in range(0, batch.num_rows, 64):
+            for host, name, page, model, state in zip(*(c.to_pylist() for c in batch.slice(i, 64).columns)):
+                if (draft := drafts.pop((host, name), None)) is None:
+                    if len(drafts) >= HELD:
+                        oldest = next(iter(drafts))
+                        yield told([(oldest, drafts.pop(oldest))])
+                    draft = Draft(model, json.loads(state))
+                drafts[host, name] = draft
+                draft.weigh(draft.align(parse(page)))
+    yield told([*drafts.items()])
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -406,7 +580,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     the wrappers are few; beyond that a host with many pages is split by adaptive
     execution. Other columns are not read.
     """
-    read = laid_out(pages.select("page_id", "url", "html"))
+    read = stored(laid_out(pages.select("page_id", "url", "html")), "laid_out", compression="zstd")
     joined = read.join(stored(wrappers(read), "wrappers"), ["host", "layout"], "left")
 
     def make(batch):

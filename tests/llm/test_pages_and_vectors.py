@@ -59,6 +59,37 @@ def test_layouts_have_wrappers_of_their_own(spark):
     assert wrappers.layout(rows[0][2]) != wrappers.layout(rows[1][2])
 
 
+def test_all_pages_of_a_layout_decide(spark):
+    """What few of many pages show counts: a second slot, and a block that reads otherwise there."""
+    made = "<body><div class=story><p>{0}</p>{1}</div><div class=more><p>{2}</p></div></body>"
+    rows = []
+    for i in range(240):
+        text = " ".join(f"t{i}x{k}" for k in range(50))
+        rows.append((i, "http://h.example/a", made.format(text, "<p>Printed in Bonn</p>", "")))
+        last = ("<p>Printed in Rome</p>", f"{i} more") if i == 7 else ("<p>Printed in Bonn</p>", "")
+        rows.append((1000 + i, "http://g.example/a", made.format(text, *last)))
+    df = spark.createDataFrame(rows * 2, "page_id bigint, url string, html string").repartition(5)
+    out = {r["page_id"]: r["text"] for r in wrappers.main_text(df).collect()}
+    assert len(out) == 480 and out[7].endswith("t7x49") and out[100].endswith("t100x49")
+    assert out[1007].endswith("t7x49 Printed in Rome 7 more")
+    assert out[1100].endswith("t100x49 Printed in Bonn")
+
+
+def test_parts_of_a_layout_give_the_wrapper_of_all():
+    made = "<body><div class=story><h1>Head {0}</h1><p>{1}</p><p>Follow us</p>{2}</div><p>{3}</p></body>"
+    pages = [made.format(i, " ".join(f"w{i}x{k}" for k in range(60)), "<i>x</i>" * (i % 3), "y" * (i == 11)) for i in range(12)]
+    model, state = wrappers.drafted(pages[:6])
+    states = []
+    for part in (pages[:5], pages[5:9], pages[9:]):
+        draft = wrappers.Draft(model, state)
+        for page in part:
+            draft.weigh(draft.align(wrappers.parse(page)))
+        states.append(draft.state())
+    assert wrappers.completed(model, states)["path"] == wrappers.induce(pages)["path"]
+    assert wrappers.completed(model, states[:2]) == wrappers.induce(pages[:9])
+    assert [c[1] for c in wrappers.completed(model, states[:2])["constant"]] == ["Follow us"]
+
+
 def test_wrapper_finds_the_varying_part():
     pages = [PAGE.format(i, "text " * (i + 3)) for i in range(4)]
     path = wrappers.induce(pages)
