@@ -237,8 +237,10 @@ def near_copies(df: DataFrame, size: int = 5, budget: int = 20, similarity: floa
     ``component_id``, the smallest id reachable over links of texts whose sets of
     shingles of ``size`` words have at least ``similarity`` as exact Jaccard.
 
-    Only texts that agree on a head of smallest hashes and whose fingerprints are
-    within ``budget`` bits are compared. Nulls and repeated ids are as in ``near_dedup``.
+    Compared are the texts of the fingerprints that ``near_links`` joins, and, as texts
+    at that similarity differ in more bits than a trie can search, those that agree on
+    a head of smallest hashes; in both cases within ``budget`` bits of a fingerprint.
+    Nulls and repeated ids are as in ``near_dedup``.
     """
     docs = df.select("doc_id", "text")
 
@@ -248,7 +250,10 @@ def near_copies(df: DataFrame, size: int = 5, budget: int = 20, similarity: floa
 
     rows = stored(with_columns(docs, make, "mark bigint, simhash bigint, heads array<bigint>", drop=("text",)), "marks")
     classes = rows.groupBy("mark").agg(F.min("doc_id").alias("first_id"))
-    keyed = rows.select("mark", "simhash", F.posexplode("heads").alias("run", "head")).distinct()
+    texts = rows.select("mark", "simhash").distinct()
+    joined = stored(components(near_links(texts)), "joined").select(F.col("node").alias("simhash"), F.col("root").alias("head"))
+    tries = texts.join(joined, "simhash", "left").select("mark", "simhash", F.lit(HEADS).alias("run"), F.coalesce("head", "simhash").alias("head"))
+    keyed = rows.select("mark", "simhash", F.posexplode("heads").alias("run", "head")).distinct().unionAll(tries)
     shared = keyed.groupBy("run", "head").count().where("count > 1")
     members = stored(keyed.join(shared, ["run", "head"]), "members")
     wanted = marks(docs).join(members.select("mark").distinct(), "mark", "left_semi").dropDuplicates(["mark"]).select("mark", "text")

@@ -242,6 +242,26 @@ def test_near_copies_edges(spark):
     assert simhash.near_copies(df.limit(0)).count() == 0
 
 
+def test_near_copies_go_by_tries_of_fingerprints(spark, monkeypatch):
+    """Texts whose fingerprints are within two bits are found without any head, and linked if similar enough."""
+    monkeypatch.setattr(simhash, "heads", lambda found: [])
+    draw, rows = random.Random(5), []
+    for k in range(40):
+        words = [f"w{draw.randrange(5000)}" for _ in range(400)]
+        rows += [(k, " ".join(words)), (100 + k, " ".join(words[:200] + ["x"] + words[201:]))]
+    # The same fingerprint by frequent shingles, but another set.
+    rows += [(300, "a b c d e " * 60), (301, "a b c d e " * 60 + " ".join(f"v{i}" for i in range(40)))]
+    prints = {k: simhash.fingerprint(t, 5) for k, t in rows}
+    near = {k for k in range(40) if (prints[k] ^ prints[100 + k]) % (1 << 64) in _within_two_bits()}
+    assert len(near) > 10 and prints[300] == prints[301]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {k: k - 100 if k - 100 in near else k for k, _ in rows}
+
+
+def _within_two_bits():
+    return {0} | {1 << i | 1 << j for i in range(64) for j in range(64)}
+
+
 def test_secret_stage(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     blank = stages.secrets_blanked(spark, docs, sf)
