@@ -153,6 +153,19 @@ def test_within_distance_at_poles_and_antimeridian(spark, monkeypatch, km, broad
     assert rows(got) == rows(want) and got.count() > 0
 
 
+def test_attributes_come_along_with_the_cover(spark):
+    """As by a join on the id afterwards, also where ids repeat or are null; pairs are not shuffled by zone."""
+    zones = spark.createDataFrame([(i, SQUARE, n) for i, n in ((1, "a"), (1, "b"), (2, "c"), (None, "d"))], ZONES + ", name string")
+    dots = points(spark, [(5.0, 5.0), (50.0, 50.0)])
+    for how in ("inner", "left"):
+        got = spatial.spatial_join(dots, zones, how, attributes=("name",))
+        want = spatial.spatial_join(dots, zones, how).join(zones.select("zone_id", "name"), "zone_id", how)
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        # The last join is that with the cover.
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "_zx" in next(line for line in plan.split("\n") if "Join" in line)
+
+
 @pytest.mark.parametrize("k,leaf", [(1, 1), (3, 4), (7, 32), (200, 8)])
 def test_nearest_equals_brute_force(spark, k, leaf):
     # A dense cluster beside scattered positions, and repeated positions.
