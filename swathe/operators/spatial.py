@@ -8,6 +8,7 @@ shuffled by cell, where adaptive execution splits a cell that holds many points.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from swathe.functions.grid import cell_xy, chord, haversine_km, unit_xyz
 from swathe.functions.polygon import inside, inside_sql, ring_edges
 from swathe.functions.seam import halves, on_globe, over_seam, split_at_seam
+from swathe.plans.scratch import read_once
 from swathe.plans.sides import broadcast_if, has_at_most
 
 # Slack, in degrees or on the unit sphere, by which filters that only prune are
@@ -32,6 +34,8 @@ EDGE_BYTES, ROW_BYTES = 64, 128
 # Tables up to this many rows may be copied to their neighbour cubes (at most
 # 27 each) and then broadcast.
 FEW_ROWS = 20_000
+# Rows of one cube that meet as a block, and pairs that a task should compare.
+BLOCK_ROWS, TASK_PAIRS = 4096, 1 << 25
 
 
 def _cut(zones: DataFrame, rings: str) -> DataFrame:
@@ -245,7 +249,9 @@ def within_distance_join(
     are placed in cubes around the unit sphere, one radius wide, so the poles
     and the antimeridian need no special care. Each ``b`` row goes to the
     cubes its radius reaches, each ``a`` row to its own: put the smaller table
-    second. The result holds all pairs, so within a dense cluster, or for a
+    second. Unless that is small, cubes with many rows are cut into blocks, every
+    block of ``a`` meets every one of ``b``, and the blocks are dealt to as many
+    tasks as there are pairs to compare. The result holds all pairs, so within a dense cluster, or for a
     radius near half the globe, it grows with the product of the sides.
     """
     if not km > 0:
@@ -266,8 +272,13 @@ def within_distance_join(
     dist = haversine_km(
         F.col(lon), F.col(lat), F.col(f"{b_prefix}{lon}"), F.col(f"{b_prefix}{lat}")
     )
+    same = _same_cube("_g", "_h")
+    if not few:
+        left, right, same = _in_blocks(left, right, a.columns, [f"{b_prefix}{c}" for c in b.columns])
+    # The straight line first, as the distance along the sphere costs far more.
+    line2 = " + ".join(f"(_a{d} - _b{d}) * (_a{d} - _b{d})" for d in AXES)
     return (
-        left.join(broadcast_if(right, few), _same_cube("_g", "_h"))
+        left.join(broadcast_if(right, few), same & F.expr(f"{line2} <= {(reach + SLACK) ** 2!r}D"))
         .withColumn("dist_km", dist)
         .where(F.col("dist_km") <= F.lit(float(km)))
         .select(*a.columns, *[f"{b_prefix}{c}" for c in b.columns], "dist_km")
@@ -277,6 +288,37 @@ def within_distance_join(
 AXES = "xyz"
 
 
+def _in_blocks(left: DataFrame, right: DataFrame, own: Sequence[str], other: Sequence[str]) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides dealt by cube and block, and the condition under which their rows meet.
+
+    A row is in one block of its side and is copied for each block of the other
+    side. ``own`` and ``other`` are the columns whose hash chooses the block.
+    """
+    cubes = [
+        df.groupBy(*(F.col(f"{p}{d}").alias(f"_q{d}") for d in AXES)).agg(F.count("*").alias(n))
+        for df, p, n in ((left, "_g", "_na"), (right, "_h", "_nb"))
+    ]
+    met = read_once(cubes[0].join(cubes[1], [f"_q{d}" for d in AXES]), "cubes")
+    pairs = met.agg(F.sum(F.col("_na").cast("double") * F.col("_nb"))).first()[0] or 0
+    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(pairs / TASK_PAIRS))
+    crowded = met.where(f"_na > {BLOCK_ROWS} OR _nb > {BLOCK_ROWS}").select(
+        *(f"_q{d}" for d in AXES), *(F.ceil(F.col(n) / BLOCK_ROWS).cast("int").alias(n) for n in ("_na", "_nb"))
+    )
+
+    def dealt(df: DataFrame, p: str, columns: Sequence[str], mine: str, theirs: str, names: tuple[str, str]) -> DataFrame:
+        kinds = dict(df.select(*(F.col(f"`{c}`") for c in columns)).dtypes)
+        hashed = F.xxhash64(*(F.col(f"`{c}`") for c in columns if not re.search("map<|variant", kinds[c])))
+        # There are at most as many crowded cubes as blocks of rows.
+        known = df.join(F.broadcast(crowded), _same_cube(p, "_q"), "left").withColumn(names[0], F.when(F.col(mine) > 1, F.pmod(hashed, F.col(mine))).otherwise(0).cast("int"))
+        each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(theirs), F.lit(1)) - 1))
+        copied = known.withColumn(names[1], each).drop(*(f"_q{d}" for d in AXES), "_na", "_nb")
+        return copied.repartition(parts, *(f"{p}{d}" for d in AXES), *sorted(names))
+
+    left = dealt(left, "_g", own, "_na", "_nb", ("_ai", "_aj"))
+    right = dealt(right, "_h", other, "_nb", "_na", ("_bj", "_bi"))
+    return left, right, _same_cube("_g", "_h") & F.expr("_ai = _bi AND _aj = _bj")
+
+
 def _on_sphere(df: DataFrame, lon: str, lat: str, p: str) -> DataFrame:
     """Rows with a position, with its unit-sphere coordinates."""
     known = df.where(F.col(lon).isNotNull() & F.col(lat).isNotNull())

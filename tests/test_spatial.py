@@ -1,3 +1,4 @@
+import collections
 import math
 
 import pytest
@@ -153,6 +154,20 @@ def test_within_distance_at_poles_and_antimeridian(spark, monkeypatch, km, broad
     assert rows(got) == rows(want) and got.count() > 0
 
 
+def test_crowded_cubes_are_dealt_in_blocks(spark, monkeypatch):
+    """All pairs once, and no task with more than a share of a cube that holds nearly all rows."""
+    monkeypatch.setattr(spatial, "FEW_ROWS", -1)
+    monkeypatch.setattr(spatial, "BLOCK_ROWS", 16)
+    a = points(spark, SPREAD + [(10.0, 10.0)] * 300)
+    b = points(spark, [(10.01, 10.0)] * 200 + SPREAD + [(10.0, 10.0 + k * 1e-3) for k in range(40)])
+    got = spatial.within_distance_join(a.withColumn("tags", F.create_map(F.lit("k"), "id")), b, 20.0)
+    want = brute_distances(spark, a, b).where("d <= 20").select("id", "bid")
+    rows = [tuple(r) for r in got.select("id", "b_id", F.spark_partition_id()).collect()]
+    assert sorted(r[:2] for r in rows) == sorted(map(tuple, want.collect()))
+    held = collections.Counter(r[2] for r in rows)
+    assert len(rows) > 60_000 and max(held.values()) < len(rows) / 3
+
+
 def test_attributes_come_along_with_the_cover(spark):
     """As by a join on the id afterwards, also where ids repeat or are null; pairs are not shuffled by zone."""
     zones = spark.createDataFrame([(i, SQUARE, n) for i, n in ((1, "a"), (1, "b"), (2, "c"), (None, "d"))], ZONES + ", name string")
