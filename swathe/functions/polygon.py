@@ -42,6 +42,30 @@ def inside(edges: str, px: str, py: str) -> Column:
     return F.expr(inside_sql(edges, px, py))
 
 
+# Numbers of an edge in :func:`flat_edges`.
+FLAT = 5
+
+
+def flat_edges(edges: str) -> Column:
+    """``edges`` as ``ARRAY<DOUBLE>`` for :func:`inside_flat`, ``FLAT`` numbers each."""
+    return F.expr(f"flatten(transform({edges}, e -> array(e.y1, e.y2, e.x1, e.x2 - e.x1, e.y2 - e.y1)))")
+
+
+def inside_flat(flat: str, most: int, px: str, py: str) -> Column:
+    """:func:`inside` for at most ``most`` edges, as :func:`flat_edges` gives them.
+
+    Written out without a lambda, so that a join compiles the test instead of
+    interpreting it for every pair.
+    """
+    odd = "false"
+    for i in reversed(range(most)):
+        y1, y2, x1, dx, dy = (f"get({flat}, {FLAT * i + j})" for j in range(FLAT))
+        crossed = f"""CASE WHEN ({y1} > {py}) != ({y2} > {py})
+          THEN {px} < {dx} * ({py} - {y1}) / {dy} + {x1} ELSE false END"""
+        odd = f"(CASE WHEN size({flat}) > {FLAT * i} THEN ({crossed}) != {odd} ELSE false END)"
+    return F.expr(odd)
+
+
 def box_ring(west: str, south: str, east: str, north: str) -> Column:
     """A rectangle as a ``rings`` value."""
     corners = [(west, south), (east, south), (east, north), (west, north)]

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swathe.functions.grid import cell_xy, chord, haversine_km, unit_xyz
-from swathe.functions.polygon import inside, inside_sql, ring_edges
+from swathe.functions.polygon import flat_edges, inside, inside_flat, inside_sql, ring_edges
 from swathe.functions.seam import halves, on_globe, over_seam, split_at_seam
 from swathe.plans.scratch import read_once
 from swathe.plans.sides import broadcast_if, has_at_most
@@ -31,6 +31,9 @@ NEAR_SLACK = 1e-13
 BROADCAST_BYTES = 64 << 20
 # Bytes of one edge in a cover row, and of the rest of the row, rounded up.
 EDGE_BYTES, ROW_BYTES = 64, 128
+# Edges of a cell up to which a join compiles the test of a point. The JVM does not
+# compile methods of over 8,000 bytes; six edges take some 6,000.
+FEW_EDGES = 6
 # Tables up to this many rows may be copied to their neighbour cubes (at most
 # 27 each) and then broadcast.
 FEW_ROWS = 20_000
@@ -53,19 +56,20 @@ def cover_bytes(
     return _cover_size(zones, cell_deg, rings)[0]
 
 
-def _cover_size(zones: DataFrame, cell_deg: float, rings: str, more: str = "0") -> tuple[int, bool]:
-    """:func:`cover_bytes`, and whether any zone has to be cut at the antimeridian.
-    ``more`` is SQL for the bytes that a row holds besides."""
+def _cover_size(zones: DataFrame, cell_deg: float, rings: str, more: str = "0") -> tuple[int, bool, int]:
+    """:func:`cover_bytes`, whether any zone has to be cut at the antimeridian, and the
+    most edges of a zone. ``more`` is SQL for the bytes that a row holds besides."""
     cells = [
         f"((array_max(_pts.{c}) - array_min(_pts.{c})) / {float(cell_deg)}D + 2)" for c in "xy"
     ]
     size = f"sum({cells[0]} * {cells[1]} * ({ROW_BYTES} + _more + size(_pts) * {EDGE_BYTES}))"
     outlines = "flatten(filter({}, r -> size(r) >= 3)) AS _pts"
-    row = zones.selectExpr(outlines.format(rings), f"{over_seam(rings)} AS _over", f"{more} AS _more").selectExpr(size, "max(_over)").first()
+    row = zones.selectExpr(outlines.format(rings), f"{over_seam(rings)} AS _over", f"{more} AS _more").selectExpr(size, "max(_over)", "max(size(_pts))").first()
     if not row[1]:
-        return int(row[0] or 0), False
+        return int(row[0] or 0), False, row[2] or 0
     cut = _cut(zones.selectExpr(rings, f"{more} AS _more"), rings)
-    return int(cut.selectExpr(outlines.format(rings), "_more").selectExpr(size).first()[0] or 0), True
+    row = cut.selectExpr(outlines.format(rings), "_more").selectExpr(size, "max(size(_pts))").first()
+    return int(row[0] or 0), True, row[1] or 0
 
 
 def zone_cover(
@@ -160,7 +164,7 @@ def _covered(
         # A zone and what comes along with it pass through the cover as one value.
         zones = zones.select(F.struct(zone_id, *attributes).alias(zone_id), rings)
         more = f"octet_length(cast({zone_id} AS string))"
-    size, seam = _cover_size(zones, cell_deg, rings, more)
+    size, seam, corners = _cover_size(zones, cell_deg, rings, more)
     if levels:
         cover = multi_level_cover(zones, cell_deg, levels, zone_id, rings, seam)
         bytes_ = cover.select(F.sum(F.size("edges") * EDGE_BYTES + ROW_BYTES + F.expr(more))).first()[0]
@@ -168,23 +172,34 @@ def _covered(
     else:
         cover = zone_cover(zones, cell_deg, zone_id, rings, seam).withColumn("level", F.lit(0))
         few = size <= BROADCAST_BYTES
-    cover = broadcast_if(cover.select(
+    cover = cover.select(
         F.col(zone_id).alias("_zone"), F.col("level").alias("_zlevel"),
         F.col("cx").alias("_zx"), F.col("cy").alias("_zy"), F.col("edges").alias("_edges"),
-    ), few)
+    )
     cx, cy = cell_xy("_lon", lat, cell_deg, globe=False)  # covers are planar
     keyed = points.withColumn("_lon", on_globe(F.col(lon))).withColumns({"_cx": cx, "_cy": cy})
-    hit = (
-        (F.col("_cx") == F.col("_zx"))
-        & (F.col("_cy") == F.col("_zy"))
-        & ((F.size("_edges") == 0) | inside("_edges", "_lon", lat))
-    )
+    same = (F.col("_cx") == F.col("_zx")) & (F.col("_cy") == F.col("_zy"))
     if levels:
         # The cell of each level in which the point lies.
         cells = f"transform(sequence(0, {levels}), l -> named_struct('_level', l, '_cx', shiftright(_cx, l), '_cy', shiftright(_cy, l)))"
         keyed = keyed.withColumn("_cells", F.expr(cells)).drop("_cx", "_cy").selectExpr("*", "inline(_cells)").drop("_cells")
-        hit = (F.col("_level") == F.col("_zlevel")) & hit
-    joined = keyed.join(cover, hit, how).drop("_lon", "_level", "_cx", "_cy", "_zlevel", "_zx", "_zy", "_edges")
+        same = (F.col("_level") == F.col("_zlevel")) & same
+
+    def met(part: DataFrame, test: Column) -> DataFrame:
+        held = keyed.join(broadcast_if(part, few), same & ((F.size("_edges") == 0) | test), how)
+        return held.drop("_lon", "_level", "_cx", "_cy", "_zlevel", "_zx", "_zy", "_edges")
+
+    # Lambdas are interpreted, and with them the whole join; cells of few edges do without one.
+    compiled, interpreted = inside_flat("_edges", FEW_EDGES, "_lon", lat), inside("_edges", "_lon", lat)
+    flat = flat_edges("_edges")
+    if corners <= FEW_EDGES:
+        joined = met(cover.withColumn("_edges", flat), compiled)
+    elif how == "inner":
+        # A cell of a zone is in one of the two.
+        simple, other = (cover.where(F.size("_edges") <= FEW_EDGES), cover.where(F.size("_edges") > FEW_EDGES))
+        joined = met(simple.withColumn("_edges", flat), compiled).union(met(other, interpreted))
+    else:
+        joined = met(cover, interpreted)
     if attributes:
         held = [F.col("_zone")[c].alias(c) for c in attributes]
         return joined.select(*points.columns, F.col("_zone")[zone_id].alias(zone_id), *held)

@@ -1,5 +1,6 @@
 import collections
 import math
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -88,6 +89,35 @@ def test_cover_equals_brute_force(spark, rings, pts, cell):
     assert got == want
 
 
+def circle(x, y, radius, corners):
+    at = [2 * math.pi * i / corners + 0.1 for i in range(corners)]
+    return [[(x + radius * math.cos(a), y + radius * math.sin(a)) for a in at]]
+
+
+@pytest.mark.parametrize("corners", [6, 40])
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_joins_are_compiled_and_equal_brute_force(spark, monkeypatch, corners, shuffled):
+    if shuffled:
+        monkeypatch.setattr(spatial, "BROADCAST_BYTES", -1)
+    rows = [(i, circle(i * 3.1, i % 4, 1.0 + i % 3, corners if i % 2 else 4)) for i in range(8)]
+    zones = spark.createDataFrame([*rows, (8, None), (1, circle(4.0, 1.0, 2.0, corners))], ZONES)
+    df = points(spark, [(x * 0.37 - 4.0, y * 0.41 - 3.0) for x in range(80) for y in range(24)] + [(None, 1.0), (1.0, None)])
+    every = df.join(zones.select("zone_id", ring_edges("rings").alias("e")))
+    want = collections.Counter(tuple(r) for r in every.where(inside("e", "lon", "lat")).select("id", "zone_id").collect())
+    held = {i for i, _ in want}
+    free = [i for i in range(df.count()) if i not in held]
+    joined = spatial.spatial_join(df, zones, cell_deg=0.9).select("id", "zone_id")
+    assert collections.Counter(map(tuple, joined.collect())) == want
+    # A plan node that is compiled has a star before its name.
+    kind = "SortMergeJoin" if shuffled else "BroadcastHashJoin"
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"\*\(\d+\) {kind}", plan.split("Initial Plan")[0])
+    left = spatial.spatial_join(df, zones, "left", 0.9).select("id", "zone_id").collect()
+    assert collections.Counter(map(tuple, left)) == want + collections.Counter((i, None) for i in free)
+    assert sorted(r["id"] for r in spatial.clip(df, zones, 0.9).collect()) == sorted(held)
+    assert sorted(r["id"] for r in spatial.outside(df, zones, 0.9).collect()) == free
+
+
 def test_cover_skips_and_clears_cells(spark, zones):
     cover = spatial.zone_cover(zones.where("zone_id = 1"), 1.0)
     # 8 x 8 cells lie wholly inside; the outline runs through the rest.
