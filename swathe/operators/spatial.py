@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from swathe.functions.grid import cell_xy, chord, haversine_km, unit_xyz
-from swathe.functions.polygon import flat_edges, inside, inside_flat, inside_sql, ring_edges
+from swathe.functions.polygon import edge_columns, flat_edges, inside, inside_columns, inside_flat, inside_sql, ring_edges
 from swathe.functions.seam import halves, on_globe, over_seam, split_at_seam
-from swathe.plans.scratch import read_once
+from swathe.plans.scratch import read_once, written
 from swathe.plans.sides import broadcast_if, has_at_most
+from swathe.session import NoSharedFolder
 
 # Slack, in degrees or on the unit sphere, by which filters that only prune are
 # widened, so that rounding never drops a true match.
@@ -34,6 +35,11 @@ EDGE_BYTES, ROW_BYTES = 64, 128
 # Edges of a cell up to which a join compiles the test of a point. The JVM does not
 # compile methods of over 8,000 bytes; six edges take some 6,000.
 FEW_EDGES = 6
+# Edges up to which cells of a large cover are joined apart from those of more, with their
+# edges as columns. Most cells hold one or two, and a longer test costs all pairs.
+EDGE_COLUMNS = (2, 4)
+# Points a cell from which that pays for writing the cover; measured, some 30 do not.
+POINTS_PER_CELL = 50
 # Tables up to this many rows may be copied to their neighbour cubes (at most
 # 27 each) and then broadcast.
 FEW_ROWS = 20_000
@@ -179,6 +185,8 @@ def _covered(
     cx, cy = cell_xy("_lon", lat, cell_deg, globe=False)  # covers are planar
     keyed = points.withColumn("_lon", on_globe(F.col(lon))).withColumns({"_cx": cx, "_cy": cy})
     same = (F.col("_cx") == F.col("_zx")) & (F.col("_cy") == F.col("_zy"))
+    # With attributes the one join stays: measured, an aggregate over what comes along loses more than the tests gain.
+    stored = _stored(cover) if how == "inner" and not few and not attributes and _crowded(keyed) else None
     if levels:
         # The cell of each level in which the point lies.
         cells = f"transform(sequence(0, {levels}), l -> named_struct('_level', l, '_cx', shiftright(_cx, l), '_cy', shiftright(_cy, l)))"
@@ -186,26 +194,56 @@ def _covered(
         same = (F.col("_level") == F.col("_zlevel")) & same
 
     def met(part: DataFrame, test: Column) -> DataFrame:
-        held = keyed.join(broadcast_if(part, few), same & ((F.size("_edges") == 0) | test), how)
-        return held.drop("_lon", "_level", "_cx", "_cy", "_zlevel", "_zx", "_zy", "_edges")
+        held = keyed.join(broadcast_if(part, few), same & test, how)
+        return held.drop("_lon", "_level", "_cx", "_cy", *(c for c in part.columns if c != "_zone"))
 
     # Lambdas are interpreted, and with them the whole join; cells of few edges do without one.
     compiled, interpreted = inside_flat("_edges", FEW_EDGES, "_lon", lat), inside("_edges", "_lon", lat)
-    flat = flat_edges("_edges")
-    if corners <= FEW_EDGES:
-        joined = met(cover.withColumn("_edges", flat), compiled)
+    flat, no_edges = flat_edges("_edges"), F.size("_edges") == 0
+    if stored is not None:
+        # One join for each length of the test; cells wholly inside need none.
+        held = lambda low, most: stored.where(F.col("_size").between(low, most))
+        joined, low = met(held(0, 0).drop("_edges"), F.lit(True)), 0
+        for most in EDGE_COLUMNS:
+            if low < corners:
+                part = held(low + 1, most).withColumns(edge_columns("_edges", most)).drop("_edges")
+                joined = joined.union(met(part, inside_columns(most, "_lon", lat)))
+            low = most
+        if low < corners:
+            joined = joined.union(met(held(low + 1, FEW_EDGES).withColumn("_edges", flat), compiled))
+        if FEW_EDGES < corners:
+            joined = joined.union(met(stored.where(F.col("_size") > FEW_EDGES), interpreted))
+    elif corners <= FEW_EDGES:
+        joined = met(cover.withColumn("_edges", flat), no_edges | compiled)
     elif how == "inner":
         # A cell of a zone is in one of the two.
         simple, other = (cover.where(F.size("_edges") <= FEW_EDGES), cover.where(F.size("_edges") > FEW_EDGES))
-        joined = met(simple.withColumn("_edges", flat), compiled).union(met(other, interpreted))
+        joined = met(simple.withColumn("_edges", flat), no_edges | compiled).union(met(other, interpreted))
     else:
-        joined = met(cover, interpreted)
+        joined = met(cover, no_edges | interpreted)
     if attributes:
         held = [F.col("_zone")[c].alias(c) for c in attributes]
         return joined.select(*points.columns, F.col("_zone")[zone_id].alias(zone_id), *held)
     return joined.withColumnRenamed("_zone", zone_id) if how in ("inner", "left") else joined
 
 
+def _crowded(keyed: DataFrame) -> bool:
+    """Whether the cells of the box around the points hold many of them on average. One pass, one row back."""
+    n, west, east, south, north = keyed.agg(F.expr("count_if(_cx IS NOT NULL AND _cy IS NOT NULL)"), *(f(c) for c in ("_cx", "_cy") for f in (F.min, F.max))).first()
+    return n > 0 and n > POINTS_PER_CELL * (east - west + 1) * (north - south + 1)
+
+
+def _stored(cover: DataFrame) -> DataFrame | None:
+    """A cover written once, as it is dear and read by several joins; none where no folder
+    is shared or Parquet cannot hold the ids."""
+    if re.search("void|interval|variant", dict(cover.dtypes)["_zone"]):
+        return None
+    try:
+        return written(cover.withColumn("_size", F.size("_edges")), "cover")
+    except NoSharedFolder:
+        return None
+
+
 def spatial_join(
     points: DataFrame, zones: DataFrame, how: str = "inner", cell_deg: float = 2.0,
     zone_id: str = "zone_id", rings: str = "rings", lon: str = "lon", lat: str = "lat",
